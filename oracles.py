@@ -1,0 +1,304 @@
+"""The same results in DuckDB SQL over the test tables."""
+
+_LOG = """
+with log as (
+  select event_id + 1 as id, cast(floor(epoch(ts)) as bigint) as created,
+         case when event_type in ('signup', 'purchase') then 1 when event_type in ('view', 'click') then 2 else 3 end as operation,
+         user_id * 20 as c_custkey, value as c_acctbal, event_type as c_mktsegment,
+         cast(regexp_extract(props, '[0-9]+') as integer) as n,
+         case when (event_id + 1) * 2 > (select max(event_id) + 1 from events)
+              then cast(regexp_extract(props, '[0-9]+') as integer) end as k,
+         case event_id % 3 when 0 then 'customer' when 1 then 'supplier' else 'orders' end as route,
+         'cdc-db1.example-3306-crm-' as stem
+  from events)
+"""
+
+_LATEST = _LOG + """,
+latest as (select * from (select *, row_number() over (partition by c_custkey order by id desc) as rn from log) where rn = 1),
+upserts as (select c_custkey, c_acctbal, c_mktsegment, k from latest where operation <> 3)
+"""
+
+_APPLIED = _LATEST + """,
+applied as (
+  select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, cast(null as integer) as k from customer
+  where c_custkey not in (select c_custkey from latest)
+  union all
+  select c_custkey, null, null, c_acctbal, c_mktsegment, k from upserts)
+select * from applied
+"""
+
+_COMPACT = _LOG + """,
+a as (select * from (select *, max(id) filter (where operation = 3) over (partition by c_custkey) as ld from log)
+      where ld is null or id >= ld),
+b as (select * from (select *, max(id) filter (where operation = 2) over (partition by c_custkey) as lu from a)
+      where operation <> 1 or lu is null or id > lu),
+compacted as (select * from (select *, max(id) over (partition by c_custkey, operation) as m from b) where id = m)
+"""
+
+_PARTY = """
+party as (
+  select coalesce(s_suppkey, c_custkey) as party_key, coalesce(s_name, c_name) as name,
+         coalesce(s_nationkey, c_nationkey) as nation, c_acctbal as c_acctbal_customer_crm,
+         c_mktsegment as c_mktsegment_customer_crm, s_acctbal as s_acctbal_supplier_erp
+  from customer full join supplier on c_custkey = s_suppkey)
+"""
+
+_PROPAGATED = _LATEST + "," + _PARTY + """
+select party_key, name, nation, c_acctbal_customer_crm, c_mktsegment_customer_crm, s_acctbal_supplier_erp,
+       cast(null as integer) as k_customer_crm
+from party where party_key not in (select c_custkey from latest)
+union all
+select c_custkey, null, null, c_acctbal, c_mktsegment, null, k from upserts
+"""
+
+_CATALOG = """
+with cat as (
+  select 'crm' as db_type, 't_' || o_custkey as table_name, 'Col_' || o_orderkey as column_name,
+         cast(o_orderkey as integer) as n, o_orderstatus as status,
+         case left(o_orderpriority, 1)
+           when '1' then 'varchar(' || (o_orderkey % 90 + 10) || ')'
+           when '2' then 'int(11) unsigned'
+           when '3' then 'decimal(12,2)'
+           when '4' then 'enum(''b'',''a'',''c' || (o_orderkey % 3) || ''')'
+           else 'datetime' end as data_type,
+         case when o_orderkey % 4 = 0 then o_orderstatus end as dflt
+  from orders),
+old_cols as (select db_type, table_name, column_name, n, data_type, dflt from cat where status <> 'P'),
+new_cols as (
+  select db_type, table_name,
+         case when n % 5 = 0 then upper(column_name) else column_name end as column_name, n,
+         case when n % 5 = 1 and data_type like 'varchar%' then 'varchar(255)'
+              when n % 5 = 2 and data_type = 'datetime' then 'timestamp'
+              when n % 5 = 3 and data_type = 'datetime' then 'datetime(6)'
+              when n % 5 = 1 and data_type like 'enum%' then 'enum(''a'',''b'',''new'')'
+              when n % 5 = 2 and data_type like 'enum%' then 'enum(''c' || (n % 3) || ''',''a'',''b'')'
+              when n % 5 = 4 and data_type like 'int%' then 'int(11) signed'
+              else data_type end as data_type,
+         case when n % 7 = 0 then '0' else dflt end as dflt
+  from cat where status <> 'F'),
+parsed_old as (
+  select db_type, table_name, column_name as field, n,
+         case when contains(data_type, '(') then split_part(data_type, '(', 1) else data_type end as type,
+         case when contains(data_type, '(') and regexp_extract(data_type, '[0-9]+') <> ''
+              then cast(regexp_extract(data_type, '[0-9]+') as integer) else -1 end as "typeSize",
+         case when data_type like '% signed' then true when data_type like '% unsigned' then false end as "isSigned",
+         coalesce(dflt, 'NULL') as "defaultValue",
+         case when data_type like 'enum%' then list_sort(regexp_extract_all(data_type, '''(\\w+)''', 1)) else [] end as vals
+  from old_cols),
+parsed_new as (
+  select db_type, table_name, column_name as field, n,
+         case when contains(data_type, '(') then split_part(data_type, '(', 1) else data_type end as type,
+         case when contains(data_type, '(') and regexp_extract(data_type, '[0-9]+') <> ''
+              then cast(regexp_extract(data_type, '[0-9]+') as integer) else -1 end as "typeSize",
+         case when data_type like '% signed' then true when data_type like '% unsigned' then false end as "isSigned",
+         coalesce(dflt, 'NULL') as "defaultValue",
+         case when data_type like 'enum%' then list_sort(regexp_extract_all(data_type, '''(\\w+)''', 1)) else [] end as vals
+  from new_cols)
+"""
+
+_DRIFT = _CATALOG + """,
+pairs as (
+  select coalesce(o.db_type, c.db_type) as "dbType", coalesce(o.table_name, c.table_name) as "dbTable",
+         coalesce(c.field, o.field) as "fieldChanged", o.field as of, c.field as cf, o.type as ot, c.type as ct,
+         o."typeSize" as os, c."typeSize" as cs, o."defaultValue" as od, c."defaultValue" as cd, o.vals as ov, c.vals as cv
+  from parsed_old o full join parsed_new c
+    on o.db_type = c.db_type and o.table_name = c.table_name and lower(o.field) = lower(c.field)),
+drift as (
+  select "dbType", "dbTable", "fieldChanged", 'FIELD_CHANGED' as "changeType", of as "oldValue", cf as "newValue"
+  from pairs where of is null or cf is null
+  union all
+  select "dbType", "dbTable", "fieldChanged", 'TYPE_CHANGED', ot, ct from pairs where ot <> ct
+  union all
+  select "dbType", "dbTable", "fieldChanged", 'TYPE_SIZE_CHANGED', cast(os as varchar), cast(cs as varchar) from pairs where os <> cs
+  union all
+  select "dbType", "dbTable", "fieldChanged", 'DEFAULT_VALUE_CHANGED', od, cd from pairs where od <> cd
+  union all
+  select "dbType", "dbTable", "fieldChanged", 'POSSIBLE_VALUE_CHANGE',
+         '[' || array_to_string(ov, ', ') || ']', '[' || array_to_string(cv, ', ') || ']'
+  from pairs where of is not null and cf is not null and ov <> cv)
+"""
+
+_VERSIONS = _CATALOG + """,
+texts as (
+  select 1 as id, db_type, table_name,
+         string_agg(concat_ws('|', field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',')), ';' order by lower(field)) as t
+  from parsed_old group by all
+  union all
+  select 2, db_type, table_name,
+         string_agg(concat_ws('|', field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',')), ';' order by lower(field)) as t
+  from parsed_new group by all),
+versions as (
+  select cast(id as bigint) as id, db_type, table_name from texts a
+  where id = 1 or not exists (select 1 from texts b where b.id = 1 and b.table_name = a.table_name and b.t = a.t))
+"""
+
+_MEMBERS = """
+select 'm_' || l_orderkey as merge_table_name, l_partkey as table_id, 't_' || l_suppkey as table_name,
+       'db_' || l_linenumber as database_alias, l_returnflag
+from lineitem
+"""
+
+_RUNS = """
+select l_orderkey as job_id, l_suppkey as request_id, l_linenumber as step,
+       case l_returnflag when 'A' then 'success' when 'R' then 'fail' else 'processing' end as status,
+       case l_returnflag when 'A' then 3 when 'R' then 2 else 1 end as "statusOrder",
+       strftime(l_shipdate, '%Y/%m/%d %H:%M:%S') as create_time, 12 as number_step
+from lineitem
+"""
+
+ORACLES = {
+    "read_changes": _LOG + """
+        select id, 'customer' as table_name, operation, created from log
+        where id > (select max(id) // 4 from log) and id <= (select max(id) // 2 from log)""",
+    "union_changes": _LOG + """
+        select id, route as table_name, operation, created from log where id <= (select max(id) * 3 // 5 from log)
+        union
+        select id, route, operation, created from log where id > (select max(id) * 2 // 5 from log)""",
+    "encode_changes": """
+        select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+               1 as operation, o_orderkey + 1 as seq from orders""",
+    "decode_envelope": _LOG + "select stem || route as table_key, id, route as table_name, operation, created from log",
+    "decode_requests": """
+        select distinct 'h' as server_host, cast(l_linenumber as varchar) as port, 'T_' || l_partkey as table_name,
+               l_suppkey as latest_offset, 'cdc-h-' || l_linenumber || '-shop-t_' || l_partkey as topic_cdc
+        from lineitem where l_returnflag <> 'N'""",
+    "decode_changes": _LOG + """
+        select c_custkey, c_acctbal, c_mktsegment, k, operation, id as seq, '2024-02-01 00:00:00.000' as modified from log""",
+    "decode_quarantine": _LOG + """
+        select id, case when n >= 20 then 9 else operation end as operation,
+               case when n < 10 then 'no row image' when n < 20 then 'broken row image' else 'unknown operation' end as reason
+        from log where n < 30""",
+    "changes_schema": """
+        select name, source_type, position, (select max(event_id) + 1 from events) as last_id
+        from (values ('c_custkey', 'bigint', 0), ('c_acctbal', 'double', 1), ('c_mktsegment', 'varchar(10)', 2), ('k', 'int', 3))
+             as t(name, source_type, position)""",
+    "route_changes": _LOG + "select stem || route as table_key, id, operation, created from log",
+    "compact_per_operation": _COMPACT + "select c_custkey, c_acctbal, c_mktsegment, k, operation, id as seq from compacted",
+    "compact_latest": _LATEST + "select c_custkey, c_acctbal, c_mktsegment, k, operation, id as seq from latest",
+    "apply_changes": _APPLIED,
+    "apply_changes_per_operation": _COMPACT + """
+        select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, cast(null as integer) as k from customer
+        where c_custkey not in (select c_custkey from compacted)
+        union all
+        select c_custkey, null, null, c_acctbal, c_mktsegment, k from compacted where operation <> 3""",
+    "apply_changes_type_conflict": _APPLIED.replace(
+        "select * from applied",
+        "select c_custkey, c_name, c_nationkey, cast(c_acctbal as varchar) as c_acctbal, c_mktsegment, k from applied"),
+    "replace_table": _APPLIED,
+    "apply_changes_partitioned": _APPLIED,
+    "align_schemas_string": """
+        select c_custkey, cast(c_acctbal as varchar) as c_acctbal, c_name, null as o_orderstatus from customer
+        union all
+        select o_custkey, cast(o_orderkey as varchar), null, o_orderstatus from orders""",
+    "align_schemas_widen": """
+        select c_custkey, cast(c_nationkey as bigint) as n, c_acctbal as v from customer
+        union all
+        select o_custkey, o_orderkey, cast(1 as double) from orders""",
+    "map_columns": """
+        select c_custkey as party_key, c_name as name, c_nationkey as nation, c_acctbal as c_acctbal_customer_crm,
+               c_mktsegment as c_mktsegment_customer_crm from customer""",
+    "consolidate": "with " + _PARTY + "select * from party",
+    "consolidate_many_to_one": """
+        select coalesce(c_custkey, o_custkey) as party, coalesce(c_mktsegment, cast(o_orderkey as varchar)) as amount,
+               o_totalprice as o_totalprice_orders_a, c_acctbal as c_acctbal_customer_b
+        from orders full join customer on o_custkey = c_custkey""",
+    "propagate_replace": _PROPAGATED,
+    "propagate_patch": _LATEST + "," + _PARTY + """,
+        patched as (
+          select p.party_key, p.name, p.nation,
+                 case when l.id is null then c_acctbal_customer_crm when l.operation <> 3 then l.c_acctbal end as c_acctbal_customer_crm,
+                 case when l.id is null then c_mktsegment_customer_crm when l.operation <> 3 then l.c_mktsegment end as c_mktsegment_customer_crm,
+                 s_acctbal_supplier_erp,
+                 case when l.operation <> 3 then l.k end as k_customer_crm, l.operation
+          from party p left join latest l on p.party_key = l.c_custkey)
+        select * exclude (operation) from patched
+        where operation is null or operation <> 3
+           or coalesce(name, cast(nation as varchar), cast(s_acctbal_supplier_erp as varchar)) is not null
+        union all
+        select c_custkey, null, null, c_acctbal, c_mktsegment, null, k from upserts
+        where c_custkey not in (select party_key from party)""",
+    "targets_of": "select distinct 'm_' || l_orderkey as merge_table_name from lineitem where l_suppkey = 5 and l_linenumber = 3",
+    "new_members": "with m as (" + _MEMBERS + """)
+        select merge_table_name, table_id, table_name, database_alias from m
+        where not exists (select 1 from m o where o.l_returnflag <> 'N' and o.merge_table_name = m.merge_table_name and o.table_id = m.table_id)""",
+    "describe_tables": _CATALOG + """
+        select table_name, count(*) as column_count,
+               string_agg(lower(column_name) || ':' || split_part(data_type, ' ', 1), ',' order by n) as columns
+        from cat group by table_name""",
+    "parse_source_types": _CATALOG + """
+        select table_name, field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',') as "possibleValues"
+        from parsed_new""",
+    "map_source_types": _CATALOG + """
+        select table_name, column_name,
+               case when data_type like 'varchar%' or data_type like 'enum%' then 'string'
+                    when data_type like '% unsigned' then 'bigint' when data_type like 'int%' then 'int'
+                    when data_type like 'decimal%' then data_type else 'timestamp' end as spark_type
+        from new_cols""",
+    "record_schemas": _VERSIONS + "select id, db_type, table_name from versions",
+    "latest_schemas": _VERSIONS + """,
+        newest as (select db_type, table_name, max(id) as id from versions group by all)
+        select db_type, table_name, field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',') as "possibleValues"
+        from newest join parsed_old using (db_type, table_name) where id = 1
+        union all
+        select db_type, table_name, field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',')
+        from newest join parsed_new using (db_type, table_name) where id = 2""",
+    "diff_tables": """
+        with o as (select distinct 'Tab_' || o_custkey as name from orders where o_orderstatus = 'F'),
+             n as (select distinct 'TAB_' || o_custkey as name from orders where o_orderstatus <> 'F' and o_orderpriority >= '4')
+        select coalesce(n.name, o.name) as table_name,
+               case when o.name is null then 'added' when n.name is null then 'removed' else 'common' end as status
+        from o full join n on lower(o.name) = lower(n.name)""",
+    "diff_schemas": _DRIFT + "select * from drift",
+    "schema_alerts": _DRIFT + """
+        select 'TABLE ' || "dbType" || '@db1.example - FIELD: ' || "fieldChanged" || ' IS ' ||
+               case when "changeType" = 'FIELD_CHANGED' and "oldValue" is null then 'ADDED'
+                    when "changeType" = 'FIELD_CHANGED' and "newValue" is null then 'DELETED' else 'CHANGED' end as msg,
+               '2024-02-01T00:00:00' as created, "dbType" || '.' || "dbTable" || '.' || "fieldChanged" || '@db1.example' as entity_name,
+               'COLUMN' as entity_type, 'WARNING' as alert_level, 'REALTIME' as alert_cycle, "changeType"
+        from drift""",
+    "resolve_aliases": """
+        select p_partkey as table_id, 't_' || p_partkey as table_name, 'id' as default_key,
+               case when s_suppkey % 2 = 0 then 'mysql' else 'postgresql' end as database_type,
+               case when s_suppkey % 2 = 0 then '3306' else '5432' end as port,
+               lower(s_name) as database_name, 'db' || s_suppkey as alias, lower(n_name) as server_host
+        from part join supplier on p_size = s_suppkey join nation on s_nationkey = n_nationkey
+        where s_acctbal >= 0""",
+    "run_query": "with " + _PARTY + """
+        select c_mktsegment, o_orderstatus, count(*) as orders, count(s_acctbal_supplier_erp) as suppliers, max(o_totalprice) as largest
+        from customer join orders on c_custkey = o_custkey join party on party_key = c_custkey
+        group by c_mktsegment, o_orderstatus""",
+    "run_queries": """
+        select 1 as "jobId", 10 as "requestId", 'success' as status, count(*) as total_rows from customer where c_acctbal > 0
+        union all select 2, 20, 'success', count(distinct o_orderstatus) from orders
+        union all select 3, 30, 'fail', null""",
+    "export_csv": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders",
+    "percent_returned": """
+        with s as (select l_suppkey, sum(case when l_linestatus = 'F' then l_quantity else 0 end) as closed,
+                          sum(case when l_linestatus = 'F' and l_returnflag = 'R' then l_quantity else 0 end) as returned
+                   from lineitem group by l_suppkey)
+        select l_suppkey, case when closed = 0 then 0.0::double else returned / closed * 100 end as percent from s""",
+    "percent_by_sql": """
+        select l_orderkey, case when sum(l_quantity) = 0 then 0.0::double
+               else sum(case when l_returnflag = 'R' then l_quantity else 0 end) / sum(l_quantity) * 100 end as percent
+        from lineitem group by l_orderkey""",
+    "change_watermarks": _LOG + "select stem || route as table_key, max(id) as max_id, count(*) as events from log group by all",
+    "cdc_lag": _LOG + """,
+        l as (select stem || route as table_key, max(id) as latest_id,
+                     coalesce(max(id) filter (where route = 'customer' or (route = 'supplier' and id <= (select max(id) // 2 from log))), 0) as applied_id
+              from log group by all)
+        select table_key, latest_id, applied_id, latest_id - applied_id as lag, applied_id < latest_id as is_ready from l""",
+    "latest_per_key": """
+        select * exclude (rk) from (select *, rank() over (partition by l_suppkey order by l_shipdate desc, l_quantity desc) as rk from lineitem)
+        where rk = 1""",
+    "run_progress": "with runs as (" + _RUNS + """),
+        steps as (select job_id, step, arg_max(status, create_time || "statusOrder") as status,
+                         max(create_time || "statusOrder") as last_at, max(number_step) as number_step from runs group by all)
+        select job_id, max(number_step) as number_step, count(*) filter (where status = 'success') as finished,
+               count(*) filter (where status = 'fail') as failed, count(*) filter (where status = 'processing') as open,
+               arg_max(status, last_at) as last_status
+        from steps group by job_id""",
+    "append_run_log": _RUNS,
+    "snapshot_table": "select *, '2024-02-01 00:00:00.000' as modified from orders",
+    "stream_changes": _APPLIED,
+    "stream_to_merge_table": _PROPAGATED,
+}

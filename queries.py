@@ -1,0 +1,419 @@
+"""Every operator run over the test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+import fixtures as fx
+from cdclake.functions import parse_source_type, percent_of, register_functions, spark_type_name
+from cdclake.model import RUN_LOG, Mapping
+from cdclake.operators.align import align_schemas
+from cdclake.operators.apply import apply_changes as apply_batch, apply_changes_partitioned as apply_partitioned, apply_to_table
+from cdclake.operators.compact import compact_changes
+from cdclake.operators.consolidate import (
+    consolidate as consolidate_tables, map_columns as map_member, new_members as added_members,
+    propagate_changes, targets_of as definitions_of,
+)
+from cdclake.operators.envelope import (
+    decode_changes as decode, decode_envelope as decode_messages, decode_requests as decode_request_messages,
+    encode_changes as encode, schema_entries, table_key,
+)
+from cdclake.operators.progress import (
+    append_run_log as append_log, cdc_lag as lag_of, change_watermarks as watermarks, latest_per_key as newest_rows,
+    run_progress as progress,
+)
+from cdclake.operators.schema_drift import (
+    changed_schemas as changed, column_properties, describe_tables as describe, diff_schemas as diff_columns,
+    diff_tables as diff_lists, latest_schemas as latest, pack_schemas, record_schemas as record,
+    schema_alerts as alerts, unpack_schemas,
+)
+from cdclake.plans.query import resolve_aliases as aliases, run_queries as run_requests, run_query as run_sql
+from cdclake.session import work_path
+from cdclake.sources.jdbc import snapshot_table as snapshot
+from cdclake.sources.log import change_messages, read_changes as read_range, route_changes as route, union_changes as union_logs
+from cdclake.sources.tables import export_csv as export, write_table
+from cdclake.streaming.stream import ChangeApplier, MergeTarget, TableTarget, stream_changes as stream
+
+KEY = "c_custkey"
+LOADED = "2024-02-01 00:00:00.000"
+
+
+def _rows(spark, sf):
+    return decode(fx.change_log(spark, sf), "mysql")[0]
+
+
+# --- change events ---
+
+def read_changes(spark: SparkSession, sf: str) -> DataFrame:
+    newest = fx.last_id(spark, sf)
+    events = read_range(fx.change_log(spark, sf), newest // 4, newest // 2)
+    return events.select("id", "table_name", "operation", "created")
+
+
+def union_changes(spark, sf):
+    newest = fx.last_id(spark, sf)
+    log = fx.change_log(spark, sf, routed=True)
+    first, second = read_range(log, 0, newest * 3 // 5), read_range(log, newest * 2 // 5)
+    return union_logs(first, second).select("id", "table_name", "operation", "created")
+
+
+def encode_changes(spark, sf):
+    events = encode(
+        fx.table(spark, sf, "orders"), 1, source=fx.CUSTOMER, seq=F.col("o_orderkey") + 1, created=F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    )
+    rows, _ = decode(events, "mysql")
+    return rows.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+def decode_envelope(spark, sf):
+    raw = change_messages(fx.change_log(spark, sf, routed=True)).select("value")
+    return decode_messages(raw).select("table_key", "id", "table_name", "operation", "created")
+
+
+def decode_requests(spark, sf):
+    """Apply requests, one per supplier and part of the line items, out of a stream that also carries merge requests."""
+    line = fx.table(spark, sf, "lineitem")
+    apply = F.to_json(F.struct(
+        F.lit("h").alias("server_host"), F.col("l_linenumber").cast("string").alias("port"),
+        F.concat(F.lit("T_"), F.col("l_partkey")).alias("table"), F.lit("mysql").alias("database_type"),
+        F.lit("id").alias("identity_key"), F.lit(3).alias("max_retries"), F.col("l_suppkey").alias("latest_offset"),
+        F.lit("shop").alias("database"),
+    ))
+    merge = F.to_json(F.struct(F.lit("h").alias("host"), F.lit("m").alias("mergeTable")))
+    raw = line.select(
+        F.when(F.col("l_returnflag") == "N", "merge-request").otherwise("table-change").alias("topic"),
+        F.when(F.col("l_returnflag") == "N", merge).otherwise(apply).alias("value"),
+    )
+    requests = decode_request_messages(raw, "apply", topic="table-change")
+    return requests.select("server_host", "port", F.col("table").alias("table_name"), "latest_offset", "topic_cdc")
+
+
+def decode_changes(spark, sf):
+    return decode(fx.change_log(spark, sf), "mysql", modified=LOADED)[0]
+
+
+def decode_quarantine(spark, sf):
+    return decode(fx.change_log(spark, sf, damaged=True), "mysql")[1].select("id", "operation", "reason")
+
+
+def changes_schema(spark, sf):
+    return schema_entries(fx.change_log(spark, sf)).select("name", "source_type", "position", "last_id")
+
+
+def route_changes(spark, sf):
+    out = work_path(spark, "routed")
+    log = fx.change_log(spark, sf, routed=True)
+    route(log, out)
+    return spark.read.parquet(out).select("table_key", "id", "operation", "created")
+
+
+# --- compaction and merge ---
+
+def compact_per_operation(spark, sf):
+    return compact_changes(_rows(spark, sf), KEY)
+
+
+def compact_latest(spark, sf):
+    return compact_changes(_rows(spark, sf), KEY, mode="latest")
+
+
+def apply_changes(spark, sf):
+    return apply_batch(fx.table(spark, sf, "customer"), _rows(spark, sf), KEY)
+
+
+def apply_changes_per_operation(spark, sf):
+    return apply_batch(fx.table(spark, sf, "customer"), _rows(spark, sf), KEY, compact="per_operation")
+
+
+def apply_changes_type_conflict(spark, sf):
+    customer = fx.table(spark, sf, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("string"))
+    return apply_batch(customer, _rows(spark, sf), KEY)
+
+
+def replace_table(spark, sf):
+    path = work_path(spark, "customer")
+    write_table(fx.table(spark, sf, "customer"), path)
+    return apply_to_table(spark, path, _rows(spark, sf), KEY)
+
+
+def apply_changes_partitioned(spark, sf):
+    path = work_path(spark, "customer")
+    write_table(fx.table(spark, sf, "customer"), path, "c_mktsegment")
+    rows = _rows(spark, sf)
+    # The column added half-way rewrites the table; after that only the touched partitions.
+    newest = fx.last_id(spark, sf)
+    apply_partitioned(spark, path, rows.where(F.col("seq") <= newest // 3), KEY, "c_mktsegment")
+    return apply_partitioned(spark, path, rows.where(F.col("seq") > newest // 3), KEY, "c_mktsegment")
+
+
+def align_schemas_string(spark, sf):
+    left = fx.table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").cast("string").alias("c_acctbal"), "c_name")
+    right = fx.table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("C_CUSTKEY"), F.col("o_orderkey").alias("c_acctbal"), "o_orderstatus"
+    )
+    a, b = align_schemas(left, right)
+    return a.unionByName(b)
+
+
+def align_schemas_widen(spark, sf):
+    left = fx.table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("n"), F.col("c_acctbal").alias("v"))
+    right = fx.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("n"), F.lit(1).alias("v"))
+    a, b = align_schemas(left, right, on_conflict="widen")
+    return a.unionByName(b)
+
+
+# --- consolidated tables ---
+
+def _customer(spark, sf):
+    return map_member(fx.table(spark, sf, "customer"), fx.PARTY_MAPPING, "customer", "crm")
+
+
+def _party(spark, sf):
+    supplier = map_member(fx.table(spark, sf, "supplier"), fx.PARTY_MAPPING, "supplier", "erp")
+    return consolidate_tables(_customer(spark, sf), supplier, fx.PARTY_MAPPING)
+
+
+def map_columns(spark, sf):
+    return _customer(spark, sf)
+
+
+def consolidate(spark, sf):
+    return _party(spark, sf)
+
+
+def consolidate_many_to_one(spark, sf):
+    """Orders and customers by customer: the key repeats on one side, and types of a mapped column differ."""
+    mapping = [
+        Mapping("party", ("a.orders.o_custkey", "b.customer.c_custkey"), unique=True),
+        Mapping("amount", ("a.orders.o_orderkey", "b.customer.c_mktsegment")),
+    ]
+    orders = map_member(fx.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), mapping, "orders", "a")
+    customer = map_member(fx.table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal"), mapping, "customer", "b")
+    return consolidate_tables(orders, customer, mapping)
+
+
+def propagate_replace(spark, sf):
+    delta = compact_changes(_rows(spark, sf), KEY, mode="latest")
+    return propagate_changes(_party(spark, sf), delta, fx.PARTY_MAPPING, "customer", "crm")
+
+
+def propagate_patch(spark, sf):
+    return propagate_changes(_party(spark, sf), _rows(spark, sf), fx.PARTY_MAPPING, "customer", "crm", mode="patch")
+
+
+def targets_of(spark, sf):
+    return definitions_of(fx.definitions(spark, sf), "t_5", "db_3").select("merge_table_name")
+
+
+def new_members(spark, sf):
+    return added_members(fx.definitions(spark, sf, returned_only=True), fx.definitions(spark, sf)).select(
+        "merge_table_name", "table_id", F.col("table").alias("table_name"), "database_alias"
+    )
+
+
+# --- schema history ---
+
+def describe_tables(spark, sf):
+    described = describe(fx.column_catalog(spark, sf))
+    listed = F.array_join(F.from_json("schema", "array<string>"), ",")
+    return described.select("table_name", "column_count", listed.alias("columns"))
+
+
+def parse_source_types(spark, sf):
+    properties = column_properties(fx.new_columns(spark, sf), "table_name")
+    return properties.withColumn("possibleValues", F.array_join("possibleValues", ","))
+
+
+def map_source_types(spark, sf):
+    return fx.new_columns(spark, sf).select("table_name", "column_name", spark_type_name("data_type").alias("spark_type"))
+
+
+def _versions(spark, sf):
+    path = work_path(spark, "schemas")
+    stored = pack_schemas(column_properties(fx.old_columns(spark, sf), "db_type", "table_name"))
+    record(stored, path, 1)
+    current = pack_schemas(column_properties(fx.new_columns(spark, sf), "db_type", "table_name"))
+    record(changed(latest(spark.read.parquet(path)), current), path, 2)
+    return spark.read.parquet(path)
+
+
+def record_schemas(spark, sf):
+    return _versions(spark, sf).select("id", "db_type", "table_name")
+
+
+def latest_schemas(spark, sf):
+    columns = unpack_schemas(latest(_versions(spark, sf)))
+    return columns.withColumn("possibleValues", F.array_join("possibleValues", ","))
+
+
+def diff_tables(spark, sf):
+    orders = fx.table(spark, sf, "orders")
+    name = F.concat(F.lit("Tab_"), F.col("o_custkey"))
+    old = orders.where("o_orderstatus = 'F'").select(name.alias("table_name"))
+    new = orders.where("o_orderstatus <> 'F' and o_orderpriority >= '4'").select(F.upper(name).alias("table_name"))
+    return diff_lists(old, new)
+
+
+def _events(spark, sf):
+    return diff_columns(
+        column_properties(fx.old_columns(spark, sf), "db_type", "table_name"),
+        column_properties(fx.new_columns(spark, sf), "db_type", "table_name"),
+    )
+
+
+def diff_schemas(spark, sf):
+    return _events(spark, sf)
+
+
+def schema_alerts(spark, sf):
+    return alerts(_events(spark, sf), "db1.example", created="2024-02-01T00:00:00").select(
+        "msg", "created", "entity_name", "entity_type", "alert_level", "alert_cycle", F.col("metrics.changeType").alias("changeType")
+    )
+
+
+# --- user queries ---
+
+def resolve_aliases(spark, sf):
+    return aliases(fx.databases(spark, sf), fx.tables(spark, sf), fx.servers(spark, sf))
+
+
+def _catalog(spark, sf):
+    return {
+        "crm.customer": f"{sf}/customer.parquet",
+        "shop-1.Orders": f"{sf}/orders.parquet",
+        "merge_request.party": _party(spark, sf),
+    }
+
+
+REVENUE_SQL = """
+    select c.c_mktsegment, o.o_orderstatus, count(*) as orders, count(p.s_acctbal_supplier_erp) as suppliers,
+           max(o.o_totalprice) as largest
+    from :CRM.customer: c join :shop-1.orders: o on c.c_custkey = o.o_custkey
+    join :merge_request.party: p on p.party_key = c.c_custkey
+    group by c.c_mktsegment, o.o_orderstatus
+"""
+
+
+def run_query(spark, sf):
+    return run_sql(spark, REVENUE_SQL, _catalog(spark, sf))
+
+
+def run_queries(spark, sf):
+    requests = spark.createDataFrame(
+        [
+            (1, 10, 100, "select * from :crm.customer: where c_acctbal > 0"),
+            (2, 20, 200, "select o_orderstatus, count(*) as n from :shop-1.orders: group by o_orderstatus"),
+            (3, 30, 300, "select * from :crm.missing:"),
+        ],
+        "jobId int, requestId int, etlID int, query string",
+    )
+    return run_requests(spark, requests, _catalog(spark, sf), work_path(spark, "results")).select(
+        "jobId", "requestId", "status", "total_rows"
+    )
+
+
+def export_csv(spark, sf):
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    path = export(orders, work_path(spark, "csv"))
+    return spark.read.option("header", True).schema(orders.schema).csv(path)
+
+
+def percent_returned(spark, sf):
+    sums = fx.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).otherwise(0.0)).alias("closed"),
+        F.sum(F.when((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R"), F.col("l_quantity")).otherwise(0.0)).alias("returned"),
+    )
+    return sums.select("l_suppkey", percent_of("closed", "returned").alias("percent"))
+
+
+def percent_by_sql(spark, sf):
+    register_functions(spark)
+    return run_sql(
+        spark,
+        "select l_orderkey, percent_recover(sum(l_quantity), sum(case when l_returnflag = 'R' then l_quantity else 0 end)) as percent "
+        "from :shop.lineitem: group by l_orderkey",
+        {"shop.lineitem": f"{sf}/lineitem.parquet"},
+    )
+
+
+# --- progress ---
+
+def change_watermarks(spark, sf):
+    return watermarks(fx.change_log(spark, sf, routed=True))
+
+
+def cdc_lag(spark, sf):
+    log = fx.change_log(spark, sf, routed=True)
+    # The orders stream was never applied, the customer stream wholly, the supplier stream by half.
+    newest = fx.last_id(spark, sf)
+    applied = (
+        log.where(F.col("table_name") != "orders")
+        .where((F.col("table_name") == "customer") | (F.col("id") <= newest // 2))
+        .groupBy(table_key().alias("table_key")).agg(F.max("id").alias("last_id"))
+    )
+    return lag_of(log, applied)
+
+
+def latest_per_key(spark, sf):
+    return newest_rows(fx.table(spark, sf, "lineitem"), "l_suppkey", ["l_shipdate", "l_quantity"])
+
+
+def run_progress(spark, sf):
+    path = work_path(spark, "runs")
+    append_log(fx.run_log(spark, sf), path)
+    return progress(spark.read.schema(RUN_LOG).parquet(path))
+
+
+def append_run_log(spark, sf):
+    path = work_path(spark, "runs")
+    append_log(fx.run_log(spark, sf), path)
+    return spark.read.parquet(path).select("job_id", "request_id", "step", "status", "statusOrder", "create_time", "number_step")
+
+
+# --- copies and streams ---
+
+def snapshot_table(spark, sf):
+    return snapshot(spark, fx.table(spark, sf, "orders"), work_path(spark, "orders"), "o_orderstatus", modified=LOADED)
+
+
+def stream_changes(spark, sf):
+    """The log as a file stream, applied to a copy of customer and passed on to a consolidated table."""
+    base = work_path(spark, "stream")
+    write_table(fx.table(spark, sf, "customer"), f"{base}/customer")
+    fx.change_log(spark, sf).coalesce(1).write.parquet(f"{base}/log")
+    applier = ChangeApplier(
+        spark,
+        {fx.CUSTOMER.key: TableTarget(f"{base}/customer", KEY, "customer")},
+        state=f"{base}/applied", quarantine=f"{base}/quarantine",
+    )
+    stream(spark, f"{base}/log", applier, f"{base}/checkpoint", format="parquet", once=True).awaitTermination()
+    return spark.read.parquet(f"{base}/customer")
+
+
+def stream_to_merge_table(spark, sf):
+    base = work_path(spark, "stream")
+    write_table(fx.table(spark, sf, "customer"), f"{base}/customer", "c_mktsegment")
+    write_table(_party(spark, sf), f"{base}/party")
+    fx.change_log(spark, sf).coalesce(1).write.json(f"{base}/log")
+    applier = ChangeApplier(
+        spark,
+        {fx.CUSTOMER.key: TableTarget(
+            f"{base}/customer", KEY, "customer", partition_by="c_mktsegment",
+            merges=[MergeTarget(f"{base}/party", fx.PARTY_MAPPING, "crm")],
+        )},
+        state=f"{base}/applied", quarantine=f"{base}/quarantine",
+    )
+    stream(spark, f"{base}/log", applier, f"{base}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{base}/party")
+
+
+ALL = [
+    read_changes, union_changes, encode_changes, decode_envelope, decode_requests, decode_changes, decode_quarantine,
+    changes_schema, route_changes, compact_per_operation, compact_latest, apply_changes, apply_changes_per_operation,
+    apply_changes_type_conflict, replace_table, apply_changes_partitioned, align_schemas_string, align_schemas_widen,
+    map_columns, consolidate, consolidate_many_to_one, propagate_replace, propagate_patch, targets_of, new_members,
+    describe_tables, parse_source_types, map_source_types, record_schemas, latest_schemas, diff_tables, diff_schemas,
+    schema_alerts, resolve_aliases, run_query, run_queries, export_csv, percent_returned, percent_by_sql,
+    change_watermarks, cdc_lag, latest_per_key, run_progress, append_run_log, snapshot_table, stream_changes,
+    stream_to_merge_table,
+]
