@@ -133,7 +133,7 @@ class TableRef:
 
     @property
     def key(self) -> str:
-        return "-".join(["cdc", self.host, str(self.port), self.database, self.table])
+        return "-".join(["cdc", self.host, str(self.port), self.database, self.table.lower()])
 
     def path(self, root: str = "/user") -> str:
         space = self.owner if self.system == "oracle" else self.database

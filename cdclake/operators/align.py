@@ -8,7 +8,7 @@ from cdclake.operators.columns import col
 
 # Numeric types from narrow to wide, for on_conflict="widen".
 _NUMERIC = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]
-_WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+_WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
 def align_schemas(left: DataFrame, right: DataFrame, on_conflict: str = "string") -> tuple[DataFrame, DataFrame]:

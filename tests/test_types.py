@@ -1,0 +1,62 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cdclake.functions import map_source_type, parse_source_type, percent_of, register_functions, spark_type_name
+
+CASES = [
+    ("varchar(20)", "mysql", "string"), ("VARCHAR2", "oracle", "string"), ("CLOB", "oracle", "string"),
+    ("mediumtext", "mysql", "string"), ("character", "postgresql", "string"), ("datetime", "mysql", "timestamp"),
+    ("mediumint", "mysql", "int"), ("json", "mysql", "string"), ("uuid", "postgresql", "string"),
+    ("bytea", "postgresql", "binary"), ("timestamptz", "postgresql", "timestamp"), ("NUMBER", "oracle", "decimal(38,10)"),
+    ("NUMBER(10)", "oracle", "decimal(10,0)"), ("NUMBER(10,2)", "oracle", "decimal(10,2)"),
+    ("NUMBER(5,-2)", "oracle", "decimal(7,0)"), ("decimal", "mysql", "decimal(10,0)"), ("decimal(65,30)", "mysql", "string"),
+    ("int(11)", "mysql", "int"), ("int(11) unsigned", "mysql", "bigint"), ("bigint(20) unsigned", "mysql", "decimal(20,0)"),
+    ("USER-DEFINED", "postgresql", "string"), ("double precision", "postgresql", "double"), ("BINARY_DOUBLE", "oracle", "double"),
+    ("timestamp(6)", "oracle", "timestamp"), ("bool", "postgresql", "boolean"), ("int8", "postgresql", "bigint"),
+]
+
+
+@pytest.mark.parametrize("text,dialect,expected", CASES)
+def test_source_types(text, dialect, expected):
+    kind, known = map_source_type(text, dialect)
+    assert (kind.simpleString(), known) == (expected, True)
+
+
+def test_unknown_types_are_strings_and_say_so():
+    kind, known = map_source_type("geometry", "mysql")
+    assert (kind.simpleString(), known) == ("string", False)
+
+
+def test_bare_number_can_stay_text():
+    assert map_source_type("NUMBER", "oracle", number_as="string")[0].simpleString() == "string"
+
+
+@pytest.mark.parametrize("dialect", ["mysql", "oracle", "postgresql"])
+def test_column_form_agrees(spark, dialect):
+    texts = [c[0] for c in CASES if c[1] == dialect] + ["geometry"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for text, name in df.select("t", spark_type_name("t", dialect)).collect():
+        kind, known = map_source_type(text, dialect)
+        assert name == (kind.simpleString() if known else None), text
+
+
+def test_source_type_parts(spark):
+    df = spark.createDataFrame(
+        [("varchar(523)",), ("int(11) unsigned",), ("int(10) signed",), ("enum('b','a')",), ("text",), ("decimal(10,2)",)], "t string"
+    )
+    found = {r[0]: tuple(r[1]) for r in df.select("t", parse_source_type("t")).collect()}
+    assert found == {
+        "varchar(523)": ("varchar", 523, None, []), "int(11) unsigned": ("int", 11, False, []),
+        "int(10) signed": ("int", 10, True, []), "enum('b','a')": ("enum", -1, None, ["a", "b"]),
+        "text": ("text", -1, None, []), "decimal(10,2)": ("decimal", 10, None, []),
+    }
+
+
+def test_percent(spark, rows):
+    df = spark.createDataFrame([(0.0, 5.0), (4.0, 1.0), (None, 1.0), (4.0, None)], "c double, r double")
+    expected = [None, None, 0.0, 25.0]
+    assert [r[0] for r in rows(df.select(percent_of("c", "r")))] == expected
+    register_functions(spark, "recovered")
+    df.createOrReplaceTempView("cases")
+    assert [r[0] for r in rows(spark.sql("select recovered(c, r) from cases"))] == expected
+    assert "Python" not in spark.sql("select recovered(c, r) from cases")._jdf.queryExecution().executedPlan().toString()
