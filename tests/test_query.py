@@ -1,0 +1,76 @@
+import pytest
+
+from cdclake.plans.query import (
+    alias_catalog, alias_of, default_key, ordered_aliases, resolve_aliases, run_queries, run_query,
+)
+from cdclake.sources.tables import export_csv, list_names
+
+
+@pytest.fixture
+def catalog(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    spark.createDataFrame([(1, 10), (2, 20)], "id int, amount int").write.parquet(path)
+    return {"Shop-0.orders": path, "merge_request.party": spark.createDataFrame([(1, "x")], "id int, name string")}
+
+
+def test_tokens_match_without_case(spark, rows, catalog):
+    sql = "select o.amount, p.name from :shop-0.ORDERS: o left join :MERGE_REQUEST.Party: p using (id)"
+    assert rows(run_query(spark, sql, catalog)) == [(10, "x"), (20, None)]
+
+
+def test_a_token_in_use_twice(spark, rows, catalog):
+    assert rows(run_query(spark, "select id from :shop-0.orders: union all select id from :Shop-0.orders:", catalog)) == [(1,), (1,), (2,), (2,)]
+
+
+def test_times_and_casts_are_not_tokens(spark, rows, catalog):
+    assert rows(run_query(spark, "select timestamp_ntz '2024-01-01 10:20:30' = '2024-01-01 10:20:30' as same, '1'::int as n", catalog)) == [(True, 1)]
+
+
+def test_an_unknown_alias_is_an_error(spark, catalog):
+    with pytest.raises(ValueError, match="shop-0.missing"):
+        run_query(spark, "select * from :shop-0.missing:", catalog)
+
+
+def test_requests_report_one_row_each(spark, rows, catalog, tmp_path):
+    requests = spark.createDataFrame(
+        [(1, 7, 1, "select * from :shop-0.orders:"), (2, 8, 2, "selec"), (3, 9, 3, "select 1/0 as x"), (4, 9, 4, "select * from :shop-0.orders: where id < 0")],
+        "jobId int, requestId int, etlID int, query string",
+    )
+    found = {r["jobId"]: r for r in run_queries(spark, requests, catalog, str(tmp_path / "out"), single_file=True).collect()}
+    assert [found[j]["status"] for j in (1, 2, 3, 4)] == ["success", "fail", "fail", "success"]
+    assert found[1]["total_rows"] == 2 and found[4]["total_rows"] == 0
+    assert len(found[2]["message_fail"]) <= 300
+    assert rows(spark.read.option("header", True).csv(found[1]["result_path"])) == [("1", "10"), ("2", "20")]
+
+
+def test_export(spark, tmp_path):
+    df = spark.range(100, numPartitions=5)
+    path = export_csv(df, str(tmp_path / "many"))
+    assert len([n for n in list_names(spark, path) if n.startswith("part")]) == 5
+    one = export_csv(df, str(tmp_path / "one"), single_file=True)
+    assert one.endswith(".csv") and spark.read.option("header", True).csv(one).count() == 100
+
+
+@pytest.fixture
+def aliases(spark):
+    servers = spark.createDataFrame([(1, "h2"), (2, "h1")], "id int, server_host string")
+    databases = spark.createDataFrame(
+        [(1, 1, "mysql", "3306", "shop", "sh", 0), (2, 2, "mysql", "3306", "crm", "cr", 0), (3, 2, "mysql", "3306", "old", "ol", 1)],
+        "id int, server_info_id int, database_type string, port string, database_name string, alias string, deleted int",
+    )
+    tables = spark.createDataFrame(
+        [(10, 1, "orders", "id"), (11, 2, "Customer", "c_id"), (12, 3, "x", "id")],
+        "id int, database_info_id int, table_name string, default_key string",
+    )
+    return resolve_aliases(databases, tables, servers)
+
+
+def test_alias_catalog(spark, aliases):
+    listed = [r["table_name"] for r in ordered_aliases(aliases).collect()]
+    assert listed == ["Customer", "orders"]
+    assert alias_of(aliases, "h1", "3306") == "cr" and alias_of(aliases, "h9", "1") is None
+    assert default_key(aliases, "h1", "3306", "crm", "Customer") == "c_id"
+    find = alias_catalog(spark, aliases, "/lake")
+    assert find("cr.customer") == "/lake/mysql/h1/3306/crm/Customer"
+    assert find("merge_request.party") == "/lake/merge_request/party"
+    assert find("ol.x") is None
