@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cdclake.model import DELETE
 from cdclake.operators.align import align_schemas
@@ -38,11 +38,9 @@ def apply_changes(
     return _merge(target, compact_changes(changes, key, seq, op, compact), key, seq, op, on_conflict)
 
 
-def _merge(target, delta, key, seq, op, on_conflict, small_keys=None) -> DataFrame:
-    upserts = written_rows(delta, seq, op)
-    old, new = align_schemas(target, upserts, on_conflict)
-    keys = changed_keys(delta, key, op) if small_keys is None else small_keys
-    return _without(old, keys, key).unionByName(new)
+def _merge(target, delta, key, seq, op, on_conflict) -> DataFrame:
+    old, new = align_schemas(target, written_rows(delta, seq, op), on_conflict)
+    return _without(old, changed_keys(delta, key, op), key).unionByName(new)
 
 
 def written_rows(delta: DataFrame, seq: str, op: str) -> DataFrame:
@@ -99,14 +97,10 @@ def apply_to_table(
     on_conflict: str = "string",
 ) -> DataFrame:
     """Apply a batch to a stored, unpartitioned table and replace it; the new table."""
-    key = as_list(key)
-    recover_table(spark, path)
     delta, staged = stage_delta(changes, key, compact, seq, op)
-    keys = broadcast_if_small(changed_keys(delta, key, op))
-    merged = _merge(spark.read.parquet(path), delta, key, seq, op, on_conflict, keys)
-    replace_table(merged, path)
+    merged = merge_delta(spark, path, delta, key, (), seq, op, on_conflict)
     delete(spark, staged)
-    return spark.read.parquet(path)
+    return merged
 
 
 def apply_changes_partitioned(
@@ -131,46 +125,99 @@ def apply_changes_partitioned(
     New columns or changed types concern every file, so such a batch rewrites
     the whole table once.
     """
-    key, parts = as_list(key), as_list(partition_by)
-    if not parts:
+    if not as_list(partition_by):
         raise ValueError("a partitioned merge needs partition columns")
-    recover_table(spark, path)
     delta, staged = stage_delta(changes, key, compact, seq, op)
-    keys = broadcast_if_small(changed_keys(delta, key, op))
-    target = spark.read.parquet(path)
-    parts = resolve(target, parts)
-    upserts = written_rows(delta, seq, op)
-    old, new = align_schemas(target, upserts, on_conflict)
-    if [(f.name, f.dataType) for f in old.schema.fields] != [(f.name, f.dataType) for f in target.schema.fields]:
-        replace_table(_without(old, keys, key).unionByName(new), path, parts)
-    else:
-        rewritten = _touched_folders(target, keys, key, path, parts)
-        kept = None
-        if rewritten:
-            touched = (
-                spark.read.schema(target.schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in rewritten])
-            )
-            kept = _without(touched, keys, key)
-        stage = staging_path(path)
-        write_table(new if kept is None else kept.select(*new.columns).unionByName(new), stage, parts)
-        written = partition_folders(spark, stage, len(parts))
-        actions = {f: "remove" for f in rewritten if f not in written}
-        actions |= {f: "replace" if f in rewritten else "append" for f in written}
-        publish(spark, stage, path, actions)
+    merged = merge_delta(spark, path, delta, key, partition_by, seq, op, on_conflict)
     delete(spark, staged)
+    return merged
+
+
+def merge_delta(
+    spark: SparkSession,
+    path: str,
+    delta: DataFrame,
+    key: str | Iterable[str],
+    partition_by: str | Iterable[str] = (),
+    seq: str = "seq",
+    op: str = "operation",
+    on_conflict: str = "string",
+) -> DataFrame:
+    """Merge a stored delta into a stored table; the new table.
+
+    The changed keys are measured, and broadcast when small: then no table row
+    is shuffled, and rows stay in the files of their partition. Otherwise the
+    anti-join shuffles, adaptive execution splits skewed partitions, and the
+    output is rebalanced on its partition columns.
+    """
+    key, parts = as_list(key), as_list(partition_by)
+    recover_table(spark, path)
+    keys, few = broadcast_if_small(changed_keys(delta, key, op))
+    target = _read_table(spark, path, parts, delta)
+    parts = resolve(target, parts)
+    old, new = align_schemas(target, written_rows(delta, seq, op), on_conflict)
+    if not parts:
+        replace_table(_without(old, keys, key).unionByName(new), path)
+        return spark.read.schema(old.schema).parquet(path)
+
+    def output(kept: DataFrame | None) -> DataFrame:
+        if kept is None:
+            return new.hint("rebalance", *parts)
+        return kept.unionByName(new.hint("rebalance", *parts)) if few else kept.unionByName(new).hint("rebalance", *parts)
+
+    if _shape(old) != _shape(target):
+        replace_table(output(_without(old, keys, key)), path, parts, rebalance=False)
+        return spark.read.schema(old.schema).option("basePath", path).parquet(path)
+    rewritten = _touched_folders(target, keys, key, parts)
+    kept = None
+    if rewritten:
+        touched = spark.read.schema(target.schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in rewritten])
+        kept = _without(touched, keys, key).select(*[col(c) for c in new.columns])
+    stage = staging_path(path)
+    write_table(output(kept), stage, parts, rebalance=False)
+    written = partition_folders(spark, stage, len(parts))
+    actions = {f: "remove" for f in rewritten if f not in written}
+    actions |= {f: "replace" if f in rewritten else "append" for f in written}
+    publish(spark, stage, path, actions)
     return spark.read.schema(old.schema).option("basePath", path).parquet(path)
 
 
-def _touched_folders(target: DataFrame, keys: DataFrame, key: list[str], path: str, parts: list[str]) -> list[str]:
+def _shape(df: DataFrame) -> list[tuple]:
+    return [(f.name, f.dataType) for f in df.schema.fields]
+
+
+def _read_table(spark: SparkSession, path: str, parts: list[str], delta: DataFrame) -> DataFrame:
+    """The stored table. Partition values, stored as text, get the type the delta has for them.
+
+    Left to inference, a text value such as ``007`` would come back as a number
+    and be written as another partition.
+    """
+    found = spark.read.parquet(path)
+    if not parts:
+        return found
+    names = {p.lower() for p in parts}
+    types = {f.name.lower(): f.dataType for f in delta.schema.fields}
+    schema = T.StructType([
+        T.StructField(f.name, types.get(f.name.lower(), T.StringType()) if f.name.lower() in names else f.dataType)
+        for f in found.schema.fields
+    ])
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
+def _touched_folders(target: DataFrame, keys: DataFrame, key: list[str], parts: list[str]) -> list[str]:
     """Partition folders holding a row of a changed key. Reads the key columns only.
 
     At most one row per partition of the table reaches the driver, which lists
     those folders anyway.
     """
     names = resolve(target, key)
-    # File paths come percent-encoded; a plus sign in one means itself.
-    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    folder = F.regexp_extract(file, "((?:[^/]+=[^/]*/){%d})[^/]+$" % len(parts), 1)
-    located = target.select(*[col(n) for n in names], folder.alias("_folder"))
-    hits = located.join(keys, _key_match(located, keys, key), "left_semi").select("_folder").distinct()
-    return sorted(r["_folder"].rstrip("/") for r in hits.collect())
+    located = target.select(*[col(n) for n in names], F.col("_metadata.file_path").alias("_file"))
+    hits = located.join(keys, _key_match(located, keys, key), "left_semi").select("_file").distinct()
+    folders = hits.select(folder_of("_file", len(parts)).alias("_folder")).distinct()
+    return sorted(r["_folder"].rstrip("/") for r in folders.collect())
+
+
+def folder_of(file: str, depth: int) -> Column:
+    """The partition folder in a file path, which comes percent-encoded; a plus sign in one means itself."""
+    decoded = F.url_decode(F.replace(F.col(file), F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(decoded, "((?:[^/]+=[^/]*/){%d})[^/]+$" % depth, 1)

@@ -6,35 +6,22 @@ from pyspark.sql import DataFrame, functions as F
 
 # Keys are short; this many stay far below what an executor can hold.
 BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-def row_bytes(df: DataFrame) -> int | None:
-    """Width of a row if all columns have a fixed width; None with strings or nested columns."""
-    total = 0
-    for field in df.schema.fields:
-        size = {
-            "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8,
-            "date": 4, "timestamp": 8, "timestamp_ntz": 8,
-        }.get(field.dataType.simpleString())
-        if size is None:
-            return None
-        total += size
-    return total
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> tuple[DataFrame, bool]:
+    """Mark a stored frame for broadcast if it is measured to be small, and say whether it was.
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a stored frame for broadcast if it is measured to be small; otherwise leave it alone.
-
-    For frames read back from a written table, where counting costs little.
-    Unmarked frames are joined as Spark finds best: by broadcast below its own
-    threshold, else by shuffle, with skewed partitions split.
+    For frames read back from a written table, where one more pass over few
+    columns costs little. An unmarked frame is joined as Spark finds best: by
+    broadcast below its own threshold, else by shuffle, with skewed partitions
+    split.
     """
-    width = row_bytes(df)
-    if width is not None:
-        rows = df.limit(max_rows + 1).count()
-        return F.broadcast(df) if rows <= max_rows and rows * width <= max_bytes else df
-    sizes = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema.fields]
-    total = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(sum(sizes[1:], sizes[0])), F.lit(0)).alias("bytes"))
-    measured = total.first()
-    return F.broadcast(df) if measured["rows"] <= max_rows and measured["bytes"] <= max_bytes else df
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(8)) + 8 for f in df.schema.fields]
+    measured = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(sum(sizes[1:], sizes[0])), F.lit(0)).alias("bytes")
+    ).first()
+    small = measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
+    return (F.broadcast(df) if small else df), small

@@ -13,21 +13,23 @@ from cdclake.operators.columns import as_list
 _PLAN = "_publish.json"
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | Iterable[str] = (), mode: str = "overwrite") -> None:
+def write_table(
+    df: DataFrame, path: str, partition_by: str | Iterable[str] = (), mode: str = "overwrite", rebalance: bool = True
+) -> None:
     """Write a frame as a Parquet table.
 
     Partitioned output is rebalanced on its partition columns first, so a table
     does not end up with one small file per task and partition; adaptive
     execution splits a partition value that holds a large share of the rows.
+    ``rebalance=False`` spares the shuffle where the frame is laid out already.
     """
     columns = as_list(partition_by)
-    if columns:
-        df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(path)
-    else:
-        df.write.mode(mode).parquet(path)
+    if columns and rebalance:
+        df = df.hint("rebalance", *columns)
+    df.write.mode(mode).partitionBy(*columns).parquet(path)
 
 
-def replace_table(df: DataFrame, path: str, partition_by: str | Iterable[str] = ()) -> None:
+def replace_table(df: DataFrame, path: str, partition_by: str | Iterable[str] = (), rebalance: bool = True) -> None:
     """Replace a table with a frame that may read that same table.
 
     The frame is written next to the table and then takes its place. Once the
@@ -37,7 +39,7 @@ def replace_table(df: DataFrame, path: str, partition_by: str | Iterable[str] =
     spark = df.sparkSession
     recover_table(spark, path)
     stage = staging_path(path)
-    write_table(df, stage, partition_by)
+    write_table(df, stage, partition_by, rebalance=rebalance)
     publish(spark, stage, path)
 
 

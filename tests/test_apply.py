@@ -178,6 +178,20 @@ def test_partitioned_equals_unpartitioned_and_repeats_safely(spark, rows, lake,
     assert rows(spark.read.parquet(path), "id", "p", "v") == rows(expected)
 
 
+def test_partition_values_that_look_like_numbers_stay_text(spark, rows, lake):
+    path = lake((1, "007", "x"), (2, "008", "y"), (3, "9", "z"), partition_by="p")
+    merged = apply_changes_partitioned(spark, path, events(spark, (1, "007", "x2", U, 1), (3, "010", "z2", U, 2)), "id", "p")
+    assert rows(merged, "id", "p", "v") == [(1, "007", "x2"), (2, "008", "y"), (3, "010", "z2")]
+    assert tb.partition_folders(spark, path, 1) == ["p=007", "p=008", "p=010"]
+
+
+def test_many_changed_keys_are_joined_by_shuffle(spark, rows, lake, monkeypatch):
+    monkeypatch.setattr("cdclake.operators.apply.broadcast_if_small", lambda df: (df, False))
+    path = lake((1, "a", "x"), (2, "b", "y"), (3, "b", "z"), partition_by="p")
+    merged = apply_changes_partitioned(spark, path, events(spark, (1, "b", "x2", U, 1), (2, "b", None, D, 2)), "id", "p")
+    assert rows(merged, "id", "p", "v") == [(1, "b", "x2"), (3, "b", "z")]
+
+
 class Crash(Exception):
     pass
 

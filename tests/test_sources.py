@@ -83,12 +83,15 @@ def test_jdbc_options():
 
 
 def test_broadcast_only_what_was_measured_to_be_small(spark):
+    def hinted(*args, **limits):
+        df, small = broadcast_if_small(*args, **limits)
+        assert small == ("ResolvedHint" in df._jdf.queryExecution().analyzed().toString())
+        return small
+
     numbers = spark.range(100)
-    assert "ResolvedHint" in broadcast_if_small(numbers)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(numbers, max_rows=99)._jdf.queryExecution().analyzed().toString()
+    assert hinted(numbers) and not hinted(numbers, max_rows=99)
     text = numbers.select(F.repeat(F.lit("x"), 100).alias("t"))
-    assert "ResolvedHint" in broadcast_if_small(text)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(text, max_bytes=9999)._jdf.queryExecution().analyzed().toString()
+    assert hinted(text) and not hinted(text, max_bytes=9999)
 
 
 def test_the_work_folder_is_the_one_the_session_names(spark):
