@@ -10,6 +10,7 @@ from cdclake.model import DELETE, MODIFIED, Mapping
 from cdclake.operators.align import align_schemas
 from cdclake.operators.columns import col, resolve
 from cdclake.operators.compact import compact_changes
+from cdclake.plans.sizing import broadcast_if_small
 
 
 def mapped_names(columns: Iterable[str], mapping: list[Mapping], table: str, alias: str, keep=("operation",)) -> dict[str, str]:
@@ -143,6 +144,7 @@ def propagate_changes(
     seq: str = "seq",
     op: str = "operation",
     on_conflict: str = "string",
+    measure: bool = False,
 ) -> DataFrame:
     """A consolidated table after changes to one member table.
 
@@ -157,6 +159,9 @@ def propagate_changes(
     clears the columns fed by this member alone, and the row goes once no column
     beside its key holds a value. Needs one change per key, so it compacts by
     the unique columns.
+
+    ``measure=True``, for changes that are stored, measures the changed keys and
+    broadcasts them when small.
     """
     delta = changes.drop(MODIFIED)
     names = mapped_names(delta.columns, mapping, table, alias, keep=(op.lower(), seq.lower()))
@@ -169,16 +174,18 @@ def propagate_changes(
     if compact is not None:
         delta = compact_changes(delta, keys, seq, op, compact)
     if mode == "replace":
-        return _replace(merged, delta, keys, seq, op, on_conflict)
+        return _replace(merged, delta, keys, seq, op, on_conflict, measure)
     if mode == "patch":
         own = _own_columns(delta.columns, mapping, table, alias, {op, seq, *keys})
-        return _patch(merged, delta, keys, own, seq, op, on_conflict)
+        return _patch(merged, delta, keys, own, op, seq, on_conflict, measure)
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def _replace(merged, delta, keys, seq, op, on_conflict):
+def _replace(merged, delta, keys, seq, op, on_conflict, measure):
     old, new = align_schemas(merged.drop(op), delta.where(col(op) != DELETE).drop(op, seq), on_conflict)
     changed = delta.select(*[col(k) for k in resolve(delta, keys)])
+    if measure:
+        changed, _ = broadcast_if_small(changed)
     kept = old.join(changed, _keys_match(old, changed, keys), "left_anti")
     return kept.unionByName(new)
 
@@ -202,7 +209,7 @@ def _own_columns(columns, mapping, table, alias, skip) -> set[str]:
     return {c.lower() for c in columns if c.lower() not in shared and c.lower() not in skip}
 
 
-def _patch(merged, delta, keys, own, seq, op, on_conflict):
+def _patch(merged, delta, keys, own, op, seq, on_conflict, measure):
     old, new = align_schemas(merged.drop(op), delta.drop(op, seq), on_conflict)
     carried = {c.lower() for c in delta.columns}
     keys = resolve(old, keys)
@@ -218,6 +225,8 @@ def _patch(merged, delta, keys, own, seq, op, on_conflict):
         ],
     )
     slot = {c: f"_c{i}" for i, c in enumerate(aligned)}
+    if measure:
+        delta, _ = broadcast_if_small(delta)
     match = F.lit(True)
     for k in keys:
         match = match & old[f"`{k}`"].eqNullSafe(delta[slot[k]])

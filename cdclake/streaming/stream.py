@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cdclake.model import CHANGE, INSERT, DELETE, UPDATE, Mapping
-from cdclake.operators.apply import apply_changes_partitioned, apply_to_table
-from cdclake.operators.columns import as_list
-from cdclake.operators.consolidate import propagate_changes
-from cdclake.operators.envelope import decode_changes, decode_envelope, table_key
-from cdclake.sources.tables import exists, replace_table
+from cdclake.model import CHANGE, Mapping, RUN_LOG, TableRef, merge_table_path
+from cdclake.operators.consolidate import mapped_names
+from cdclake.operators.envelope import decode_envelope, decode_requests, table_key
+from cdclake.plans.query import run_queries
+from cdclake.plans.sync import MergeTarget, RunLog, TableTarget, consolidate_table, sync_table
+from cdclake.sources.tables import exists, recover_table, replace_table
+
+__all__ = [
+    "ChangeApplier", "MergeTarget", "QueryRunner", "TableMerger", "TableTarget", "read_stream", "stream_changes", "stream_run_log",
+]
 
 APPLIED = "table_key string, last_id bigint, batch_id bigint"
 
@@ -49,7 +53,7 @@ def stream_changes(
     once: bool = False,
     **options: str,
 ) -> StreamingQuery:
-    """Feed micro-batches of change events to a handler, keeping progress in ``checkpoint``.
+    """Feed micro-batches of change events, or of request messages, to a handler, keeping progress in ``checkpoint``.
 
     A batch whose handler fails is run again from the checkpoint. ``once`` takes
     what is there and stops.
@@ -59,41 +63,23 @@ def stream_changes(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-@dataclass
-class MergeTarget:
-    """A consolidated table that a member table feeds."""
-
-    path: str
-    mapping: list[Mapping]
-    alias: str
-    mode: str = "replace"
-
-
-@dataclass
-class TableTarget:
-    """Where and how the changes of one table are applied."""
-
-    path: str
-    key: str
-    table: str
-    dialect: str = "mysql"
-    partition_by: str = ""
-    merges: list[MergeTarget] = field(default_factory=list)
-
-
 class ChangeApplier:
     """A batch handler that merges each table's events into its copy.
 
     Two records make a repeat harmless: the merge itself is an upsert, and
-    events at or below the last applied position are skipped. Events that cannot
-    be decoded go to ``quarantine``.
+    events at or below the last applied position are skipped. A table's events
+    must arrive in log order, as its one-partition stream delivers them. Events
+    that cannot be decoded go to ``quarantine``; steps are noted in ``run_log``.
     """
 
-    def __init__(self, spark: SparkSession, targets: dict[str, TableTarget], state: str, quarantine: str):
+    def __init__(self, spark: SparkSession, targets: dict[str, TableTarget], state: str, quarantine: str,
+                 run_log: str | None = None, compact_state_every: int = 100):
         self.spark, self.targets, self.state, self.quarantine = spark, targets, state, quarantine
+        self.run_log, self.compact_state_every = run_log, compact_state_every
 
     def applied(self) -> DataFrame:
         """Last applied position per table."""
+        recover_table(self.spark, self.state)
         if not exists(self.spark, self.state):
             return self.spark.createDataFrame([], APPLIED)
         rows = self.spark.read.schema(APPLIED).parquet(self.state)
@@ -101,40 +87,82 @@ class ChangeApplier:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.drop("table_key").withColumn("table_key", table_key())
-        # One row per registered table; the events stay where they are.
+        # The batch is read several times; the source should be read once.
+        batch = batch.drop("table_key").withColumn("table_key", table_key()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._apply(spark, batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _apply(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
+        known = list(self.targets)
+        # One row per registered table reaches the driver; the events stay where they are.
         marks = {
             r["table_key"]: r["max_id"]
-            for r in batch.where(F.col("table_key").isin(list(self.targets)))
-            .groupBy("table_key").agg(F.max("id").alias("max_id")).collect()
+            for r in batch.where(F.col("table_key").isin(known)).groupBy("table_key").agg(F.max("id").alias("max_id")).collect()
         }
-        if not marks:
-            return
         done = {r["table_key"]: r["last_id"] for r in self.applied().where(F.col("table_key").isin(list(marks))).collect()}
         for key, newest in sorted(marks.items()):
-            last = done.get(key)
+            last, target = done.get(key), self.targets[key]
             events = batch.where(F.col("table_key") == key).drop("table_key")
             if last is not None:
                 events = events.where(F.col("id").isNull() | (F.col("id") > last))
-            self._apply(spark, key, self.targets[key], events, batch_id)
+            # One folder per batch and table: a repeat overwrites its own.
+            folder = f"{self.quarantine}/batch={batch_id}/table_key={key}"
+            with RunLog(spark, self.run_log, job_id=batch_id, table_name=target.table, request_type="sync_all",
+                        number_step=3 + len(target.merges)) as log:
+                sync_table(spark, events, target, folder, log)
             if newest is not None and (last is None or newest > last):
-                spark.createDataFrame([(key, newest, batch_id)], APPLIED).coalesce(1).write.mode("append").parquet(self.state)
-
-    def _apply(self, spark, key, target, events, batch_id):
-        rows, bad = decode_changes(events, target.dialect)
-        # One folder per batch and table: a repeat overwrites its own.
-        folder = f"{self.quarantine}/batch={batch_id}/table_key={key}"
-        bad.write.mode("overwrite").parquet(folder)
-        if len(rows.columns) == 2:
-            return
-        if as_list(target.partition_by):
-            apply_changes_partitioned(spark, target.path, rows, target.key, target.partition_by)
-        else:
-            apply_to_table(spark, target.path, rows, target.key)
-        for merge in target.merges:
-            merged = spark.read.parquet(merge.path)
-            mode = None if merge.mode == "patch" else "latest"
-            from cdclake.operators.compact import compact_changes
-
-            delta = rows if mode is None else compact_changes(rows, target.key, mode=mode)
-            replace_table(propagate_changes(merged, delta, merge.mapping, target.table, merge.alias, merge.mode), merge.path)
+                mark = spark.createDataFrame([(key, newest, batch_id)], APPLIED)
+                mark.coalesce(1).write.mode("append").parquet(self.state)
+        if batch_id and batch_id % self.compact_state_every == 0 and exists(spark, self.state):
+            replace_table(self.applied().coalesce(1), self.state)
+
+
+class QueryRunner:
+    """A batch handler for a stream of query requests: runs each, exports its result, appends its outcome."""
+
+    def __init__(self, spark: SparkSession, catalog, out_dir: str, outcomes: str):
+        self.spark, self.catalog, self.out_dir, self.outcomes = spark, catalog, out_dir, outcomes
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        requests = decode_requests(batch, "query")
+        outcome = run_queries(spark, requests, self.catalog, self.out_dir)
+        # One folder per batch: a repeat overwrites its own.
+        outcome.coalesce(1).write.mode("overwrite").parquet(f"{self.outcomes}/batch={batch_id}")
+
+
+class TableMerger:
+    """A batch handler for a stream of merge requests: brings each named table copy into its consolidated table.
+
+    ``definitions`` gives a consolidated table's mapping by name, ``alias_of`` the
+    alias of a host and port. A failing request fails its batch, which then runs
+    again; a member brought in before is left as it is.
+    """
+
+    def __init__(self, spark: SparkSession, definitions: dict[str, list[Mapping]], alias_of: Callable[[str, str], str], root: str):
+        self.spark, self.definitions, self.alias_of, self.root = spark, definitions, alias_of, root
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        for r in decode_requests(batch, "merge").toLocalIterator():
+            ref = TableRef(r["databaseType"], r["host"], r["port"], r["database"], r["table"], r["username"])
+            path, alias = merge_table_path(r["mergeTable"], self.root), self.alias_of(r["host"], r["port"])
+            mapping = self.definitions[r["mergeTable"]]
+            member = spark.read.parquet(ref.path(self.root))
+            recover_table(spark, path)
+            if exists(spark, path):
+                own = {n.lower() for n in mapped_names(member.columns, mapping, ref.table, alias).values()}
+                own -= {m.column.lower() for m in mapping}
+                if own & {c.lower() for c in spark.read.parquet(path).columns}:
+                    continue
+            consolidate_table(spark, path, member, mapping, ref.table, alias)
+
+
+def stream_run_log(spark: SparkSession, source: str, path: str, checkpoint: str, format: str = "parquet",
+                   once: bool = False, **options: str) -> StreamingQuery:
+    """Copy step events from a stream of them to a stored run log."""
+    events = read_stream(spark, source, format, RUN_LOG, **options)
+    writer = events.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()

@@ -1,10 +1,15 @@
+import json
+
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from cdclake.model import CHANGE, Mapping
+from cdclake.model import CHANGE, Mapping, RUN_LOG
 from cdclake.operators.consolidate import map_columns
+from cdclake.operators.progress import append_run_log, run_event, run_progress
 from cdclake.sources.tables import write_table
-from cdclake.streaming.stream import ChangeApplier, MergeTarget, TableTarget, stream_changes
+from cdclake.streaming.stream import (
+    ChangeApplier, MergeTarget, QueryRunner, TableMerger, TableTarget, read_stream, stream_changes, stream_run_log,
+)
 
 I, U, D = 1, 2, 3
 MAPPING = [Mapping("key", ("crm.t.id", "erp.u.id"), unique=True)]
@@ -27,7 +32,7 @@ def emit(spark, base, *events):
 
 def applier(spark, base, **options):
     target = TableTarget(f"{base}/t", "id", "t", merges=[MergeTarget(f"{base}/party", MAPPING, "crm")], **options)
-    return ChangeApplier(spark, {"cdc-h-1-db-t": target}, f"{base}/applied", f"{base}/bad")
+    return ChangeApplier(spark, {"cdc-h-1-db-t": target}, f"{base}/applied", f"{base}/bad", f"{base}/runs", compact_state_every=1)
 
 
 def run(spark, base, handler):
@@ -44,6 +49,7 @@ def test_stream_applies_propagates_and_restarts(spark, rows, lake):
     assert rows(spark.read.parquet(f"{lake}/party"), "key", "v_t_crm") == [(1, "x2"), (3, "z")]
     assert rows(handler.applied(), "table_key", "last_id") == [("cdc-h-1-db-t", 5)]
     assert rows(spark.read.parquet(f"{lake}/bad"), "id", "reason") == [(5, "broken row image")]
+    assert rows(run_progress(spark.read.parquet(f"{lake}/runs"))) == [(0, 4, 4, 0, 0, "success"), (1, 4, 4, 0, 0, "success")]
 
 
 def test_a_replayed_batch_changes_nothing(spark, rows, lake):
@@ -71,6 +77,49 @@ def test_a_failed_batch_runs_again(spark, rows, lake):
     assert rows(spark.read.parquet(f"{lake}/t")) == [(1, "x2"), (2, "y")]
 
 
+def test_a_failing_step_is_noted(spark, lake):
+    handler = applier(spark, lake)
+    handler.targets["cdc-h-1-db-t"].merges[0].path = f"{lake}/missing"
+    emit(spark, lake, (1, "t", U, '{"id":"1","v":"x2"}'))
+    with pytest.raises(Exception):
+        handler(spark.read.schema(CHANGE).json(f"{lake}/log"), 0)
+    assert run_progress(spark.read.parquet(f"{lake}/runs")).first()["last_status"] == "fail"
+    assert handler.applied().count() == 0
+
+
+def message_folder(spark, base, *requests):
+    spark.createDataFrame([(json.dumps(r),) for r in requests], "value string").coalesce(1).write.mode("append").parquet(f"{base}/requests")
+    return read_stream(spark, f"{base}/requests", "parquet", T.StructType([T.StructField("value", T.StringType())]))
+
+
+def test_query_requests(spark, rows, lake):
+    source = message_folder(
+        spark, lake, {"jobId": 1, "requestId": 2, "etlID": 3, "query": "select * from :crm.t:"}, {"jobId": 2, "requestId": 2, "etlID": 3, "query": "?"},
+    )
+    runner = QueryRunner(spark, {"crm.t": f"{lake}/t"}, f"{lake}/results", f"{lake}/outcomes")
+    stream_changes(spark, source, runner, f"{lake}/checkpoint", once=True).awaitTermination()
+    assert rows(spark.read.parquet(f"{lake}/outcomes"), "jobId", "status", "total_rows") == [(1, "success", 2), (2, "fail", None)]
+
+
+def test_merge_requests(spark, rows, tmp_path):
+    base = str(tmp_path)
+    mapping = [Mapping("key", ("crm.t.id", "erp.u.id"), unique=True)]
+    for host, name, start in (("h1", "t", 0), ("h2", "u", 1)):
+        write_table(spark.range(start, start + 2).select("id", F.lit(name).alias("v")), f"{base}/mysql/{host}/1/db/{name}")
+    merger = TableMerger(spark, {"party": mapping}, lambda host, port: {"h1": "crm", "h2": "erp"}[host], base)
+    for host, name in (("h1", "t"), ("h2", "u"), ("h2", "u")):
+        source = message_folder(spark, base, {"host": host, "port": "1", "table": name, "databaseType": "mysql", "database": "db", "mergeTable": "party"})
+        stream_changes(spark, source, merger, f"{base}/checkpoint", once=True).awaitTermination()
+    assert rows(spark.read.parquet(f"{base}/merge_request/party"), "key", "v_t_crm", "v_u_erp") == [(0, "t", None), (1, "t", "u"), (2, None, "u")]
+
+
+def test_run_log_stream(spark, rows, tmp_path):
+    base = str(tmp_path)
+    append_run_log(spark.createDataFrame([run_event(1, "success", "m", job_id=4)], RUN_LOG), f"{base}/in")
+    stream_run_log(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", once=True).awaitTermination()
+    assert rows(spark.read.parquet(f"{base}/out"), "job_id", "status", "statusOrder") == [(4, "success", 3)]
+
+
 def test_partitioned_target(spark, rows, tmp_path):
     base = str(tmp_path)
     write_table(spark.createDataFrame([(1, "x"), (2, "y")], "id bigint, v string"), f"{base}/t", "v")
