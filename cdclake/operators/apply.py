@@ -12,7 +12,7 @@ from cdclake.operators.columns import any_null, as_list, col, resolve
 from cdclake.operators.compact import compact_changes
 from cdclake.plans.sizing import broadcast_if_small
 from cdclake.session import work_path
-from cdclake.sources.tables import delete, partition_folders, publish, recover_table, replace_table, staging_path, write_table
+from cdclake.sources.tables import delete, list_names, partition_folders, publish, recover_table, replace_table, staging_path, write_table
 
 
 def apply_changes(
@@ -153,7 +153,7 @@ def merge_delta(
     key, parts = as_list(key), as_list(partition_by)
     recover_table(spark, path)
     keys, few = broadcast_if_small(changed_keys(delta, key, op))
-    target = _read_table(spark, path, parts, delta)
+    target = _read_table(spark, path, parts, delta, seq, op)
     parts = resolve(target, parts)
     old, new = align_schemas(target, written_rows(delta, seq, op), on_conflict)
     if not parts:
@@ -168,7 +168,7 @@ def merge_delta(
     if _shape(old) != _shape(target):
         replace_table(output(_without(old, keys, key)), path, parts, rebalance=False)
         return spark.read.schema(old.schema).option("basePath", path).parquet(path)
-    rewritten = _touched_folders(target, keys, key, parts)
+    rewritten = _touched_folders(target, keys, key, parts) if _has_partitions(spark, path) else []
     kept = None
     if rewritten:
         touched = spark.read.schema(target.schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in rewritten])
@@ -186,15 +186,18 @@ def _shape(df: DataFrame) -> list[tuple]:
     return [(f.name, f.dataType) for f in df.schema.fields]
 
 
-def _read_table(spark: SparkSession, path: str, parts: list[str], delta: DataFrame) -> DataFrame:
+def _read_table(spark: SparkSession, path: str, parts: list[str], delta: DataFrame, seq: str, op: str) -> DataFrame:
     """The stored table. Partition values, stored as text, get the type the delta has for them.
 
     Left to inference, a text value such as ``007`` would come back as a number
     and be written as another partition.
     """
-    found = spark.read.parquet(path)
     if not parts:
-        return found
+        return spark.read.parquet(path)
+    if not _has_partitions(spark, path):
+        # No partition is left, and with it no file that tells the columns.
+        return spark.createDataFrame([], delta.schema).drop(op, seq)
+    found = spark.read.parquet(path)
     names = {p.lower() for p in parts}
     types = {f.name.lower(): f.dataType for f in delta.schema.fields}
     schema = T.StructType([
@@ -204,6 +207,10 @@ def _read_table(spark: SparkSession, path: str, parts: list[str], delta: DataFra
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
+def _has_partitions(spark: SparkSession, path: str) -> bool:
+    return any("=" in name for name in list_names(spark, path))
+
+
 def _touched_folders(target: DataFrame, keys: DataFrame, key: list[str], parts: list[str]) -> list[str]:
     """Partition folders holding a row of a changed key. Reads the key columns only.
 

@@ -124,6 +124,8 @@ def diff_schemas(old: DataFrame, new: DataFrame) -> DataFrame:
         .agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
     )
     was, now = F.col("_old"), F.col("_new")
+    # Most columns stay as they are.
+    pairs = pairs.where(~was.eqNullSafe(now))
     both = was.isNotNull() & now.isNotNull()
 
     def event(when: Column, kind: str, before: Column, after: Column) -> Column:

@@ -51,6 +51,41 @@ def stride_options(column: str, low, high, num_partitions: int | None) -> dict[s
     }
 
 
+# Where each database system lists its columns. Oracle lists those of the
+# connecting user; sizes come with the type where the system keeps them apart.
+CATALOG_QUERIES = {
+    "mysql": """
+        select table_name, column_name, ordinal_position, column_type as data_type, column_default
+        from information_schema.columns where table_schema = '{space}'""",
+    "postgresql": """
+        select table_schema || '.' || table_name as table_name, column_name, ordinal_position,
+               data_type || coalesce('(' || character_maximum_length || ')', '') as data_type, column_default
+        from information_schema.columns where table_schema = '{space}'""",
+    "oracle": """
+        select table_name, column_name, column_id as ordinal_position,
+               data_type || case when data_precision is not null then '(' || data_precision || ',' || data_scale || ')'
+                                 when data_type like '%CHAR%' then '(' || data_length || ')' end as data_type,
+               cast(null as varchar2(1)) as column_default
+        from user_tab_columns""",
+}
+
+
+def catalog_query(system: str, space: str = "") -> str:
+    """SQL listing the columns of all tables in a database or schema, in one shape for all systems."""
+    if "'" in space:
+        raise ValueError(f"not a schema name: {space!r}")
+    return " ".join(CATALOG_QUERIES[system.lower()].format(space=space).split())
+
+
+def read_catalog(spark: SparkSession, system: str, options: dict[str, str], space: str = "") -> DataFrame:
+    """The column catalog of a source database, for ``describe_tables`` and schema tracking."""
+    listed = spark.read.format("jdbc").options(**options).option("query", catalog_query(system, space)).load()
+    lower = listed.select(*[F.col(f"`{c}`").alias(c.lower()) for c in listed.columns])
+    return lower.select(
+        "table_name", "column_name", F.col("ordinal_position").cast("int").alias("ordinal_position"), "data_type", "column_default"
+    )
+
+
 def stamp_load(df: DataFrame, modified: str | None = None) -> DataFrame:
     """The frame with its load time; the present when none is given."""
     stamp = F.lit(modified) if modified else F.date_format(F.current_timestamp(), MODIFIED_FORMAT)

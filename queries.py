@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import fixtures as fx
 from cdclake.functions import parse_source_type, percent_of, register_functions, spark_type_name
-from cdclake.model import RUN_LOG, Mapping
+from cdclake.model import Mapping
 from cdclake.operators.align import align_schemas
 from cdclake.operators.apply import apply_changes as apply_batch, apply_changes_partitioned as apply_partitioned, apply_to_table
 from cdclake.operators.compact import compact_changes
@@ -359,9 +359,7 @@ def latest_per_key(spark, sf):
 
 
 def run_progress(spark, sf):
-    path = work_path(spark, "runs")
-    append_log(fx.run_log(spark, sf), path)
-    return progress(spark.read.schema(RUN_LOG).parquet(path))
+    return progress(fx.run_log(spark, sf))
 
 
 def append_run_log(spark, sf):

@@ -147,6 +147,20 @@ def test_an_emptied_partition_goes(spark, rows, lake):
     assert tb.partition_folders(spark, path, 1) == ["p=b"]
 
 
+def test_a_table_can_be_emptied_and_filled_again(spark, rows, lake):
+    path = lake((1, "a", "x"), partition_by="p")
+    emptied = apply_changes_partitioned(spark, path, events(spark, (1, "a", None, D, 1)), "id", "p")
+    assert rows(emptied) == []
+    filled = apply_changes_partitioned(spark, path, events(spark, (2, "b", "y", I, 2)), "id", "p")
+    assert rows(filled, "id", "p", "v") == [(2, "b", "y")]
+
+
+def test_an_unpartitioned_table_can_be_emptied_and_filled_again(spark, rows, lake):
+    path = lake((1, "a", "x"))
+    assert rows(apply_to_table(spark, path, events(spark, (1, "a", None, D, 1)), "id")) == []
+    assert rows(apply_to_table(spark, path, events(spark, (2, "b", "y", I, 2)), "id")) == [(2, "b", "y")]
+
+
 def test_several_partition_columns_with_nulls_and_odd_names(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     ddl = "id int, p string, q int, v string"

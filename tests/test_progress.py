@@ -14,6 +14,7 @@ def log(spark, *events):
 def test_watermarks_and_lag(spark, rows):
     changes = log(spark, (1, "a"), (5, "A"), (3, "b"), (4, "c"))
     assert rows(change_watermarks(changes)) == [("cdc-h-1-db-a", 5, 2), ("cdc-h-1-db-b", 3, 1), ("cdc-h-1-db-c", 4, 1)]
+    assert rows(change_watermarks(changes, by="server")) == [("h", "1", 5, 4)]
     applied = spark.createDataFrame([("cdc-h-1-db-a", 2), ("cdc-h-1-db-a", 4), ("cdc-h-1-db-b", 3)], "table_key string, last_id bigint")
     assert rows(cdc_lag(changes, applied)) == [
         ("cdc-h-1-db-a", 5, 4, 1, True), ("cdc-h-1-db-b", 3, 3, 0, False), ("cdc-h-1-db-c", 4, 0, 4, True),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from cdclake.model import CHANGE
 from cdclake.plans.sizing import broadcast_if_small
 from cdclake.session import shared_dir, work_path
-from cdclake.sources.jdbc import jdbc_url, snapshot_table, stamp_load, stride_options
+from cdclake.sources.jdbc import catalog_query, jdbc_url, snapshot_table, stamp_load, stride_options
 from cdclake.sources.log import read_changes, route_changes, union_changes
 from cdclake.sources.tables import exists, list_names, replace_table, write_table
 from tests.conftest import plan_of
@@ -82,6 +82,15 @@ def test_jdbc_options():
     assert stride_options("id", None, None, 8) == {}
 
 
+def test_catalog_queries():
+    for system in ("mysql", "postgresql", "oracle"):
+        sql = catalog_query(system, "shop")
+        assert all(c in sql for c in ("table_name", "column_name", "ordinal_position", "data_type", "column_default"))
+    assert "table_schema = 'shop'" in catalog_query("mysql", "shop")
+    with pytest.raises(ValueError):
+        catalog_query("mysql", "x' or '1")
+
+
 def test_broadcast_only_what_was_measured_to_be_small(spark):
     def hinted(*args, **limits):
         df, small = broadcast_if_small(*args, **limits)
