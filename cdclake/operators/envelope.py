@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from cdclake.functions.types import map_source_type
 from cdclake.model import APPLY_REQUEST, CHANGE, MERGE_REQUEST, MODIFIED, QUERY_REQUEST, TableRef
@@ -136,6 +136,7 @@ def decode_changes(
     columns: list[ImageColumn] | list[tuple[str, T.DataType]] | None = None,
     op: str = "operation",
     seq: str = "seq",
+    observation: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Typed rows of one table's events, and the events that cannot be decoded.
 
@@ -144,6 +145,10 @@ def decode_changes(
     stamp. A value that does not fit its type becomes NULL. The second frame
     holds events without a position, a known operation or a readable image, with
     the ``reason``; together the two frames hold every event.
+
+    Each frame parses the events when it is used. An ``observation`` counts the
+    ``undecoded`` events while the rows are computed, so that the second frame
+    need only be used if there are any.
     """
     if columns is None:
         columns = image_columns(changes, dialect, number_as)
@@ -170,6 +175,7 @@ def decode_changes(
         .when(F.col("value").isNull(), "no row image")
         .when(F.col(f"_image.{_BROKEN}").isNotNull() | F.col("_image").isNull(), "broken row image")
     )
+    counted = events if observation is None else events.observe(observation, F.count(reason).alias("undecoded"))
     fields, slot = [], 0
     for c in columns:
         texts = [F.col(f"_image._{slot + i}") for i in range(len(c.spellings))]
@@ -177,7 +183,7 @@ def decode_changes(
         fields.append(F.coalesce(*texts).try_cast(c.kind).alias(c.name))
     # A generator, not a filter: a pushed-down filter would parse each image twice.
     row = F.struct(*fields, F.col("operation").alias(op), F.col("id").cast("bigint").alias(seq))
-    rows = events.select(F.inline(F.when(reason.isNull(), F.array(row))))
+    rows = counted.select(F.inline(F.when(reason.isNull(), F.array(row))))
     if modified is not None:
         rows = rows.withColumn(MODIFIED, F.lit(modified))
     undecoded = events.select(*[col(c) for c in changes.columns], reason.alias("reason")).where("reason is not null")

@@ -6,7 +6,7 @@ import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from cdclake.model import Mapping, RUN_LOG
 from cdclake.operators.apply import merge_delta, stage_delta
@@ -73,13 +73,17 @@ def sync_table(spark: SparkSession, events: DataFrame, target: TableTarget, quar
     The events are decoded and compacted once; the stored delta serves the copy
     and every consolidated table. All steps may be repeated.
     """
+    seen = Observation()
     with log.step(1, "decode changes"):
-        rows, undecoded = decode_changes(events, target.dialect)
+        rows, undecoded = decode_changes(events, target.dialect, observation=seen)
+    readable = len(rows.columns) > 2
+    if readable:
+        with log.step(2, "compact changes"):
+            delta, staged = stage_delta(rows, target.key)
+    if not readable or seen.get["undecoded"]:
         undecoded.write.mode("overwrite").parquet(quarantine)
-    if len(rows.columns) == 2:
-        return  # nothing but undecodable events
-    with log.step(2, "compact changes"):
-        delta, staged = stage_delta(rows, target.key)
+    if not readable:
+        return  # no event names a column
     with log.step(3, "merge into table"):
         merge_delta(spark, target.path, delta, target.key, target.partition_by)
     for number, merge in enumerate(target.merges, start=4):

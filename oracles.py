@@ -301,4 +301,13 @@ ORACLES = {
     "snapshot_table": "select *, '2024-02-01 00:00:00.000' as modified from orders",
     "stream_changes": _APPLIED,
     "stream_to_merge_table": _PROPAGATED,
+    "consolidate_table": "with " + _PARTY + "select * from party",
+    "server_watermarks": """
+        select 'db1.example' as database_url, '3306' as database_port, max(event_id) + 1 as max_id, count(*) as events from events""",
+    "stream_merge_requests": "with " + _PARTY + "select * from party",
+    "stream_queries": """
+        select 1 as "jobId", 10 as "requestId", 1 as "etlID", 'success' as status, count(*) as total_rows from customer where c_acctbal > 0
+        union all select 2, 10, 2, 'success', count(distinct o_custkey) from orders""",
+    "stream_run_log": _RUNS,
+    "write_table": "select * from orders",
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 import fixtures as fx
 from cdclake.functions import parse_source_type, percent_of, register_functions, spark_type_name
@@ -27,12 +29,16 @@ from cdclake.operators.schema_drift import (
     diff_tables as diff_lists, latest_schemas as latest, pack_schemas, record_schemas as record,
     schema_alerts as alerts, unpack_schemas,
 )
+from cdclake.plans.sync import consolidate_table as consolidate_stored
 from cdclake.plans.query import resolve_aliases as aliases, run_queries as run_requests, run_query as run_sql
 from cdclake.session import work_path
 from cdclake.sources.jdbc import snapshot_table as snapshot
 from cdclake.sources.log import change_messages, read_changes as read_range, route_changes as route, union_changes as union_logs
-from cdclake.sources.tables import export_csv as export, write_table
-from cdclake.streaming.stream import ChangeApplier, MergeTarget, TableTarget, stream_changes as stream
+from cdclake.sources.tables import export_csv as export, write_table as write_table_to
+from cdclake.streaming.stream import (
+    ChangeApplier, MergeTarget, QueryRunner, TableMerger, TableTarget, read_stream, stream_changes as stream,
+    stream_run_log as copy_run_log,
+)
 
 KEY = "c_custkey"
 LOADED = "2024-02-01 00:00:00.000"
@@ -132,13 +138,13 @@ def apply_changes_type_conflict(spark, sf):
 
 def replace_table(spark, sf):
     path = work_path(spark, "customer")
-    write_table(fx.table(spark, sf, "customer"), path)
+    write_table_to(fx.table(spark, sf, "customer"), path)
     return apply_to_table(spark, path, _rows(spark, sf), KEY)
 
 
 def apply_changes_partitioned(spark, sf):
     path = work_path(spark, "customer")
-    write_table(fx.table(spark, sf, "customer"), path, "c_mktsegment")
+    write_table_to(fx.table(spark, sf, "customer"), path, "c_mktsegment")
     rows = _rows(spark, sf)
     # The column added half-way rewrites the table; after that only the touched partitions.
     newest = fx.last_id(spark, sf)
@@ -271,6 +277,13 @@ def schema_alerts(spark, sf):
     )
 
 
+def consolidate_table(spark, sf):
+    """Two members brought into a stored consolidated table."""
+    path = work_path(spark, "party")
+    consolidate_stored(spark, path, fx.table(spark, sf, "customer"), fx.PARTY_MAPPING, "customer", "crm")
+    return consolidate_stored(spark, path, fx.table(spark, sf, "supplier"), fx.PARTY_MAPPING, "supplier", "erp")
+
+
 # --- user queries ---
 
 def resolve_aliases(spark, sf):
@@ -342,6 +355,10 @@ def change_watermarks(spark, sf):
     return watermarks(fx.change_log(spark, sf, routed=True))
 
 
+def server_watermarks(spark, sf):
+    return watermarks(fx.change_log(spark, sf, routed=True), by="server")
+
+
 def cdc_lag(spark, sf):
     log = fx.change_log(spark, sf, routed=True)
     # The orders stream was never applied, the customer stream wholly, the supplier stream by half.
@@ -377,8 +394,8 @@ def snapshot_table(spark, sf):
 def stream_changes(spark, sf):
     """The log as a file stream, applied to a copy of customer and passed on to a consolidated table."""
     base = work_path(spark, "stream")
-    write_table(fx.table(spark, sf, "customer"), f"{base}/customer")
-    fx.change_log(spark, sf).coalesce(1).write.parquet(f"{base}/log")
+    write_table_to(fx.table(spark, sf, "customer"), f"{base}/customer")
+    fx.change_log(spark, sf).write.parquet(f"{base}/log")
     applier = ChangeApplier(
         spark,
         {fx.CUSTOMER.key: TableTarget(f"{base}/customer", KEY, "customer")},
@@ -390,9 +407,9 @@ def stream_changes(spark, sf):
 
 def stream_to_merge_table(spark, sf):
     base = work_path(spark, "stream")
-    write_table(fx.table(spark, sf, "customer"), f"{base}/customer", "c_mktsegment")
-    write_table(_party(spark, sf), f"{base}/party")
-    fx.change_log(spark, sf).coalesce(1).write.json(f"{base}/log")
+    write_table_to(fx.table(spark, sf, "customer"), f"{base}/customer", "c_mktsegment")
+    write_table_to(_party(spark, sf), f"{base}/party")
+    fx.change_log(spark, sf).write.json(f"{base}/log")
     applier = ChangeApplier(
         spark,
         {fx.CUSTOMER.key: TableTarget(
@@ -405,6 +422,52 @@ def stream_to_merge_table(spark, sf):
     return spark.read.parquet(f"{base}/party")
 
 
+def _messages(spark, path, requests):
+    """A stream of request messages, one JSON text each."""
+    spark.createDataFrame([(json.dumps(r),) for r in requests], "value string").write.parquet(path)
+    return read_stream(spark, path, "parquet", T.StructType([T.StructField("value", T.StringType())]))
+
+
+def stream_merge_requests(spark, sf):
+    base = work_path(spark, "merge")
+    members = {"customer": "crm", "supplier": "erp"}
+    for name in members:
+        write_table_to(fx.table(spark, sf, name), f"{base}/mysql/{name}-host/3306/shop/{name}")
+    merger = TableMerger(spark, {"party": fx.PARTY_MAPPING}, lambda host, port: members[host.removesuffix("-host")], base)
+    requests = [
+        {"host": f"{n}-host", "port": "3306", "table": n, "databaseType": "mysql", "database": "shop", "mergeTable": "party", "jobID": 1}
+        for n in members
+    ]
+    for request in requests:
+        source = _messages(spark, work_path(spark, "requests"), [request])
+        stream(spark, source, merger, work_path(spark, "checkpoint"), once=True).awaitTermination()
+    return spark.read.parquet(f"{base}/merge_request/party")
+
+
+def stream_queries(spark, sf):
+    base = work_path(spark, "queries")
+    source = _messages(spark, f"{base}/requests", [
+        {"jobId": 1, "requestId": 10, "etlID": 1, "query": "select * from :crm.customer: where c_acctbal > 0"},
+        {"jobId": 2, "requestId": 10, "etlID": 2, "query": "select o_custkey from :shop-1.orders: group by o_custkey"},
+    ])
+    runner = QueryRunner(spark, _catalog(spark, sf), f"{base}/results", f"{base}/outcomes")
+    stream(spark, source, runner, f"{base}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{base}/outcomes").select("jobId", "requestId", "etlID", "status", "total_rows")
+
+
+def stream_run_log(spark, sf):
+    base = work_path(spark, "runs")
+    append_log(fx.run_log(spark, sf), f"{base}/in")
+    copy_run_log(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("job_id", "request_id", "step", "status", "statusOrder", "create_time", "number_step")
+
+
+def write_table(spark, sf):
+    path = work_path(spark, "orders")
+    write_table_to(fx.table(spark, sf, "orders"), path, "o_orderstatus,o_orderpriority")
+    return spark.read.parquet(path)
+
+
 ALL = [
     read_changes, union_changes, encode_changes, decode_envelope, decode_requests, decode_changes, decode_quarantine,
     changes_schema, route_changes, compact_per_operation, compact_latest, apply_changes, apply_changes_per_operation,
@@ -413,5 +476,5 @@ ALL = [
     describe_tables, parse_source_types, map_source_types, record_schemas, latest_schemas, diff_tables, diff_schemas,
     schema_alerts, resolve_aliases, run_query, run_queries, export_csv, percent_returned, percent_by_sql,
     change_watermarks, cdc_lag, latest_per_key, run_progress, append_run_log, snapshot_table, stream_changes,
-    stream_to_merge_table,
+    stream_to_merge_table, consolidate_table, server_watermarks, stream_merge_requests, stream_queries, stream_run_log, write_table,
 ]
