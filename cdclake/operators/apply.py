@@ -98,9 +98,10 @@ def apply_to_table(
 ) -> DataFrame:
     """Apply a batch to a stored, unpartitioned table and replace it; the new table."""
     delta, staged = stage_delta(changes, key, compact, seq, op)
-    merged = merge_delta(spark, path, delta, key, (), seq, op, on_conflict)
-    delete(spark, staged)
-    return merged
+    try:
+        return merge_delta(spark, path, delta, key, (), seq, op, on_conflict)
+    finally:
+        delete(spark, staged)
 
 
 def apply_changes_partitioned(
@@ -128,9 +129,10 @@ def apply_changes_partitioned(
     if not as_list(partition_by):
         raise ValueError("a partitioned merge needs partition columns")
     delta, staged = stage_delta(changes, key, compact, seq, op)
-    merged = merge_delta(spark, path, delta, key, partition_by, seq, op, on_conflict)
-    delete(spark, staged)
-    return merged
+    try:
+        return merge_delta(spark, path, delta, key, partition_by, seq, op, on_conflict)
+    finally:
+        delete(spark, staged)
 
 
 def merge_delta(
@@ -214,16 +216,31 @@ def _has_partitions(spark: SparkSession, path: str) -> bool:
 def _touched_folders(target: DataFrame, keys: DataFrame, key: list[str], parts: list[str]) -> list[str]:
     """Partition folders holding a row of a changed key. Reads the key columns only.
 
-    At most one row per partition of the table reaches the driver, which lists
-    those folders anyway.
+    The range of the changed keys goes into the scan, where the statistics in
+    the files can rule out row groups. At most one row per partition of the
+    table reaches the driver, which lists those folders anyway.
     """
     names = resolve(target, key)
+    target = target.where(_within_range(target, keys, key))
     located = target.select(*[col(n) for n in names], F.col("_metadata.file_path").alias("_file"))
     hits = located.join(keys, _key_match(located, keys, key), "left_semi").select("_file").distinct()
     folders = hits.select(folder_of("_file", len(parts)).alias("_folder")).distinct()
     return sorted(r["_folder"].rstrip("/") for r in folders.collect())
 
 
+def _within_range(target: DataFrame, keys: DataFrame, key: list[str]) -> Column:
+    """Whether a row's first key column lies between the least and greatest changed key."""
+    name, changed = resolve(target, key)[0], resolve(keys, key)[0]
+    kind = target.schema[name].dataType
+    if kind != keys.schema[changed].dataType or not isinstance(kind, (T.IntegralType, T.StringType, T.DateType)):
+        return F.lit(True)
+    bounds = keys.agg(
+        F.min(col(changed)).alias("low"), F.max(col(changed)).alias("high"), F.count_if(col(changed).isNull()).alias("nulls")
+    ).first()
+    within = col(name).between(F.lit(bounds["low"]).cast(kind), F.lit(bounds["high"]).cast(kind))
+    return within | col(name).isNull() if bounds["nulls"] else within
+
+
 def folder_of(file: str, depth: int) -> Column:
     """The partition folder in a file path, which comes percent-encoded; a plus sign in one means itself."""
     decoded = F.url_decode(F.replace(F.col(file), F.lit("+"), F.lit("%2B")))

@@ -33,9 +33,11 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     newest = events.select(F.max("event_id") + 1).scalar()
     seq = F.col("event_id") + 1
+    # The stored times have no zone and mean UTC, whatever the session's zone is.
+    at = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
     return events.select(
         seq.alias("id"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("created"),
+        F.unix_seconds(at).alias("created"),
         operation_of(F.col("event_type")).alias("operation"),
         (F.col("user_id") * 20).alias("c_custkey"),
         F.col("value").alias("c_acctbal"),

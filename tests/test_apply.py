@@ -3,10 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cdclake.operators.apply import apply_changes, apply_changes_partitioned, apply_to_table
+from cdclake.operators.apply import _touched_folders, _within_range, apply_changes, apply_changes_partitioned, apply_to_table
 from cdclake.operators.compact import compact_changes
 from cdclake.sources import tables as tb
-from tests.conftest import final_plan
+from tests.conftest import final_plan, plan_of
 from tests.forms import replay
 
 I, U, D = 1, 2, 3
@@ -206,6 +206,25 @@ def test_many_changed_keys_are_joined_by_shuffle(spark, rows, lake, monkeypatch)
     assert rows(merged, "id", "p", "v") == [(1, "b", "x2"), (3, "b", "z")]
 
 
+def test_null_keys_in_a_partitioned_table(spark, rows, lake):
+    path = lake((None, "a", "x"), (1, "b", "y"), (9, "c", "z"), partition_by="p")
+    log = [(None, "b", "n", U, 1), (1, "b", "y2", U, 2)]
+    merged = apply_changes_partitioned(spark, path, events(spark, *log), "id", "p")
+    assert rows(merged, "id", "p", "v") == [(None, "b", "n"), (1, "b", "y2"), (9, "c", "z")]
+    deleted = events(spark, (None, "b", None, D, 3))
+    assert rows(apply_changes_partitioned(spark, path, deleted, "id", "p"), "id", "p", "v") == rows(merged, "id", "p", "v")
+
+
+def test_the_search_for_touched_partitions_is_pruned(spark, lake):
+    path = lake(*[(i, "a", "x") for i in range(50)], partition_by="p")
+    keys = spark.createDataFrame([(3,), (7,)], "id int")
+    target = spark.read.parquet(path)
+    plan = plan_of(target.where(_within_range(target, keys, ["id"])).select("id"))
+    assert "GreaterThanOrEqual(id,3)" in plan and "LessThanOrEqual(id,7)" in plan and "ReadSchema: struct<id:int>" in plan
+    assert _touched_folders(target, keys, ["id"], ["p"]) == ["p=a"]
+    assert _touched_folders(target, keys.where("id > 7"), ["id"], ["p"]) == []
+
+
 class Crash(Exception):
     pass
 
