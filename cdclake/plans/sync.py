@@ -39,10 +39,10 @@ class TableTarget:
 
 
 class RunLog:
-    """Step events of one run, appended to the stored log in one write when it ends."""
+    """Step events of one run, kept until they are appended to the stored log."""
 
-    def __init__(self, spark: SparkSession, path: str | None, **fields):
-        self.spark, self.path, self.fields, self.events = spark, path, fields, []
+    def __init__(self, **fields):
+        self.fields, self.events = fields, []
 
     def add(self, step: int, status: str, message: str) -> None:
         now = time.time()
@@ -59,12 +59,12 @@ class RunLog:
             raise
         self.add(number, "success", message)
 
-    def __enter__(self) -> "RunLog":
-        return self
 
-    def __exit__(self, *_) -> None:
-        if self.path and self.events:
-            append_run_log(self.spark.createDataFrame(self.events, RUN_LOG).coalesce(1), self.path)
+def store_run_logs(spark: SparkSession, logs: list[RunLog], path: str) -> None:
+    """Append the step events of several runs in one write."""
+    events = [event for log in logs for event in log.events]
+    if events:
+        append_run_log(spark.createDataFrame(events, RUN_LOG).coalesce(1), path)
 
 
 def sync_table(spark: SparkSession, events: DataFrame, target: TableTarget, quarantine: str, log: RunLog) -> None:

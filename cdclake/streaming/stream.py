@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,7 +13,7 @@ from cdclake.model import CHANGE, Mapping, RUN_LOG, TableRef, merge_table_path
 from cdclake.operators.consolidate import mapped_names
 from cdclake.operators.envelope import decode_envelope, decode_requests, table_key
 from cdclake.plans.query import run_queries
-from cdclake.plans.sync import MergeTarget, RunLog, TableTarget, consolidate_table, sync_table
+from cdclake.plans.sync import MergeTarget, RunLog, TableTarget, consolidate_table, store_run_logs, sync_table
 from cdclake.sources.tables import exists, recover_table, replace_table
 
 __all__ = [
@@ -70,12 +71,16 @@ class ChangeApplier:
     events at or below the last applied position are skipped. A table's events
     must arrive in log order, as its one-partition stream delivers them. Events
     that cannot be decoded go to ``quarantine``; steps are noted in ``run_log``.
+
+    Up to ``parallel`` tables are applied at a time, since one small merge does
+    not fill a cluster. Tables that feed the same consolidated table take turns.
+    When one table fails, what the others did is recorded before the batch fails.
     """
 
     def __init__(self, spark: SparkSession, targets: dict[str, TableTarget], state: str, quarantine: str,
-                 run_log: str | None = None, compact_state_every: int = 100):
+                 run_log: str | None = None, parallel: int = 4, compact_state_every: int = 100):
         self.spark, self.targets, self.state, self.quarantine = spark, targets, state, quarantine
-        self.run_log, self.compact_state_every = run_log, compact_state_every
+        self.run_log, self.parallel, self.compact_state_every = run_log, parallel, compact_state_every
 
     def applied(self) -> DataFrame:
         """Last applied position per table."""
@@ -102,23 +107,48 @@ class ChangeApplier:
             for r in batch.where(F.col("table_key").isin(known)).groupBy("table_key").agg(F.max("id").alias("max_id")).collect()
         }
         done = {r["table_key"]: r["last_id"] for r in self.applied().where(F.col("table_key").isin(list(marks))).collect()}
-        for key, newest in sorted(marks.items()):
-            last, target = done.get(key), self.targets[key]
-            events = batch.where(F.col("table_key") == key).drop("table_key")
-            if last is not None:
-                events = events.where(F.col("id").isNull() | (F.col("id") > last))
-            # One folder per batch and table: a repeat overwrites its own.
-            folder = f"{self.quarantine}/batch={batch_id}/table_key={key}"
-            with RunLog(spark, self.run_log, job_id=batch_id, table_name=target.table, request_type="sync_all",
-                        number_step=3 + len(target.merges)) as log:
-                sync_table(spark, events, target, folder, log)
-            if newest is not None and (last is None or newest > last):
-                mark = spark.createDataFrame([(key, newest, batch_id)], APPLIED)
-                mark.coalesce(1).write.mode("append").parquet(self.state)
+        logs: list[RunLog] = []
+        finished: list[tuple[str, int, int]] = []
+
+        def sync_in_turn(keys: list[str]) -> None:
+            for key in keys:
+                last, target = done.get(key), self.targets[key]
+                events = batch.where(F.col("table_key") == key).drop("table_key")
+                if last is not None:
+                    events = events.where(F.col("id").isNull() | (F.col("id") > last))
+                log = RunLog(job_id=batch_id, table_name=target.table, request_type="sync_all", number_step=3 + len(target.merges))
+                logs.append(log)
+                # One folder per batch and table: a repeat overwrites its own.
+                sync_table(spark, events, target, f"{self.quarantine}/batch={batch_id}/table_key={key}", log)
+                if marks[key] is not None and (last is None or marks[key] > last):
+                    finished.append((key, marks[key], batch_id))
+
+        try:
+            with ThreadPoolExecutor(self.parallel) as pool:
+                runs = [pool.submit(inheritable_thread_target(spark)(sync_in_turn), keys) for keys in self._turns(marks)]
+            for run in runs:
+                run.result()
+        finally:
+            if finished:
+                spark.createDataFrame(finished, APPLIED).coalesce(1).write.mode("append").parquet(self.state)
+            if self.run_log:
+                store_run_logs(spark, logs, self.run_log)
         if batch_id and batch_id % self.compact_state_every == 0 and exists(spark, self.state):
             replace_table(self.applied().coalesce(1), self.state)
 
 
+    def _turns(self, keys) -> list[list[str]]:
+        """Tables grouped so that no two groups feed the same consolidated table."""
+        groups: list[tuple[list[str], set[str]]] = []
+        for key in sorted(keys):
+            names, paths = [key], {m.path for m in self.targets[key].merges}
+            for group in [g for g in groups if g[1] & paths]:
+                groups.remove(group)
+                names, paths = group[0] + names, group[1] | paths
+            groups.append((names, paths))
+        return [names for names, _ in groups]
+
+
 class QueryRunner:
     """A batch handler for a stream of query requests: runs each, exports its result, appends its outcome."""
 

@@ -87,6 +87,30 @@ def test_a_failing_step_is_noted(spark, lake):
     assert handler.applied().count() == 0
 
 
+def test_several_tables_side_by_side(spark, rows, tmp_path):
+    base, targets = str(tmp_path), {}
+    mapping = [Mapping("key", tuple(f"crm.t{i}.id" for i in range(5)), unique=True)]
+    for i in range(5):
+        write_table(spark.createDataFrame([(1, "x")], "id bigint, v string"), f"{base}/t{i}")
+        # The first three feed one consolidated table.
+        merges = [MergeTarget(f"{base}/party", mapping, "crm", mode="patch")] if i < 3 else []
+        targets[f"cdc-h-1-db-t{i}"] = TableTarget(f"{base}/t{i}", "id", f"t{i}", merges=merges)
+    write_table(spark.createDataFrame([(1,)], "key bigint"), f"{base}/party")
+    handler = ChangeApplier(spark, targets, f"{base}/applied", f"{base}/bad", f"{base}/runs", parallel=3)
+    assert [len(t) for t in handler._turns(targets)] == [3, 1, 1]
+    targets["cdc-h-1-db-t4"].path = f"{base}/nowhere"
+    emit(spark, base, *[(i + 1, f"t{i}", U, json.dumps({"id": "1", "v": f"n{i}"})) for i in range(5)])
+    batch = spark.read.schema(CHANGE).json(f"{base}/log")
+    with pytest.raises(Exception):
+        handler(batch, 0)
+    # The failing table alone is left to do.
+    assert rows(handler.applied(), "table_key", "last_id") == [(f"cdc-h-1-db-t{i}", i + 1) for i in range(4)]
+    targets["cdc-h-1-db-t4"].path = f"{base}/t4"
+    handler(batch, 0)
+    assert [rows(spark.read.parquet(f"{base}/t{i}"), "v") for i in range(5)] == [[(f"n{i}",)] for i in range(5)]
+    assert rows(spark.read.parquet(f"{base}/party"), "v_t0_crm", "v_t1_crm", "v_t2_crm") == [("n0", "n1", "n2")]
+
+
 def message_folder(spark, base, *requests):
     spark.createDataFrame([(json.dumps(r),) for r in requests], "value string").coalesce(1).write.mode("append").parquet(f"{base}/requests")
     return read_stream(spark, f"{base}/requests", "parquet", T.StructType([T.StructField("value", T.StringType())]))
