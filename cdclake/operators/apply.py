@@ -163,9 +163,10 @@ def merge_delta(
         return spark.read.schema(old.schema).parquet(path)
 
     def output(kept: DataFrame | None) -> DataFrame:
+        by = [col(p) for p in parts]
         if kept is None:
-            return new.hint("rebalance", *parts)
-        return kept.unionByName(new.hint("rebalance", *parts)) if few else kept.unionByName(new).hint("rebalance", *parts)
+            return new.hint("rebalance", *by)
+        return kept.unionByName(new.hint("rebalance", *by)) if few else kept.unionByName(new).hint("rebalance", *by)
 
     if _shape(old) != _shape(target):
         replace_table(output(_without(old, keys, key)), path, parts, rebalance=False)

@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from cdclake.functions.types import map_source_type
+from cdclake.functions.types import map_source_type, spark_type_name
 from cdclake.model import APPLY_REQUEST, CHANGE, MERGE_REQUEST, MODIFIED, QUERY_REQUEST, TableRef
 from cdclake.operators.columns import col
 
@@ -97,6 +97,15 @@ def schema_entries(changes: DataFrame) -> DataFrame:
     )
 
 
+def typed_entries(changes: DataFrame, dialect: str, number_as: str = "decimal") -> DataFrame:
+    """The distinct column entries with the Spark type each maps to, and whether its source type is known."""
+    kind = spark_type_name("source_type", dialect, number_as)
+    return schema_entries(changes).select(
+        "name", "source_type", "position", "last_id",
+        F.coalesce(kind, F.lit("string")).alias("spark_type"), kind.isNotNull().alias("known"),
+    )
+
+
 class ImageColumn:
     """A column of the row images: its output name and type, and how images may spell it."""
 

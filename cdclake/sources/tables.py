@@ -8,7 +8,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdclake.operators.columns import as_list
+from cdclake.operators.columns import as_list, col
 
 _PLAN = "_publish.json"
 
@@ -25,7 +25,7 @@ def write_table(
     """
     columns = as_list(partition_by)
     if columns and rebalance:
-        df = df.hint("rebalance", *columns)
+        df = df.hint("rebalance", *[col(c) for c in columns])
     df.write.mode(mode).partitionBy(*columns).parquet(path)
 
 

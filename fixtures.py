@@ -159,19 +159,28 @@ def new_columns(spark, sf_dir) -> DataFrame:
     )
 
 
-# --- merge definitions: one per order, with its line items as members ---
-
-def definitions(spark, sf_dir, returned_only: bool = False) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    if returned_only:
-        lines = lines.where("l_returnflag <> 'N'")
-    member = F.struct(
-        F.col("l_partkey").alias("table_id"),
-        F.concat(F.lit("t_"), F.col("l_suppkey")).alias("table"),
-        F.concat(F.lit("db_"), F.col("l_linenumber")).alias("database_alias"),
-    )
-    return lines.groupBy(F.concat(F.lit("m_"), F.col("l_orderkey")).alias("merge_table_name")).agg(
-        F.collect_list(member).alias("list_tables")
+# --- merge definitions: one per order, with two or three members ---
+
+def definitions(spark, sf_dir, before: bool = False) -> DataFrame:
+    """Merge definitions today, or ``before`` most of them gained their last member."""
+    status = F.col("o_orderstatus")
+    price_band = F.when(F.col("o_totalprice") > 250000, "F").otherwise("O")
+
+    def member(number: int, table: Column, alias: Column) -> Column:
+        return F.struct(
+            (F.col("o_orderkey") * 3 + number).alias("table_id"),
+            F.concat(F.lit("t_"), table).alias("table"),
+            F.concat(F.lit("db_"), alias).alias("database_alias"),
+        )
+
+    first = member(0, F.col("o_custkey") % 100, status)
+    second = member(1, F.col("o_orderkey") % 100, price_band)
+    third = member(2, F.col("o_custkey") % 7, F.lit("X"))
+    members = F.array(first, second, third)
+    if before:
+        members = F.when(status == "P", members).otherwise(F.array(first, second))
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("m_"), F.col("o_orderkey")).alias("merge_table_name"), members.alias("list_tables")
     )
 
 

@@ -132,12 +132,6 @@ versions as (
   where id = 1 or not exists (select 1 from texts b where b.id = 1 and b.table_name = a.table_name and b.t = a.t))
 """
 
-_MEMBERS = """
-select 'm_' || l_orderkey as merge_table_name, l_partkey as table_id, 't_' || l_suppkey as table_name,
-       'db_' || l_linenumber as database_alias, l_returnflag
-from lineitem
-"""
-
 _RUNS = """
 select l_orderkey as job_id, l_suppkey as request_id, l_linenumber as step,
        case l_returnflag when 'A' then 'success' when 'R' then 'fail' else 'processing' end as status,
@@ -169,9 +163,12 @@ ORACLES = {
                case when n < 10 then 'no row image' when n < 20 then 'broken row image' else 'unknown operation' end as reason
         from log where n < 30""",
     "changes_schema": """
-        select name, source_type, position, (select max(event_id) + 1 from events) as last_id
-        from (values ('c_custkey', 'bigint', 0), ('c_acctbal', 'double', 1), ('c_mktsegment', 'varchar(10)', 2), ('k', 'int', 3))
-             as t(name, source_type, position)""",
+        select name, source_type, position, (select max(event_id) + 1 from events) as last_id, spark_type, true as known
+        from (values ('c_custkey', 'bigint', 0, 'bigint'), ('c_acctbal', 'double', 1, 'double'),
+                     ('c_mktsegment', 'varchar(10)', 2, 'string'), ('k', 'int', 3, 'int')) as t(name, source_type, position, spark_type)""",
+    "decode_typed_images": """
+        select o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') as o_day, '{"c":' || o_custkey || '}' as customer,
+               case when o_orderkey % 2 = 0 then true end as even, 2 as operation, o_orderkey + 1 as seq from orders""",
     "route_changes": _LOG + "select stem || route as table_key, id, operation, created from log",
     "compact_per_operation": _COMPACT + "select c_custkey, c_acctbal, c_mktsegment, k, operation, id as seq from compacted",
     "compact_latest": _LATEST + "select c_custkey, c_acctbal, c_mktsegment, k, operation, id as seq from latest",
@@ -217,10 +214,13 @@ ORACLES = {
         union all
         select c_custkey, null, null, c_acctbal, c_mktsegment, null, k from upserts
         where c_custkey not in (select party_key from party)""",
-    "targets_of": "select distinct 'm_' || l_orderkey as merge_table_name from lineitem where l_suppkey = 5 and l_linenumber = 3",
-    "new_members": "with m as (" + _MEMBERS + """)
-        select merge_table_name, table_id, table_name, database_alias from m
-        where not exists (select 1 from m o where o.l_returnflag <> 'N' and o.merge_table_name = m.merge_table_name and o.table_id = m.table_id)""",
+    "targets_of": """
+        select 'm_' || o_orderkey as merge_table_name from orders
+        where (o_custkey % 100 = 5 and o_orderstatus = 'F') or (o_orderkey % 100 = 5 and o_totalprice > 250000)""",
+    "new_members": """
+        select 'm_' || o_orderkey as merge_table_name, o_orderkey * 3 + 2 as table_id, 't_' || (o_custkey % 7) as table_name,
+               'db_X' as database_alias
+        from orders where o_orderstatus <> 'P'""",
     "describe_tables": _CATALOG + """
         select table_name, count(*) as column_count,
                string_agg(lower(column_name) || ':' || split_part(data_type, ' ', 1), ',' order by n) as columns

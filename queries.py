@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 import fixtures as fx
-from cdclake.functions import parse_source_type, percent_of, register_functions, spark_type_name
+from cdclake.functions import percent_of, register_functions, spark_type_name
 from cdclake.model import Mapping
 from cdclake.operators.align import align_schemas
 from cdclake.operators.apply import apply_changes as apply_batch, apply_changes_partitioned as apply_partitioned, apply_to_table
@@ -18,7 +18,7 @@ from cdclake.operators.consolidate import (
 )
 from cdclake.operators.envelope import (
     decode_changes as decode, decode_envelope as decode_messages, decode_requests as decode_request_messages,
-    encode_changes as encode, schema_entries, table_key,
+    encode_changes as encode, table_key, typed_entries,
 )
 from cdclake.operators.progress import (
     append_run_log as append_log, cdc_lag as lag_of, change_watermarks as watermarks, latest_per_key as newest_rows,
@@ -65,7 +65,8 @@ def union_changes(spark, sf):
 
 def encode_changes(spark, sf):
     events = encode(
-        fx.table(spark, sf, "orders"), 1, source=fx.CUSTOMER, seq=F.col("o_orderkey") + 1, created=F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+        fx.table(spark, sf, "orders"), 1, source=fx.CUSTOMER, seq=F.col("o_orderkey") + 1,
+        created=F.unix_seconds(F.col("o_orderdate").cast("timestamp")),
     )
     rows, _ = decode(events, "mysql")
     return rows.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
@@ -98,12 +99,27 @@ def decode_changes(spark, sf):
     return decode(fx.change_log(spark, sf), "mysql", modified=LOADED)[0]
 
 
+def decode_typed_images(spark, sf):
+    """Images as PostgreSQL sends them: numbers as numbers, nested values as objects."""
+    orders = fx.table(spark, sf, "orders")
+    image = F.to_json(F.struct(
+        "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_day"),
+        F.struct(F.col("o_custkey").alias("c")).alias("customer"), F.when(F.col("o_orderkey") % 2 == 0, True).alias("even"),
+    ), {"ignoreNullFields": "false"})
+    schema = '["o_orderkey:bigint","o_totalprice:double","o_day:date","customer:jsonb","even:boolean"]'
+    changes = orders.select(
+        (F.col("o_orderkey") + 1).alias("id"), F.lit(schema).alias("schema"), image.alias("value"), F.lit(2).alias("operation")
+    )
+    rows, _ = decode(changes, "postgresql")
+    return rows.withColumn("o_day", F.col("o_day").cast("string"))
+
+
 def decode_quarantine(spark, sf):
     return decode(fx.change_log(spark, sf, damaged=True), "mysql")[1].select("id", "operation", "reason")
 
 
 def changes_schema(spark, sf):
-    return schema_entries(fx.change_log(spark, sf)).select("name", "source_type", "position", "last_id")
+    return typed_entries(fx.change_log(spark, sf), "mysql")
 
 
 def route_changes(spark, sf):
@@ -208,11 +224,11 @@ def propagate_patch(spark, sf):
 
 
 def targets_of(spark, sf):
-    return definitions_of(fx.definitions(spark, sf), "t_5", "db_3").select("merge_table_name")
+    return definitions_of(fx.definitions(spark, sf), "t_5", "db_F").select("merge_table_name")
 
 
 def new_members(spark, sf):
-    return added_members(fx.definitions(spark, sf, returned_only=True), fx.definitions(spark, sf)).select(
+    return added_members(fx.definitions(spark, sf, before=True), fx.definitions(spark, sf)).select(
         "merge_table_name", "table_id", F.col("table").alias("table_name"), "database_alias"
     )
 
@@ -469,7 +485,8 @@ def write_table(spark, sf):
 
 
 ALL = [
-    read_changes, union_changes, encode_changes, decode_envelope, decode_requests, decode_changes, decode_quarantine,
+    read_changes, union_changes, encode_changes, decode_envelope, decode_requests, decode_changes, decode_typed_images,
+    decode_quarantine,
     changes_schema, route_changes, compact_per_operation, compact_latest, apply_changes, apply_changes_per_operation,
     apply_changes_type_conflict, replace_table, apply_changes_partitioned, align_schemas_string, align_schemas_widen,
     map_columns, consolidate, consolidate_many_to_one, propagate_replace, propagate_patch, targets_of, new_members,

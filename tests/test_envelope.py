@@ -5,7 +5,7 @@ from pyspark.sql import functions as F, types as T
 
 from cdclake.model import APPLY_REQUEST, CHANGE, TableRef, merge_table_path
 from cdclake.operators.envelope import (
-    changes_schema, decode_changes, decode_envelope, decode_requests, encode_changes,
+    changes_schema, decode_changes, decode_envelope, decode_requests, encode_changes, typed_entries,
 )
 from cdclake.sources.log import change_messages
 
@@ -87,6 +87,12 @@ def test_schema_is_the_union_of_the_batch_and_the_newest_type_wins(spark):
     assert found == {"id": T.LongType(), "a": T.IntegerType(), "z": T.DateType()}
 
 
+def test_unknown_types_are_reported(spark, rows):
+    changes = log(spark, (1, 1, '{"g":"POINT(1 1)"}', '["g:geometry","n:int(11) unsigned"]'))
+    assert rows(typed_entries(changes, "mysql"), "name", "spark_type", "known") == [("g", "string", False), ("n", "bigint", True)]
+    assert rows(decode_changes(changes, "mysql")[0], "g", "n") == [("POINT(1 1)", None)]
+
+
 def test_columns_may_not_clash_with_event_columns(spark):
     changes = log(spark, (1, 1, '{"seq":"1"}'), schema='["seq:int"]')
     with pytest.raises(ValueError, match="clash"):

@@ -44,6 +44,22 @@ def test_partitioned_output_has_no_file_per_task(spark, tmp_path):
     assert len(spark.read.parquet(path).inputFiles()) <= 4
 
 
+def test_a_large_partition_is_split_over_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(0, 60000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 4)).alias("my part"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        write_table(df, path, "my part")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    hot = [f for f in spark.read.parquet(path).inputFiles() if "part=hot" in f]
+    assert len(hot) > 1 and spark.read.parquet(path).count() == 60000
+
+
 def test_a_table_can_be_replaced_by_a_frame_that_reads_it(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.range(5).toDF("id"), path)

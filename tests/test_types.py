@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from cdclake.functions import map_source_type, parse_source_type, percent_of, register_functions, spark_type_name
 
