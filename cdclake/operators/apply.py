@@ -19,10 +19,11 @@ def apply_changes(
     target: DataFrame,
     changes: DataFrame,
     key: str | Iterable[str],
-    compact: str = "latest",
+    compact: str | None = "latest",
     seq: str = "seq",
     op: str = "operation",
     on_conflict: str = "string",
+    measure: bool = False,
 ) -> DataFrame:
     """The table after a batch of changes.
 
@@ -33,14 +34,16 @@ def apply_changes(
 
     The table is filtered by an anti-join with the changed keys and is not
     shuffled when those are few. No window or aggregate runs over the table.
+    Spark's size estimate decides what few is; for a stored, compacted delta
+    (``compact=None``), ``measure=True`` counts its keys instead.
     """
     key = as_list(key)
-    return _merge(target, compact_changes(changes, key, seq, op, compact), key, seq, op, on_conflict)
-
-
-def _merge(target, delta, key, seq, op, on_conflict) -> DataFrame:
+    delta = changes if compact is None else compact_changes(changes, key, seq, op, compact)
+    keys = changed_keys(delta, key, op)
+    if measure:
+        keys, _ = broadcast_if_small(keys)
     old, new = align_schemas(target, written_rows(delta, seq, op), on_conflict)
-    return _without(old, changed_keys(delta, key, op), key).unionByName(new)
+    return _without(old, keys, key).unionByName(new)
 
 
 def written_rows(delta: DataFrame, seq: str, op: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cdclake.model import Mapping
-from cdclake.operators.apply import apply_changes
+from cdclake.operators.apply import apply_changes, stage_delta
 from cdclake.operators.consolidate import consolidate, map_columns, propagate_changes
 from cdclake.operators.progress import latest_per_key, run_progress
 from cdclake.model import RUN_LOG
@@ -62,6 +62,15 @@ def test_a_hot_key_in_the_table_is_split_in_the_merge(spark, hot):
         assert merged.where("id = 7").count() == 10001
 
 
+def test_measured_keys_spare_the_table_the_shuffle(spark, hot, tmp_path):
+    changes = spark.range(20, 900).select("id", F.lit("n").alias("v"), F.lit(2).alias("operation"), F.col("id").alias("seq"))
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        delta, _ = stage_delta(changes, "id")
+        merged = apply_changes(hot("t"), delta, "id", compact=None, measure=True)
+        assert "BroadcastHashJoin" in plan_of(merged) and "Exchange hashpartitioning" not in plan_of(merged)
+        assert merged.where("v = 'n'").count() == 880
+
+
 def test_a_hot_key_is_split_in_consolidation_on_either_side(spark, hot):
     small = spark.range(0, 3000).select("id", F.lit("s").alias("v"))
     for left, right in ((hot("l"), small), (small, hot("r"))):
