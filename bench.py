@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import queries as q  # noqa: E402
+from cdclake_workload import queries as q  # noqa: E402
 from cdclake.session import build_session  # noqa: E402
 
 HEADLINE = [

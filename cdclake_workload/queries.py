@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-import fixtures as fx
+from cdclake_workload import inputs as fx
 from cdclake.functions import percent_of, register_functions, spark_type_name
 from cdclake.model import Mapping
 from cdclake.operators.align import align_schemas
