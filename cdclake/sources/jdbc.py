@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -40,13 +42,20 @@ def read_jdbc(spark: SparkSession, options: dict[str, str], partition_column: st
 
 
 def stride_options(column: str, low, high, num_partitions: int | None) -> dict[str, str]:
-    """Reader options for a parallel scan; none for an empty table, which has no bounds."""
+    """Reader options for a parallel scan; none for an empty table, which has no bounds.
+
+    Numeric bounds must be whole numbers, also for a decimal column.
+    """
     if low is None or high is None:
         return {}
+
+    def bound(value) -> str:
+        return str(math.floor(value)) if isinstance(value, (Decimal, float)) else str(value)
+
     return {
         "partitionColumn": column,
-        "lowerBound": str(low),
-        "upperBound": str(high),
+        "lowerBound": bound(low),
+        "upperBound": bound(high),
         "numPartitions": str(num_partitions or 32),
     }
 

@@ -70,7 +70,8 @@ class ChangeApplier:
     Two records make a repeat harmless: the merge itself is an upsert, and
     events at or below the last applied position are skipped. A table's events
     must arrive in log order, as its one-partition stream delivers them. Events
-    that cannot be decoded go to ``quarantine``; steps are noted in ``run_log``.
+    that cannot be decoded, or whose table has no target, go to ``quarantine``;
+    steps are noted in ``run_log``.
 
     Up to ``parallel`` tables are applied at a time, since one small merge does
     not fill a cluster. Tables that feed the same consolidated table take turns.
@@ -100,12 +101,11 @@ class ChangeApplier:
             batch.unpersist()
 
     def _apply(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        known = list(self.targets)
-        # One row per registered table reaches the driver; the events stay where they are.
-        marks = {
-            r["table_key"]: r["max_id"]
-            for r in batch.where(F.col("table_key").isin(known)).groupBy("table_key").agg(F.max("id").alias("max_id")).collect()
-        }
+        # One row per table of the batch reaches the driver; the events stay where they are.
+        found = batch.groupBy("table_key").agg(F.max("id").alias("max_id")).collect()
+        marks = {r["table_key"]: r["max_id"] for r in found if r["table_key"] in self.targets}
+        if len(marks) < len(found):
+            self._set_aside(batch.where(~F.col("table_key").isin(list(self.targets))), batch_id)
         done = {r["table_key"]: r["last_id"] for r in self.applied().where(F.col("table_key").isin(list(marks))).collect()}
         logs: list[RunLog] = []
         finished: list[tuple[str, int, int]] = []
@@ -137,6 +137,12 @@ class ChangeApplier:
             replace_table(self.applied().coalesce(1), self.state)
 
 
+    def _set_aside(self, events: DataFrame, batch_id: int) -> None:
+        """Keep events of tables that have no target."""
+        events.withColumn("reason", F.lit("unregistered table")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("table_key").parquet(f"{self.quarantine}/batch={batch_id}")
+
     def _turns(self, keys) -> list[list[str]]:
         """Tables grouped so that no two groups feed the same consolidated table."""
         groups: list[tuple[list[str], set[str]]] = []

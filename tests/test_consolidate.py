@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +120,41 @@ def test_many_changes_of_one_consolidated_key(spark, rows, customer):
     assert rows(patched.where("key = 1"), "name") == [("b",)]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_propagation_equals_its_statement_row_by_row(spark, seed):
+    r = random.Random(seed)
+
+    def maybe(v):
+        return None if r.random() < 0.4 else v
+
+    keys = [None, *range(12)]
+    merged_rows = [(r.choice(keys), maybe("old"), maybe(1.0), maybe(True)) for _ in range(30)]
+    events = [(r.choice(keys), maybe(f"n{s}"), maybe(float(s)), r.choice([I, U, D]), s) for s in range(40)]
+    merged = spark.createDataFrame(merged_rows, "key int, name string, bal_customer_crm double, ok_supplier_erp boolean")
+    changes = spark.createDataFrame(events, "id int, name string, bal double, operation int, seq bigint")
+    newest = {e[0]: e for e in events}
+
+    def found(mode, compact):
+        df = propagate_changes(merged, changes, MAPPING, "customer", "crm", mode=mode, compact=compact)
+        return sorted(map(str, (tuple(x) for x in df.collect())))
+
+    replaced = [m for m in merged_rows if m[0] not in newest] + [(e[0], e[1], e[2], None) for e in newest.values() if e[3] != D]
+    assert found("replace", "latest") == sorted(map(str, replaced))
+
+    patched = []
+    for key, name, bal, ok in merged_rows:
+        event = newest.get(key)
+        if event is None:
+            patched.append((key, name, bal, ok))
+        elif event[3] != D:
+            patched.append((key, event[1], event[2], ok))
+        elif (name, ok) != (None, None):
+            patched.append((key, name, None, ok))
+    present = {m[0] for m in merged_rows}
+    patched += [(e[0], e[1], e[2], None) for e in newest.values() if e[3] != D and e[0] not in present]
+    assert found("patch", None) == sorted(map(str, patched))
+
+
 def definition(name, *members):
     return (name, [(i, t, a) for i, t, a in members], [])
 

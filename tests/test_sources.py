@@ -1,10 +1,12 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from cdclake.model import CHANGE
 from cdclake.plans.sizing import broadcast_if_small
 from cdclake.session import shared_dir, work_path
-from cdclake.sources.jdbc import catalog_query, jdbc_url, snapshot_table, stamp_load, stride_options
+from cdclake.sources.jdbc import catalog_query, jdbc_url, read_jdbc, snapshot_table, stamp_load, stride_options
 from cdclake.sources.log import read_changes, route_changes, union_changes
 from cdclake.sources.tables import exists, list_names, replace_table, write_table
 from tests.conftest import plan_of
@@ -96,6 +98,48 @@ def test_jdbc_options():
         jdbc_url("db2", "h", 1, "d")
     assert stride_options("id", 1, 100, 8) == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "8"}
     assert stride_options("id", None, None, 8) == {}
+    decimals = stride_options("id", Decimal("5.0000000000"), Decimal("9.5"), None)
+    assert (decimals["lowerBound"], decimals["upperBound"]) == ("5", "9")
+
+
+class RecordingReader:
+    """Stands in for a session's reader: records what each load asks for."""
+
+    def __init__(self, bounds):
+        self.bounds, self.loads, self.asked = bounds, [], {}
+        self.read = self
+
+    def format(self, name):
+        self.asked = {"format": name}
+        return self
+
+    def options(self, **options):
+        self.asked.update(options)
+        return self
+
+    def option(self, name, value):
+        return self.options(**{name: value})
+
+    def load(self):
+        self.loads.append(self.asked)
+        return self
+
+    def first(self):
+        return self.bounds
+
+
+def test_a_source_table_is_read_in_strides_over_its_own_bounds():
+    options = {"url": "jdbc:mysql://h:1/d", "dbtable": "orders", "user": "u"}
+    reader = RecordingReader((5, 900))
+    read_jdbc(reader, options, partition_column="id", num_partitions=4)
+    bounds, scan = reader.loads
+    assert bounds["query"] == "select min(id) lo, max(id) hi from orders" and "dbtable" not in bounds
+    assert scan == {
+        "format": "jdbc", **options, "partitionColumn": "id", "lowerBound": "5", "upperBound": "900", "numPartitions": "4",
+    }
+    whole = RecordingReader(None)
+    read_jdbc(whole, options)
+    assert whole.loads == [{"format": "jdbc", **options}]
 
 
 def test_catalog_queries():

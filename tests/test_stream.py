@@ -48,7 +48,9 @@ def test_stream_applies_propagates_and_restarts(spark, rows, lake):
     assert rows(spark.read.parquet(f"{lake}/t")) == [(1, "x2"), (3, "z")]
     assert rows(spark.read.parquet(f"{lake}/party"), "key", "v_t_crm") == [(1, "x2"), (3, "z")]
     assert rows(handler.applied(), "table_key", "last_id") == [("cdc-h-1-db-t", 5)]
-    assert rows(spark.read.parquet(f"{lake}/bad"), "id", "reason") == [(5, "broken row image")]
+    assert rows(spark.read.parquet(f"{lake}/bad"), "id", "reason", "table_key") == [
+        (2, "unregistered table", "cdc-h-1-db-other"), (5, "broken row image", "cdc-h-1-db-t"),
+    ]
     assert rows(run_progress(spark.read.parquet(f"{lake}/runs"))) == [(0, 4, 4, 0, 0, "success"), (1, 4, 4, 0, 0, "success")]
 
 
