@@ -62,6 +62,7 @@ def consolidate(
     mapping: list[Mapping],
     on_conflict: str = "string",
     trust_unique: bool = False,
+    measure: bool = False,
 ) -> DataFrame:
     """Bring a member table, already under consolidated names, into a consolidated table.
 
@@ -73,8 +74,11 @@ def consolidate(
     Spark runs a full outer join as one sort-merge join, which cannot broadcast
     a small side nor split a key holding a large share of the rows. So the join
     is composed of its matched rows and the unmatched rows of either side: each
-    of the three can be broadcast or split. ``trust_unique=True`` uses the plain
-    full outer join, one shuffle per side, where no key repeats.
+    of the three can be broadcast or split, and unmatched rows are found by the
+    distinct keys of the other side. ``trust_unique=True`` uses the plain full
+    outer join, one shuffle per side, where no key repeats. ``measure=True``, for
+    a stored member, measures it and broadcasts it when small; the consolidated
+    table is then not shuffled at all.
     """
     if merged is None:
         return new
@@ -103,9 +107,18 @@ def consolidate(
 
     if trust_unique:
         return left.join(renamed, condition, "full").select(*output)
+    few = False
+    if measure:
+        renamed, few = broadcast_if_small(renamed)
+    seen_left, seen_right = left.select(*[col(k) for k in left_keys]), renamed
+    if few:
+        # Leaves only keys of the small side, ahead of any shuffle.
+        seen_left = seen_left.join(renamed, condition, "left_semi")
+    else:
+        seen_right = renamed.select(*[r_names[k] for k in right_keys]).distinct()
     matched = left.join(renamed, condition, "inner").select(*output)
-    only_left = left.join(renamed, condition, "left_anti")
-    only_right = renamed.join(left, condition, "left_anti")
+    only_left = left.join(seen_right, condition, "left_anti")
+    only_right = renamed.join(seen_left.distinct(), condition, "left_anti")
     only_left = only_left.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in renamed.schema.fields])
     only_right = only_right.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields])
     return matched.unionByName(only_left.select(*output)).unionByName(only_right.select(*output))
@@ -183,7 +196,7 @@ def propagate_changes(
 
 def _replace(merged, delta, keys, seq, op, on_conflict, measure):
     old, new = align_schemas(merged.drop(op), delta.where(col(op) != DELETE).drop(op, seq), on_conflict)
-    changed = delta.select(*[col(k) for k in resolve(delta, keys)])
+    changed = delta.select(*[col(k) for k in resolve(delta, keys)]).distinct()
     if measure:
         changed, _ = broadcast_if_small(changed)
     kept = old.join(changed, _keys_match(old, changed, keys), "left_anti")
@@ -225,8 +238,9 @@ def _patch(merged, delta, keys, own, op, seq, on_conflict, measure):
         ],
     )
     slot = {c: f"_c{i}" for i, c in enumerate(aligned)}
+    few = False
     if measure:
-        delta, _ = broadcast_if_small(delta)
+        delta, few = broadcast_if_small(delta)
     match = F.lit(True)
     for k in keys:
         match = match & old[f"`{k}`"].eqNullSafe(delta[slot[k]])
@@ -247,7 +261,11 @@ def _patch(merged, delta, keys, own, op, seq, on_conflict, measure):
     patched = patched.where(~F.col("_deleted") | alive).drop("_deleted")
 
     written = delta.where(F.col(operation) != DELETE)
-    added = written.join(old.select(*[col(k) for k in keys]), match, "left_anti")
+    present = old.select(*[col(k) for k in keys])
+    if few:
+        # Leaves only changed keys, ahead of any shuffle.
+        present = present.join(delta, match, "left_semi")
+    added = written.join(present.distinct(), match, "left_anti")
     return patched.unionByName(added.select(*[F.col(slot[c]).alias(c) for c in aligned]))
 
 

@@ -104,5 +104,5 @@ def consolidate_table(
     """Bring a member table into a stored consolidated table, which it starts if there is none; the new table."""
     recover_table(spark, path)
     stored = spark.read.parquet(path) if exists(spark, path) else None
-    replace_table(consolidate(stored, map_columns(member, mapping, table, alias), mapping), path)
+    replace_table(consolidate(stored, map_columns(member, mapping, table, alias), mapping, measure=True), path)
     return spark.read.parquet(path)

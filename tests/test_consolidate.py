@@ -37,9 +37,9 @@ def test_mapped_and_suffixed_names(spark):
     ]
 
 
-@pytest.mark.parametrize("trust", [False, True])
-def test_consolidation(spark, rows, customer, supplier, trust):
-    merged = consolidate(customer, supplier, MAPPING, trust_unique=trust)
+@pytest.mark.parametrize("how", [{}, {"trust_unique": True}, {"measure": True}])
+def test_consolidation(spark, rows, customer, supplier, how):
+    merged = consolidate(customer, supplier, MAPPING, **how)
     assert merged.columns == ["key", "name", "bal_customer_crm", "ok_supplier_erp"]
     assert rows(merged) == [
         (None, "nokey", 3.5, None), (None, "none", None, True), (1, "ann", 1.5, None), (2, "bob", 2.5, True), (3, "cid", None, False),
@@ -62,7 +62,7 @@ def test_repeated_and_hot_keys_match_a_full_outer_join(spark, rows):
     right = spark.range(60).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") * 7).cast("int").alias("code"), F.col("id").alias("ok"))
     a, b = map_columns(left, MAPPING, "customer", "crm"), map_columns(right, MAPPING, "supplier", "erp")
     split, plain = consolidate(a, b, MAPPING), consolidate(a, b, MAPPING, trust_unique=True)
-    assert rows(split) == rows(plain)
+    assert rows(split) == rows(plain) == rows(consolidate(a, b, MAPPING, measure=True))
     assert "FullOuter" not in plan_of(split)
 
 
@@ -120,8 +120,8 @@ def test_many_changes_of_one_consolidated_key(spark, rows, customer):
     assert rows(patched.where("key = 1"), "name") == [("b",)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_propagation_equals_its_statement_row_by_row(spark, seed):
+@pytest.mark.parametrize("seed,measure", [(1, False), (2, True)])
+def test_propagation_equals_its_statement_row_by_row(spark, seed, measure):
     r = random.Random(seed)
 
     def maybe(v):
@@ -135,7 +135,7 @@ def test_propagation_equals_its_statement_row_by_row(spark, seed):
     newest = {e[0]: e for e in events}
 
     def found(mode, compact):
-        df = propagate_changes(merged, changes, MAPPING, "customer", "crm", mode=mode, compact=compact)
+        df = propagate_changes(merged, changes, MAPPING, "customer", "crm", mode=mode, compact=compact, measure=measure)
         return sorted(map(str, (tuple(x) for x in df.collect())))
 
     replaced = [m for m in merged_rows if m[0] not in newest] + [(e[0], e[1], e[2], None) for e in newest.values() if e[3] != D]

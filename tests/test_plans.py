@@ -5,11 +5,12 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from cdclake.model import Mapping
-from cdclake.operators.apply import apply_changes, stage_delta
+from cdclake.model import Mapping, RUN_LOG
+from cdclake.operators import apply as apply_module
+from cdclake.operators.apply import apply_changes, apply_changes_partitioned, stage_delta
 from cdclake.operators.consolidate import consolidate, map_columns, propagate_changes
 from cdclake.operators.progress import latest_per_key, run_progress
-from cdclake.model import RUN_LOG
+from cdclake.sources.tables import write_table
 from tests.conftest import final_plan, plan_of
 
 MAPPING = [Mapping("key", ("a.l.id", "b.r.id"), unique=True)]
@@ -106,6 +107,31 @@ def test_consolidation_with_a_small_member_does_not_shuffle_the_large_side_for_i
     assert plan_of(consolidate(a, b, MAPPING)).count("BroadcastHashJoin") >= 2
 
 
+def test_a_measured_member_spares_the_consolidated_table_the_shuffle(spark, hot):
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        a = map_columns(hot("l"), MAPPING, "l", "a")
+        b = map_columns(spark.range(0, 30).select("id", F.lit("s").alias("v")), MAPPING, "r", "b")
+        merged = consolidate(a, b, MAPPING, measure=True)
+        # What is shuffled are the keys found on both sides, for the small side's own unmatched rows.
+        exchanges = [line for line in plan_of(merged).split("\n") if "Exchange hashpartitioning" in line]
+        assert len(exchanges) <= 2 and plan_of(merged).count("BroadcastHashJoin") == 3
+        assert merged.count() == consolidate(a, b, MAPPING, trust_unique=True).count()
+
+
+def test_rewritten_partitions_are_not_shuffled(spark, hot, tmp_path, monkeypatch):
+    path, plans = str(tmp_path / "p"), []
+    write_table(hot("t").withColumn("p", F.col("id") % 3), path, "p")
+    write = apply_module.write_table
+    monkeypatch.setattr(apply_module, "write_table", lambda df, *a, **k: (plans.append(plan_of(df)), write(df, *a, **k)))
+    changes = spark.range(20, 40).select(
+        "id", F.lit("n").alias("v"), (F.col("id") % 3).alias("p"), F.lit(2).alias("operation"), F.col("id").alias("seq")
+    )
+    merged = apply_changes_partitioned(spark, path, changes, "id", "p")
+    assert merged.where("v = 'n'").count() == 20
+    assert plans[0].count("Exchange hashpartitioning") == 1 and "REBALANCE_PARTITIONS_BY_COL" in plans[0]
+    assert "BroadcastHashJoin" in plans[0]
+
+
 def test_run_progress_is_two_hash_aggregates(spark):
     plan = plan_of(run_progress(spark.createDataFrame([], RUN_LOG).union(spark.createDataFrame([], RUN_LOG))))
     assert "SortAggregate" not in plan and "Window" not in plan
