@@ -10,7 +10,7 @@ from cdclake.model import DELETE, MODIFIED, Mapping
 from cdclake.operators.align import align_schemas
 from cdclake.operators.columns import col, resolve
 from cdclake.operators.compact import compact_changes
-from cdclake.plans.sizing import broadcast_if_small
+from cdclake.plans.sizing import HEAVY_KEY_ROWS, broadcast_if_small, heaviest_key
 
 
 def mapped_names(columns: Iterable[str], mapping: list[Mapping], table: str, alias: str, keep=("operation",)) -> dict[str, str]:
@@ -76,9 +76,10 @@ def consolidate(
     is composed of its matched rows and the unmatched rows of either side: each
     of the three can be broadcast or split, and unmatched rows are found by the
     distinct keys of the other side. ``trust_unique=True`` uses the plain full
-    outer join, one shuffle per side, where no key repeats. ``measure=True``, for
-    a stored member, measures it and broadcasts it when small; the consolidated
-    table is then not shuffled at all.
+    outer join, which moves each side once, where no key repeats much.
+    ``measure=True``, for stored tables, finds out: a small member is broadcast,
+    so that the consolidated table is not shuffled at all; else the plain join is
+    used unless some key, or NULL, has very many rows on either side.
     """
     if merged is None:
         return new
@@ -105,11 +106,15 @@ def consolidate(
     on_left = {c.lower() for c in left.columns}
     output += [F.col(n).alias(c) for c, n in r_names.items() if c.lower() not in on_left]
 
-    if trust_unique:
-        return left.join(renamed, condition, "full").select(*output)
     few = False
-    if measure:
+    if measure and not trust_unique:
         renamed, few = broadcast_if_small(renamed)
+        trust_unique = not few and all(
+            heaviest_key(df, keys) <= HEAVY_KEY_ROWS
+            for df, keys in ((renamed, [r_names[k] for k in right_keys]), (left, left_keys))
+        )
+    if trust_unique:
+        return left.join(renamed, condition, "full").select(*output)
     seen_left, seen_right = left.select(*[col(k) for k in left_keys]), renamed
     if few:
         # Leaves only keys of the small side, ahead of any shuffle.

@@ -1,4 +1,4 @@
-"""Broadcasting behind a size check."""
+"""Measured sizes that decide how a join is run."""
 
 from __future__ import annotations
 
@@ -8,6 +8,15 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+# As many rows of one key as a single join task takes in its stride.
+HEAVY_KEY_ROWS = 100_000
+
+
+def heaviest_key(df: DataFrame, keys: list[str]) -> int:
+    """Rows of the most frequent key, NULL counting as one. Counts per key before it shuffles."""
+    counts = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("rows")).first()["rows"]
+
 
 def broadcast_if_small(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES

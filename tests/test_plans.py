@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from cdclake.model import Mapping, RUN_LOG
-from cdclake.operators import apply as apply_module
+from cdclake.operators import apply as apply_module, consolidate as consolidate_module
 from cdclake.operators.apply import apply_changes, apply_changes_partitioned, stage_delta
 from cdclake.operators.consolidate import consolidate, map_columns, propagate_changes
 from cdclake.operators.progress import latest_per_key, run_progress
+from cdclake.plans.sizing import heaviest_key
 from cdclake.sources.tables import write_table
 from tests.conftest import final_plan, plan_of
 
@@ -118,6 +119,20 @@ def test_a_measured_member_spares_the_consolidated_table_the_shuffle(spark, hot)
         assert merged.count() == consolidate(a, b, MAPPING, trust_unique=True).count()
 
 
+def test_the_plain_outer_join_is_used_only_without_heavy_keys(spark, hot, monkeypatch):
+    a = map_columns(hot("l"), MAPPING, "l", "a")
+    b = map_columns(spark.range(0, 3000).select("id", F.lit("s").alias("v")), MAPPING, "r", "b")
+    monkeypatch.setattr(consolidate_module, "broadcast_if_small", lambda df: (df, False))
+    expected = consolidate(a, b, MAPPING, trust_unique=True).count()
+    light = consolidate(a, b, MAPPING, measure=True)
+    assert "FullOuter" in plan_of(light)
+    monkeypatch.setattr(consolidate_module, "HEAVY_KEY_ROWS", 10000)
+    assert heaviest_key(a, ["key"]) == 10001
+    for heavy in (consolidate(a, b, MAPPING, measure=True), consolidate(b, a, MAPPING, measure=True)):
+        assert "FullOuter" not in plan_of(heavy)
+        assert heavy.count() == expected == light.count()
+
+
 def test_rewritten_partitions_are_not_shuffled(spark, hot, tmp_path, monkeypatch):
     path, plans = str(tmp_path / "p"), []
     write_table(hot("t").withColumn("p", F.col("id") % 3), path, "p")
