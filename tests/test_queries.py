@@ -7,10 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from cdclake_workload import queries as operator_queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
+NAMES = {q.__name__ for q in operator_queries.ALL}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 
@@ -31,10 +34,10 @@ def in_order(found):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert NAMES <= set(contract.queries()) and NAMES <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(NAMES))
 def test_query(spark, oracle, name):
     df = contract.queries()[name](spark, SF)
     columns = sorted(df.columns)
