@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from cdclake.llm import mixing
+from cdclake.llm.mixing import op5_mix_sources
+from cdclake.llm.packing import op3_pack_sequences
 from cdclake.llm.quality_rules import op7_quality_rules
 
-ALL = [op7_quality_rules]
+ALL = [op3_pack_sequences, op5_mix_sources, op7_quality_rules]
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op5_mix_sources": mixing.ORACLE}
