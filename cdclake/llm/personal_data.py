@@ -31,6 +31,7 @@ TRAINING_SPANS = 20_000
 FEATURES = 1 << 12
 #: Probability from which a candidate beyond the base kinds is kept.
 KEEP = 0.5
+PRIOR_VOTES = 20
 BASE = ["email", "ip", "card", "phone"]
 
 # A base match cannot begin inside a run that an earlier start has failed on, so runs are entered at
@@ -149,13 +150,14 @@ def reliabilities(rows: np.ndarray, counts: np.ndarray, rounds: int = 50) -> tup
     """Share of personal spans; per class and labeler the chance that a vote cast is positive; chance of each row.
 
     ``rows`` are distinct vote rows. The start is the majority vote. Not voting
-    says nothing. The prior holds a labeler to be right twice in three votes.
+    says nothing. The prior is ``PRIOR_VOTES`` votes, nine in ten of them right.
     """
     p = 1 / (1 + np.exp(-rows.sum(axis=1).astype(float)))
     for _ in range(rounds):
-        share = (counts @ p + 1) / (counts.sum() + 2)
+        share = (counts @ p + PRIOR_VOTES) / (counts.sum() + 2 * PRIOR_VOTES)
         positive = np.array([
-            ((counts * q) @ (rows > 0) + prior) / ((counts * q) @ (rows != 0) + 3) for q, prior in ((1 - p, 1), (p, 2))
+            ((counts * q) @ (rows > 0) + prior * PRIOR_VOTES) / ((counts * q) @ (rows != 0) + PRIOR_VOTES)
+            for q, prior in ((1 - p, 0.1), (p, 0.9))
         ])
         score = np.log((1 - share, share)) + np.where(
             rows[:, None] > 0, np.log(positive), np.where(rows[:, None] < 0, np.log1p(-positive), 0.0)
