@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from cdclake.llm import mixing
+from cdclake.llm.language_id import op2_language_id
 from cdclake.llm.mixing import op5_mix_sources
 from cdclake.llm.packing import op3_pack_sequences
 from cdclake.llm.personal_data import op4_personal_data
 from cdclake.llm.quality_rules import op7_quality_rules
 
-ALL = [op3_pack_sequences, op4_personal_data, op5_mix_sources, op7_quality_rules]
+ALL = [op2_language_id, op3_pack_sequences, op4_personal_data, op5_mix_sources, op7_quality_rules]
 
 ORACLES = {"op5_mix_sources": mixing.ORACLE}
