@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from cdclake.llm import mixing
+from cdclake.llm import line_dedup, mixing
 from cdclake.llm.html_extraction import op1_html_extraction
 from cdclake.llm.language_id import op2_language_id
+from cdclake.llm.line_dedup import op10_line_dedup
 from cdclake.llm.mixing import op5_mix_sources
 from cdclake.llm.packing import op3_pack_sequences
 from cdclake.llm.personal_data import op4_personal_data
 from cdclake.llm.quality_rules import op7_quality_rules
 
-ALL = [op1_html_extraction, op2_language_id, op3_pack_sequences, op4_personal_data, op5_mix_sources, op7_quality_rules]
+ALL = [op1_html_extraction, op2_language_id, op3_pack_sequences, op4_personal_data, op5_mix_sources, op7_quality_rules, op10_line_dedup]
 
-ORACLES = {"op5_mix_sources": mixing.ORACLE}
+ORACLES = {"op5_mix_sources": mixing.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
