@@ -7,10 +7,11 @@ from cdclake.llm.html_extraction import op1_html_extraction
 from cdclake.llm.language_id import op2_language_id
 from cdclake.llm.line_dedup import op10_line_dedup
 from cdclake.llm.mixing import op5_mix_sources
+from cdclake.llm.ngram_join import op8_ngram_jaccard_join
 from cdclake.llm.packing import op3_pack_sequences
 from cdclake.llm.personal_data import op4_personal_data
 from cdclake.llm.quality_rules import op7_quality_rules
 
-ALL = [op1_html_extraction, op2_language_id, op3_pack_sequences, op4_personal_data, op5_mix_sources, op7_quality_rules, op10_line_dedup]
+ALL = [op1_html_extraction, op2_language_id, op3_pack_sequences, op4_personal_data, op5_mix_sources, op7_quality_rules, op8_ngram_jaccard_join, op10_line_dedup]
 
 ORACLES = {"op5_mix_sources": mixing.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
