@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cdclake.llm import line_dedup, mixing
+from cdclake.llm.fingerprints import op6_fingerprints
 from cdclake.llm.html_extraction import op1_html_extraction
 from cdclake.llm.language_id import op2_language_id
 from cdclake.llm.line_dedup import op10_line_dedup
