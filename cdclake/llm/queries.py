@@ -12,10 +12,11 @@ from cdclake.llm.ngram_join import op8_ngram_jaccard_join
 from cdclake.llm.packing import op3_pack_sequences
 from cdclake.llm.personal_data import op4_personal_data
 from cdclake.llm.quality_rules import op7_quality_rules
+from cdclake.llm.substring_dedup import op9_substring_dedup
 
 ALL = [
     op1_html_extraction, op2_language_id, op3_pack_sequences, op4_personal_data, op5_mix_sources, op6_fingerprints,
-    op7_quality_rules, op8_ngram_jaccard_join, op10_line_dedup,
+    op7_quality_rules, op8_ngram_jaccard_join, op9_substring_dedup, op10_line_dedup,
 ]
 
 ORACLES = {"op5_mix_sources": mixing.ORACLE, "op10_line_dedup": line_dedup.ORACLE}
