@@ -23,7 +23,7 @@ BUCKETS = 1 << 17
 #: Trusted documents used, at most, in the order of a hash of their ids.
 TRUSTED_DOCUMENTS = 20_000
 #: Mean log-likelihood ratio below which a document is rejected.
-THRESHOLD = -0.3
+THRESHOLD = -1.0
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 WINDOW = 5
@@ -65,9 +65,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     gathered = buckets.join(counts, "bucket", "left").agg(
         F.sort_array(F.collect_list(entry)).alias("seen"), F.sum("n").alias("total"), F.sum("n_good").alias("total_good")
     )
-    ratio = lambda x: (
-        F.log((x["n_good"] + 1) / (F.col("total_good") + BUCKETS)) - F.log((x["n"] + 1) / (F.col("total") + BUCKETS))
-    ).cast("float")
+    # Both multinomials on the trusted total and smoothed by one count, so that few trusted words say little.
+    share = F.col("total_good") / F.col("total")
+    ratio = lambda x: (F.log(x["n_good"] + 1) - F.log(x["n"] * share + 1)).cast("float")
     return gathered.select(F.when(F.col("total_good") > 0, F.transform("seen", ratio)).alias("ratios"))
 
 

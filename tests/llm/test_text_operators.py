@@ -1,0 +1,332 @@
+"""Operators over documents against plain versions."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from cdclake.llm import (
+    fingerprints, language_id, line_dedup, mixing, ngram_join, packing, personal_data, quality_rules, substring_dedup,
+)
+from tests.llm.cases import documents, empty
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return documents(spark).cache()
+
+
+@pytest.fixture(scope="module")
+def plain(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+
+def labels(spark, rows=((0, 1, 0), (1, 1, 0), (2, 0, 0), (3, 1, 1), (None, 1, 0))):
+    return spark.createDataFrame(list(rows), "doc_id bigint, quality int, toxic int")
+
+
+def counted(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    seen = collections.Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered), failed
+
+
+def test_quality_counts(spark, docs, plain):
+    found = quality_rules.quality_rules(docs, labels(spark)).collect()
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert sorted(str((r["doc_id"], *[r[c] for c in columns])) for r in found) == sorted(
+        str((d, *counted(t))) for d, t in plain)
+    assert all(not r["kept"] for r in found if r["base_failed"])
+    assert all((r["score"] is None) == (r["n_words"] == 0) for r in found)
+
+
+def test_quality_score(spark):
+    good = "plain words stand here in a row and are fine to read today"
+    bad = "### *** ||| ### *** $$$ %%% ### &&& *** ||| $$$"
+    docs = spark.createDataFrame([(1, good), (2, good + " again"), (3, bad)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in quality_rules.quality_rules(docs, labels(spark, [(1, 1, 0)])).collect()}
+    buckets = lambda t: [b for w in t.split() for b in ((w, 0), (w[-3:], 3))]
+    raw = collections.Counter(b for t in (good, good + " again", bad) for b in buckets(t))
+    trusted = collections.Counter(buckets(good))
+    for i, t in ((1, good), (3, bad)):
+        share = sum(trusted.values()) / sum(raw.values())
+        mean = sum(math.log(trusted[b] + 1) - math.log(raw[b] * share + 1) for b in buckets(t)) / len(buckets(t))
+        assert abs(found[i]["score"] - mean) < 1e-4
+    assert found[1]["kept"] and not found[3]["kept"]
+
+
+def test_quality_without_labels_or_rows(spark, docs):
+    none = quality_rules.quality_rules(docs, labels(spark).limit(0)).collect()
+    assert all(r["kept"] == (not r["base_failed"]) for r in none)
+    assert quality_rules.quality_rules(empty(spark), labels(spark)).count() == 0
+
+
+def test_language(spark, docs, plain):
+    model = language_id.train_model([])
+    assert model is None and {r["lang_pred"] for r in language_id.predict(docs, None).collect()} == {"und"}
+    train = spark.createDataFrame(
+        [(i, t * 3, lang, "s") for i, (t, lang) in enumerate([("the and of that with ", "en"), ("der und die von mit ", "de")] * 30)],
+        "doc_id bigint, text string, lang string, score string")
+    model = language_id.train_model(language_id.training_rows(train))
+    found = language_id.predict(docs, model).collect()
+    assert len(found) == len(plain)
+    letters = collections.Counter((d, any(c.isalpha() for c in t or "")) for d, t in plain)
+    assert collections.Counter((r["doc_id"], r["lang_pred"] != "und") for r in found) == letters
+    assert all(0 <= r["score"] <= 1 and (r["score"] == 0) == (r["lang_pred"] == "und") for r in found)
+    ask = spark.createDataFrame([(1, "and the other of that"), (2, "und mit der die"), (3, "12 !")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.predict(ask, model).collect()} == {1: "en", 2: "de", 3: "und"}
+    assert language_id.predict(empty(spark), model).count() == 0
+
+
+def test_differencing():
+    for sizes, windows in (([8, 7, 6, 5, 4], 2), ([5] * 9, 4), ([3], 5), (list(range(1, 60)), 7)):
+        parts = packing.difference(sizes, windows)
+        assert sorted(i for p in parts for i in p) == list(range(len(sizes))) and len(parts) <= windows
+        sums = sorted(sum(sizes[i] for i in p) for p in parts)
+        assert sums[-1] - sums[0] <= max(sizes) or len(parts) < windows
+    assert max(sum([30, 30, 30][i] for i in p) for p in packing.deal([30, 30, 30], 50)) <= 50
+
+
+def test_packing(spark, docs, plain):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    pieces = packing.pack(docs, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken")).collect()
+    by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for p in pieces:
+        by_doc[p["doc_id"]].append(p)
+        by_sequence[p["sequence_id"]].append(p)
+    want = collections.Counter()
+    for d, t in plain:
+        ids = whole.encode(t or "", add_special_tokens=False).ids + [1]
+        want[d] += len(ids)
+        if sum(x == d for x, _ in plain) == 1:
+            import numpy as np
+            at = 0
+            for p in sorted(by_doc[d], key=lambda p: p["start"]):
+                assert p["start"] == at and p["doc_tokens"] == len(ids)
+                assert p["ids_crc32"] == zlib.crc32(np.array(ids[at : at + p["length"]], "<u4").tobytes())
+                at += p["length"]
+    assert want == collections.Counter({d: sum(p["length"] for p in ps) for d, ps in by_doc.items()})
+    for ps in by_sequence.values():
+        at = 0
+        for p in sorted(ps, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= 2048 and (at == 2048 or at & (at - 1) == 0)
+    assert packing.pack(empty(spark), path("byte_bpe_50k.json")).count() == 0
+
+
+def test_special_token_text_is_like_the_tokenizers():
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    text = "a <|endoftext|> b<|endoftext|>c d"
+    ids = packing.WordTokenizer(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))([text])[0].tolist()
+    assert ids == Tokenizer.from_file(path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids + [1]
+
+
+def test_mixing(spark, docs):
+    found = mixing.mix_rates(docs).collect()
+    size = collections.Counter()
+    for r in found:
+        size[r["source"]] += r["size"]
+        assert 0 <= r["copies"] <= 3
+    target = {r["source"]: r["target"] for r in found}
+    assert abs(sum(target.values()) - sum(size.values())) < 1e-6 * sum(size.values())
+    assert all(target[s] <= 3 * size[s] + 1e-6 for s in size)
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    free = [target[s] / (1 + i % 3) for i, s in enumerate(order) if target[s] < 3 * size[s] - 1e-6]
+    assert max(free) - min(free) < 1e-6 * max(free)
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in found)
+    assert sorted(map(str, found)) == sorted(map(str, mixing.mix_rates(docs).collect()))
+    assert mixing.mix_rates(empty(spark)).count() == 0
+
+
+def test_target_stops_at_three_times_a_source(spark):
+    sizes = spark.createDataFrame([("a", 1), ("b", 1), ("c", 98)], "source string, size bigint")
+    assert {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()} == {"a": 3.0, "b": 3.0, "c": 94.0}
+
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    found = []
+    for order, (kind, pattern) in enumerate(BASE.items()):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            doubled = [int(c) * (1 + i % 2) for i, c in enumerate(digits[::-1])]
+            luhn = sum(n - 9 if n > 9 else n for n in doubled) % 10 == 0
+            if {"email": True, "ip": all(int(p) <= 255 for p in m.group().split(".") if kind == "ip"),
+                    "card": 12 <= len(digits) <= 19 and luhn, "phone": 9 <= len(digits) <= 15}[kind]:
+                found.append((m.start(), order, kind, m.end()))
+    return [(a, kind, b) for a, _, kind, b in sorted(found)]
+
+
+def test_base_spans():
+    import random
+    rng = random.Random(4)
+    tokens = ["a.b@c.de", "@", "x@y.z@q.w", "4111 1111 1111 1111", "4111-1111-1111-1112", "1.2.3.4", "1.2.3.4.5.6.7.8", "256.1.1.1",
+              "+1 (123) 555-1234", "+1", "007.1.1.1", "00000255.1.1.1", "....", "+12 3456789 ", "é", "-", "12", " ", ".", "5" * 16, "a@b", "\n"]
+    for _ in range(3000):
+        text = "".join(rng.choice(tokens) for _ in range(rng.randint(1, 9)))
+        assert personal_data.base_spans(text) == plain_spans(text), text
+
+
+def test_long_runs_stay_cheap():
+    import time
+    start = time.time()
+    for text in ("1" * 400_000, "a" * 400_000, "a@" * 200_000, "+" * 400_000, "1." * 200_000, "+1" * 200_000):
+        personal_data.candidates(text)
+    assert time.time() - start < 20
+
+
+def test_personal_data(spark, docs, plain):
+    rows = [(i, f'some token = "{hashlib.sha1(str(i).encode()).hexdigest()}" and n{i}@mail.example.com 10.0.0.{i}') for i in range(20)]
+    some = spark.createDataFrame(rows, "doc_id bigint, text string")
+    weights = personal_data.train(some)
+    found = personal_data.find_spans(some, weights).collect()
+    assert all({s["kind"] for s in r["spans"]} == {"secret", "email", "ip"} for r in found)
+    assert personal_data.train(empty(spark)) is None
+    rest = personal_data.find_spans(docs, weights).collect()
+    assert len(rest) == len(plain) and all(not r["spans"] for r in rest if not r["text" if "text" in r else "spans"])
+    assert personal_data.find_spans(empty(spark), weights).count() == 0
+
+
+def test_line_dedup(spark, docs, plain):
+    place = lambda d, t: (d is not None, d if d is not None else 0, hashlib.md5(t.encode()).hexdigest())
+    first = {}
+    windows = []
+    for d, t in plain:
+        lines = t.split("\n") if t is not None else []
+        for i, line in enumerate(lines):
+            if i + 1 < len(lines) and WORD.search(line) and WORD.search(lines[i + 1]):
+                windows.append(((line, lines[i + 1]), (place(d, t), i), 2))
+            if len(WORD.findall(line)) >= line_dedup.LONG_LINE:
+                windows.append(((line,), (place(d, t), i), 1))
+    for key, at, _ in windows:
+        first[key] = min(first.get(key, at), at)
+    gone = collections.defaultdict(set)
+    for key, at, n in windows:
+        if at != first[key]:
+            gone[at[0]].update(range(at[1], at[1] + n))
+    want = sorted(
+        str((d, t if t is None or not gone[place(d, t)] else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[place(d, t)])))
+        for d, t in plain)
+    out = line_dedup.dedup_lines(docs)
+    assert sorted(str((r["doc_id"], r["text"])) for r in out.collect()) == want
+    assert any(gone.values()) and set(docs.columns) <= set(out.columns)
+    assert line_dedup.dedup_lines(empty(spark)).count() == 0
+
+
+def shingles(text, size):
+    words = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+@pytest.mark.parametrize("size,num,block", [(3, 90, 2048), (5, 80, 2048), (2, 60, 2)])
+def test_jaccard_components(spark, docs, plain, monkeypatch, size, num, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    found = ngram_join.jaccard_components(docs, size, num, 100).collect()
+    sets = [(d, shingles(t, size)) for d, t in plain]
+    parent = list(range(len(sets)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (_, a) in enumerate(sets):
+        for j, (_, b) in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= num * len(a | b):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(sets):
+        if d is not None:
+            least[root(i)] = min(least.get(root(i), d), d)
+    want = collections.Counter((d, len(s), least.get(root(i)) if s else d) for i, (d, s) in enumerate(sets))
+    assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == want
+
+
+def test_jaccard_of_nothing(spark):
+    assert ngram_join.jaccard_components(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [1 << 21, 500])
+def test_substring_dedup(spark, docs, plain, monkeypatch, hot):
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
+    seen = collections.Counter()
+    for _, t in plain:
+        data = (t or "").encode()
+        seen.update(data[i : i + 400] for i in range(len(data) - 399))
+    want = collections.Counter()
+    for d, t in plain:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - 399):
+            if seen[data[i : i + 400]] > 1:
+                gone[i : i + 400] = b"\1" * 400
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        want[(d, len(data), sum(gone), len(re.findall(b"\1+", bytes(gone))), kept)] += 1
+    found = substring_dedup.dedup_substrings(docs).collect()
+    assert collections.Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found) == want
+    if hot == 500:
+        assert substring_dedup.dedup_substrings(empty(spark)).count() == 0
+
+
+def test_fingerprints(spark, docs, plain):
+    found = fingerprints.compare_neighbours(docs).collect()
+    order = sorted(plain, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    want = collections.Counter()
+    for k, (d, t) in enumerate(order):
+        t, after = t or "", order[(k + 1) % len(order)][1] or ""
+        edited = t[: len(t) - len(t) // 4] + after[: len(t) // 4]
+        want[(d, len(t), hashlib.sha256(edited.encode()).hexdigest(), *fingerprints.fingerprints([t, edited]))] += 1
+    assert collections.Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"]) for r in found) == want
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in found)
+    assert fingerprints.compare_neighbours(empty(spark)).count() == 0
+
+
+def test_walk_and_likeness():
+    text = "".join(chr(97 + (i * i * 7 + i // 3) % 26) for i in range(3000))
+    stay = fingerprints._dwell()
+    assert (stay >= 1).all()
+    same, edited, other = fingerprints.fingerprints([text, text[:1500] + "x" + text[1500:], text[::-1]])
+    assert fingerprints.likeness(same, same) == 1.0
+    assert fingerprints.likeness(same, edited) > 0.6 > fingerprints.likeness(same, other)
+    longer = fingerprints.fingerprints([text * 2])[0]
+    assert longer.split(":")[0] != same.split(":")[0] and 0.3 < fingerprints.likeness(same, longer) < 0.7
+
+
+def test_similar_fingerprints(spark):
+    import random
+    rng = random.Random(6)
+    words = [chr(97 + rng.randrange(26)) * rng.randint(1, 6) for _ in range(500)]
+    texts = [" ".join(words), " ".join(words[:480]), " ".join(reversed(words))]
+    prints = fingerprints.fingerprints(texts)
+    frame = spark.createDataFrame([(p,) for p in prints], "fingerprint string")
+    pairs = fingerprints.similar_fingerprints(frame).collect()
+    assert {frozenset((r["a"], r["b"])) for r in pairs} == {frozenset(prints[:2])}
+
+
+def test_columns_are_not_read_by_name_clash(spark, docs):
+    assert "kept" in quality_rules.quality_rules(docs, labels(spark)).columns
+    assert docs.select(F.count("rep")).first()[0] > 0
