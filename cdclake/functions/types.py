@@ -63,15 +63,22 @@ SOURCE_TYPES = {
 
 # Names only one dialect uses, or uses differently.
 DIALECT_TYPES = {
+    "mysql": {
+        "real": "double",
+    },
     "oracle": {
         "binary_double": "double",
         "binary_float": "float",
+        "date": "timestamp",
+        "float": "double",
         "long": "string",
+        "real": "double",
         "rowid": "string",
     },
     "postgresql": {
         "array": "string",
         "bpchar": "string",
+        "float": "double",
         "float4": "float",
         "float8": "double",
         "inet": "string",
@@ -91,6 +98,11 @@ UNSIGNED = {
     "bigint": "decimal(20,0)",
 }
 
+# A decimal type without a size: PostgreSQL keeps any number of digits on either
+# side, so only text holds all of its values.
+BARE_DECIMAL = {"mysql": "decimal(10,0)", "oracle": "decimal(38,0)", "postgresql": "string"}
+BARE_NUMBER = "decimal(38,10)"
+
 _SOURCE_TYPE = re.compile(r"^\s*([A-Za-z0-9_\-]+)\s*(?:\(([^)]*)\))?\s*(.*)$")
 
 
@@ -102,7 +114,8 @@ def map_source_type(text: str, dialect: str = "mysql", number_as: str = "decimal
     """Spark type of a source column type, and whether the type name was known.
 
     Unknown names become strings. A bare Oracle ``NUMBER`` has no declared
-    scale: ``decimal(38,10)``, or a string with ``number_as="string"``.
+    scale: ``decimal(38,10)``, or a string with ``number_as="string"``. A bare
+    PostgreSQL ``numeric`` is a string.
     """
     found = _SOURCE_TYPE.match(text or "")
     if not found:
@@ -114,9 +127,11 @@ def map_source_type(text: str, dialect: str = "mysql", number_as: str = "decimal
     if target is None:
         return T.StringType(), False
     if target == "decimal":
-        sizes = [int(n) for n in re.findall(r"-?\d+", args or "")]
-        if base == "number" and not sizes:
-            return (T.StringType() if number_as == "string" else T.DecimalType(38, 10)), True
+        sizes = [38 if n == "*" else int(n) for n in re.findall(r"-?\d+|\*", args or "")]
+        if not sizes:
+            bare = BARE_NUMBER if base == "number" else BARE_DECIMAL.get(dialect.lower(), "decimal(10,0)")
+            bare = "string" if base == "number" and number_as == "string" else bare
+            return T.DataType.fromDDL(bare), True
         return _decimal(sizes), True
     if "unsigned" in rest:
         target = UNSIGNED.get(target, target)
@@ -124,7 +139,7 @@ def map_source_type(text: str, dialect: str = "mysql", number_as: str = "decimal
 
 
 def _decimal(sizes: list[int]) -> T.DataType:
-    precision, scale = (sizes + [0])[:2] if sizes else (10, 0)
+    precision, scale = (sizes + [0])[:2]
     if scale < 0:
         precision, scale = precision - scale, 0
     precision = max(precision, scale)
@@ -135,22 +150,26 @@ def _decimal(sizes: list[int]) -> T.DataType:
 def parse_source_type(text: Column | str) -> Column:
     """Struct of the type parts that schema tracking stores and compares.
 
-    ``typeSize`` is the first run of digits of a sized type and -1 without one;
-    ``possibleValues`` are the sorted members of an enum.
+    ``typeSize`` is the number that begins the brackets, -1 without one, and
+    ``typeScale`` the number after the comma, if any. ``type`` is what stands
+    outside the brackets, without the sign. ``possibleValues`` are the sorted
+    members of an enum or set; a member's doubled quotes stand for one.
     """
     text = F.col(text) if isinstance(text, str) else text
-    sized = F.contains(text, F.lit("("))
-    digits = F.regexp_extract(text, r"\d+", 0)
+    part = lambda pattern, group=1: F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    listed = text.rlike(r"(?i)^\s*(enum|set)\s*\(")
+    outside = F.concat_ws(" ", part(r"^\s*([^(]*[^(\s])"), part(r"\)\s*([^()]*[^()\s])\s*$"))
+    members = F.regexp_extract_all(text, F.lit(r"'((?:[^']|'')*)'"), F.lit(1))
     return F.struct(
-        F.when(sized, F.substring_index(text, "(", 1)).otherwise(text).alias("type"),
-        F.when(sized & (digits != ""), digits.try_cast("int")).otherwise(F.lit(-1)).alias("typeSize"),
-        F.when(F.endswith(text, F.lit(" signed")), F.lit(True))
-        .when(F.endswith(text, F.lit(" unsigned")), F.lit(False))
+        F.when(listed, F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
+        .otherwise(F.regexp_replace(outside, r"(?i)\s+(un)?signed\b", "")).alias("type"),
+        F.when(~listed, F.coalesce(part(r"\(\s*(\d+)").try_cast("int"), F.lit(-1))).otherwise(F.lit(-1)).alias("typeSize"),
+        F.when(~listed, part(r"\([^)]*,\s*(-?\d+)\s*\)").try_cast("int")).alias("typeScale"),
+        F.when(text.rlike(r"(?i)\bunsigned\b") & ~listed, F.lit(False))
+        .when(text.rlike(r"(?i)\bsigned\b") & ~listed, F.lit(True))
         .alias("isSigned"),
-        F.when(
-            F.startswith(text, F.lit("enum")),
-            F.array_sort(F.regexp_extract_all(text, F.lit(r"'(\w+)'"), F.lit(1))),
-        ).otherwise(F.array().cast("array<string>")).alias("possibleValues"),
+        F.when(listed, F.array_sort(F.transform(members, lambda m: F.replace(m, F.lit("''"), F.lit("'")))))
+        .otherwise(F.array().cast("array<string>")).alias("possibleValues"),
     )
 
 
@@ -160,13 +179,14 @@ def spark_type_name(text: Column | str, dialect: str = "mysql", number_as: str =
     base = F.lower(F.regexp_extract(text, r"^\s*([A-Za-z0-9_\-]+)", 1))
     names = F.create_map(*[F.lit(x) for pair in type_names(dialect).items() for x in pair])
     target = names[base]
-    precision = F.regexp_extract(text, r"\(\s*(\d+)", 1).try_cast("int")
+    first = F.regexp_extract(text, r"\(\s*(\d+|\*)", 1)
+    precision = F.when(first == "*", F.lit(38)).otherwise(first.try_cast("int"))
     scale = F.coalesce(F.regexp_extract(text, r",\s*(-?\d+)", 1).try_cast("int"), F.lit(0))
     whole = F.when(scale < 0, precision - scale).otherwise(F.greatest(precision, scale))
     fraction = F.greatest(scale, F.lit(0))
-    bare = "string" if number_as == "string" else "decimal(38,10)"
+    bare = "string" if number_as == "string" else BARE_NUMBER
     decimal = (
-        F.when(precision.isNull(), F.when(base == "number", F.lit(bare)).otherwise(F.lit("decimal(10,0)")))
+        F.when(precision.isNull(), F.when(base == "number", F.lit(bare)).otherwise(F.lit(BARE_DECIMAL.get(dialect.lower(), "decimal(10,0)"))))
         .when(whole <= 38, F.format_string("decimal(%d,%d)", whole, fraction))
         .otherwise(F.lit("string"))
     )

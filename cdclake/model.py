@@ -74,6 +74,7 @@ COLUMN_PROPERTY = T.StructType([
     T.StructField("field", T.StringType()),
     T.StructField("type", T.StringType()),
     T.StructField("typeSize", T.IntegerType()),
+    T.StructField("typeScale", T.IntegerType()),
     T.StructField("isSigned", T.BooleanType()),
     T.StructField("defaultValue", T.StringType()),
     T.StructField("possibleValues", T.ArrayType(T.StringType())),

@@ -28,7 +28,7 @@ def describe_tables(columns: DataFrame) -> DataFrame:
     Each list is one table's columns, which a database limits to a few
     thousand.
     """
-    entry = F.concat_ws(":", F.lower("column_name"), F.substring_index("data_type", " ", 1))
+    entry = F.concat_ws(":", F.lower("column_name"), F.col("data_type"))
     listed = F.array_sort(F.collect_list(F.struct("ordinal_position", entry.alias("entry"))))
     return columns.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("column_count"),
@@ -43,7 +43,7 @@ def column_properties(columns: DataFrame, *keep: str) -> DataFrame:
         F.col("column_name").alias("field"),
         parse_source_type("data_type").alias("_t"),
         F.coalesce("column_default", F.lit(_NO_DEFAULT)).alias("defaultValue"),
-    ).select(*keep, "field", "_t.type", "_t.typeSize", "_t.isSigned", "defaultValue", "_t.possibleValues")
+    ).select(*keep, "field", "_t.type", "_t.typeSize", "_t.typeScale", "_t.isSigned", "defaultValue", "_t.possibleValues")
 
 
 def pack_schemas(properties: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def unpack_schemas(versions: DataFrame) -> DataFrame:
     return versions.select("db_type", "table_name", F.inline(listed)).select(
         "db_type", "table_name", "field", "type",
         F.coalesce("typeSize", F.lit(-1)).alias("typeSize"),
-        "isSigned",
+        "typeScale", "isSigned",
         F.coalesce("defaultValue", F.lit(_NO_DEFAULT)).alias("defaultValue"),
         F.array_sort(F.coalesce("possibleValues", F.array().cast("array<string>"))).alias("possibleValues"),
     )
@@ -107,7 +107,7 @@ def diff_schemas(old: DataFrame, new: DataFrame) -> DataFrame:
     instead of a full outer join, so there is one shuffle, preceded by a partial
     aggregate. Signedness is stored but not compared.
     """
-    parts = ["field", "type", "typeSize", "defaultValue", "possibleValues"]
+    parts = ["field", "type", "typeSize", "typeScale", "defaultValue", "possibleValues"]
 
     def side(df: DataFrame, at: int) -> DataFrame:
         values = F.struct(*parts)
@@ -142,10 +142,13 @@ def diff_schemas(old: DataFrame, new: DataFrame) -> DataFrame:
     def differs(part: str) -> Column:
         return both & ~was[part].eqNullSafe(now[part])
 
+    def size_of(side: Column) -> Column:
+        return F.concat_ws(",", side["typeSize"].cast("string"), side["typeScale"].cast("string"))
+
     candidates = F.array(
         event(was.isNull() | now.isNull(), "FIELD_CHANGED", was["field"], now["field"]),
         event(differs("type"), "TYPE_CHANGED", was["type"], now["type"]),
-        event(differs("typeSize"), "TYPE_SIZE_CHANGED", was["typeSize"], now["typeSize"]),
+        event(differs("typeSize") | differs("typeScale"), "TYPE_SIZE_CHANGED", size_of(was), size_of(now)),
         event(differs("defaultValue"), "DEFAULT_VALUE_CHANGED", was["defaultValue"], now["defaultValue"]),
         event(differs("possibleValues"), "POSSIBLE_VALUE_CHANGE", was["possibleValues"], now["possibleValues"]),
     )

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Mapping as MappingABC
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from cdclake.model import TableRef, merge_table_path
 from cdclake.sources.tables import export_csv
 
 # ``:alias.table:`` or ``:merge_request.name:``
 TOKEN = re.compile(r":([A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+):")
-MESSAGE_LIMIT = 300
 
 RESULT_SCHEMA = (
     "jobId int, requestId int, etlID int, status string, total_rows bigint, result_path string, message_fail string"
@@ -31,7 +32,7 @@ def resolve_aliases(databases: DataFrame, tables: DataFrame, servers: DataFrame)
     )
     members = tables.select(
         F.col("id").alias("table_id"), F.col("database_info_id").alias("_db"), "table_name",
-        *[c for c in ("default_key",) if c in tables.columns],
+        *[c for c in ("default_key", "username") if c in tables.columns],
     )
     hosts = servers.select(F.col("id").alias("_server"), "server_host")
     return members.join(live, "_db").join(hosts, "_server").drop("_db", "_server")
@@ -61,23 +62,30 @@ def default_key(aliases: DataFrame, host: str, port: str, database: str, table:
     return row["default_key"]
 
 
-def alias_catalog(spark: SparkSession, aliases: DataFrame, root: str = "/user") -> Callable[[str], str | None]:
-    """A catalog that looks each token up in the alias catalog when a query uses it."""
+def alias_catalog(spark: SparkSession, aliases: DataFrame, root: str = "/user", merged: tuple[str, ...] = ()) -> Callable[[str], str | None]:
+    """A catalog that looks each token up in the alias catalog when a query uses it.
+
+    ``merged`` are the stored names of consolidated tables; one is found whatever
+    case a query writes it in, another is taken as written. Oracle copies lie
+    under their owner, the catalog's ``username``.
+    """
+    spelled = {name.lower(): name for name in merged}
 
     def path_of(token: str) -> str | None:
         space, _, name = token.partition(".")
-        if space == "merge_request":
-            return f"{root.rstrip('/')}/merge_request/{name}"
+        if space.lower() == "merge_request":
+            return merge_table_path(spelled.get(name.lower(), name), root)
         found = (
-            aliases.where((F.lower("alias") == space) & (F.lower("table_name") == name))
+            aliases.where((F.lower("alias") == space.lower()) & (F.lower("table_name") == name.lower()))
             .orderBy("server_host", "port", "table_id")
             .limit(1)
             .collect()
         )
         if not found:
             return None
-        r = found[0]
-        return "/".join([root.rstrip("/"), r["database_type"], r["server_host"], r["port"], r["database_name"], r["table_name"]])
+        r = found[0].asDict()
+        ref = TableRef(r["database_type"], r["server_host"], r["port"], r["database_name"], r["table_name"], r.get("username") or r["database_name"])
+        return ref.path(root)
 
     return path_of
 
@@ -85,23 +93,30 @@ def alias_catalog(spark: SparkSession, aliases: DataFrame, root: str = "/user")
 def run_query(spark: SparkSession, sql: str, catalog: Catalog) -> DataFrame:
     """Run SQL whose table names are ``:alias.table:`` tokens, matched without case.
 
-    The catalog gives a frame or a Parquet path for ``alias.table``. A token it
-    does not know is an error.
+    The catalog gives a frame or a Parquet path for ``alias.table``; a function
+    gets the token as it is written. A token it does not know is an error. Each
+    token has a view of its own for the time of this call.
     """
-    names: dict[str, str] = {}
+    known = catalog if callable(catalog) else {k.lower(): v for k, v in catalog.items()}
+    run, names = uuid.uuid4().hex, {}
 
     def view_for(match: re.Match) -> str:
-        token = match.group(1).lower()
-        if token not in names:
-            entry = catalog(token) if callable(catalog) else {k.lower(): v for k, v in catalog.items()}.get(token)
+        token = match.group(1)
+        if token.lower() not in names:
+            entry = known(token) if callable(known) else known.get(token.lower())
             if entry is None:
                 raise ValueError(f"unknown table :{token}:")
             frame = spark.read.parquet(entry) if isinstance(entry, str) else entry
-            names[token] = re.sub(r"\W", "_", token.replace(".", "__"))
-            frame.createOrReplaceTempView(names[token])
-        return names[token]
+            names[token.lower()] = f"q_{run}_{len(names)}"
+            frame.createOrReplaceTempView(names[token.lower()])
+        return names[token.lower()]
 
-    return spark.sql(TOKEN.sub(view_for, sql))
+    try:
+        # The query is resolved here, so its views may go.
+        return spark.sql(TOKEN.sub(view_for, sql))
+    finally:
+        for view in names.values():
+            spark.catalog.dropTempView(view)
 
 
 def run_queries(spark: SparkSession, requests: DataFrame, catalog: Catalog, out_dir: str,
@@ -117,8 +132,8 @@ def run_queries(spark: SparkSession, requests: DataFrame, catalog: Catalog, out_
         try:
             counted = Observation()
             result = run_query(spark, request["query"], catalog).observe(counted, F.count(F.lit(1)).alias("rows"))
-            path = export_csv(result, f"{out_dir.rstrip('/')}/id_{req}_{job}", single_file)
+            path = export_csv(result, f"{out_dir.rstrip('/')}/id_{req}_{job}_{etl}", single_file)
             outcomes.append((job, req, etl, "success", counted.get["rows"], path, None))
         except Exception as error:  # the outcome of a user's query, whatever it is
-            outcomes.append((job, req, etl, "fail", None, None, str(error)[:MESSAGE_LIMIT]))
+            outcomes.append((job, req, etl, "fail", None, None, str(error)))
     return spark.createDataFrame(outcomes, RESULT_SCHEMA)

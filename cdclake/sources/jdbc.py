@@ -68,11 +68,15 @@ CATALOG_QUERIES = {
         from information_schema.columns where table_schema = '{space}'""",
     "postgresql": """
         select table_schema || '.' || table_name as table_name, column_name, ordinal_position,
-               data_type || coalesce('(' || character_maximum_length || ')', '') as data_type, column_default
+               data_type || case when character_maximum_length is not null then '(' || character_maximum_length || ')'
+                                 when data_type = 'numeric' and numeric_precision is not null
+                                 then '(' || numeric_precision || ',' || numeric_scale || ')' else '' end as data_type,
+               column_default
         from information_schema.columns where table_schema = '{space}'""",
     "oracle": """
         select table_name, column_name, column_id as ordinal_position,
                data_type || case when data_precision is not null then '(' || data_precision || ',' || data_scale || ')'
+                                 when data_type = 'NUMBER' and data_scale is not null then '(*,' || data_scale || ')'
                                  when data_type like '%CHAR%' then '(' || data_length || ')' end as data_type,
                cast(null as varchar2(1)) as column_default
         from user_tab_columns""",

@@ -67,11 +67,12 @@ def stream_changes(
 class ChangeApplier:
     """A batch handler that merges each table's events into its copy.
 
-    Two records make a repeat harmless: the merge itself is an upsert, and
-    events at or below the last applied position are skipped. A table's events
-    must arrive in log order, as its one-partition stream delivers them. Events
-    that cannot be decoded, or whose table has no target, go to ``quarantine``;
-    steps are noted in ``run_log``.
+    Two records make a repeat harmless: the merge itself is an upsert, and of a
+    batch recorded as applied to a table, events up to its position are skipped.
+    A table's events must arrive in log order, as its one-partition stream
+    delivers them; in another batch, events at or below the last applied position
+    are late and go to ``quarantine``, as do events that cannot be decoded or
+    whose table has no target. Steps are noted in ``run_log``.
 
     Up to ``parallel`` tables are applied at a time, since one small merge does
     not fill a cluster. Tables that feed the same consolidated table take turns.
@@ -106,15 +107,19 @@ class ChangeApplier:
         marks = {r["table_key"]: r["max_id"] for r in found if r["table_key"] in self.targets}
         if len(marks) < len(found):
             self._set_aside(batch.where(~F.col("table_key").isin(list(self.targets))), batch_id)
-        done = {r["table_key"]: r["last_id"] for r in self.applied().where(F.col("table_key").isin(list(marks))).collect()}
+        done = {r["table_key"]: r for r in self.applied().where(F.col("table_key").isin(list(marks))).collect()}
         logs: list[RunLog] = []
         finished: list[tuple[str, int, int]] = []
 
         def sync_in_turn(keys: list[str]) -> None:
             for key in keys:
-                last, target = done.get(key), self.targets[key]
+                last, target = done[key]["last_id"] if key in done else None, self.targets[key]
                 events = batch.where(F.col("table_key") == key).drop("table_key")
                 if last is not None:
+                    if done[key]["batch_id"] != batch_id:
+                        late = events.where(F.col("id") <= last)
+                        if not late.isEmpty():
+                            self._set_aside(late.withColumn("table_key", F.lit(key)), batch_id, "behind applied position")
                     events = events.where(F.col("id").isNull() | (F.col("id") > last))
                 log = RunLog(job_id=batch_id, table_name=target.table, request_type="sync_all", number_step=3 + len(target.merges))
                 logs.append(log)
@@ -137,11 +142,12 @@ class ChangeApplier:
             replace_table(self.applied().coalesce(1), self.state)
 
 
-    def _set_aside(self, events: DataFrame, batch_id: int) -> None:
-        """Keep events of tables that have no target."""
-        events.withColumn("reason", F.lit("unregistered table")).write.mode("overwrite").option(
+    def _set_aside(self, events: DataFrame, batch_id: int, reason: str = "unregistered table") -> None:
+        """Keep events that are not applied, a folder per batch and reason, which a repeat overwrites."""
+        folder = "batch" if reason == "unregistered table" else "late_batch"
+        events.withColumn("reason", F.lit(reason)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy("table_key").parquet(f"{self.quarantine}/batch={batch_id}")
+        ).partitionBy("table_key").parquet(f"{self.quarantine}/{folder}={batch_id}")
 
     def _turns(self, keys) -> list[list[str]]:
         """Tables grouped so that no two groups feed the same consolidated table."""

@@ -142,7 +142,8 @@ def new_columns(spark, sf_dir) -> DataFrame:
         F.when((n % 5 == 1) & F.startswith("data_type", F.lit("varchar")), F.lit("varchar(255)"))
         .when((n % 5 == 2) & (F.col("data_type") == "datetime"), F.lit("timestamp"))
         .when((n % 5 == 3) & (F.col("data_type") == "datetime"), F.lit("datetime(6)"))
-        .when((n % 5 == 1) & F.startswith("data_type", F.lit("enum")), F.lit("enum('a','b','new')"))
+        .when((n % 5 == 3) & F.startswith("data_type", F.lit("decimal")), F.lit("decimal(12,4)"))
+        .when((n % 5 == 1) & F.startswith("data_type", F.lit("enum")), F.lit("enum('a','b','new one')"))
         .when((n % 5 == 2) & F.startswith("data_type", F.lit("enum")), F.concat(F.lit("enum('c"), n % 3, F.lit("','a','b')")))
         .when((n % 5 == 4) & F.startswith("data_type", F.lit("int")), F.lit("int(11) signed"))
         .otherwise(F.col("data_type"))

@@ -70,7 +70,8 @@ new_cols as (
          case when n % 5 = 1 and data_type like 'varchar%' then 'varchar(255)'
               when n % 5 = 2 and data_type = 'datetime' then 'timestamp'
               when n % 5 = 3 and data_type = 'datetime' then 'datetime(6)'
-              when n % 5 = 1 and data_type like 'enum%' then 'enum(''a'',''b'',''new'')'
+              when n % 5 = 3 and data_type like 'decimal%' then 'decimal(12,4)'
+              when n % 5 = 1 and data_type like 'enum%' then 'enum(''a'',''b'',''new one'')'
               when n % 5 = 2 and data_type like 'enum%' then 'enum(''c' || (n % 3) || ''',''a'',''b'')'
               when n % 5 = 4 and data_type like 'int%' then 'int(11) signed'
               else data_type end as data_type,
@@ -79,20 +80,22 @@ new_cols as (
 parsed_old as (
   select db_type, table_name, column_name as field, n,
          case when contains(data_type, '(') then split_part(data_type, '(', 1) else data_type end as type,
-         case when contains(data_type, '(') and regexp_extract(data_type, '[0-9]+') <> ''
+         cast(nullif(regexp_extract(data_type, '^decimal.[0-9]+,([0-9]+).', 1), '') as integer) as "typeScale",
+         case when data_type not like 'enum%' and contains(data_type, '(') and regexp_extract(data_type, '[0-9]+') <> ''
               then cast(regexp_extract(data_type, '[0-9]+') as integer) else -1 end as "typeSize",
          case when data_type like '% signed' then true when data_type like '% unsigned' then false end as "isSigned",
          coalesce(dflt, 'NULL') as "defaultValue",
-         case when data_type like 'enum%' then list_sort(regexp_extract_all(data_type, '''(\\w+)''', 1)) else [] end as vals
+         case when data_type like 'enum%' then list_sort(string_split(replace(data_type[6:-2], '''', ''), ',')) else [] end as vals
   from old_cols),
 parsed_new as (
   select db_type, table_name, column_name as field, n,
          case when contains(data_type, '(') then split_part(data_type, '(', 1) else data_type end as type,
-         case when contains(data_type, '(') and regexp_extract(data_type, '[0-9]+') <> ''
+         cast(nullif(regexp_extract(data_type, '^decimal.[0-9]+,([0-9]+).', 1), '') as integer) as "typeScale",
+         case when data_type not like 'enum%' and contains(data_type, '(') and regexp_extract(data_type, '[0-9]+') <> ''
               then cast(regexp_extract(data_type, '[0-9]+') as integer) else -1 end as "typeSize",
          case when data_type like '% signed' then true when data_type like '% unsigned' then false end as "isSigned",
          coalesce(dflt, 'NULL') as "defaultValue",
-         case when data_type like 'enum%' then list_sort(regexp_extract_all(data_type, '''(\\w+)''', 1)) else [] end as vals
+         case when data_type like 'enum%' then list_sort(string_split(replace(data_type[6:-2], '''', ''), ',')) else [] end as vals
   from new_cols)
 """
 
@@ -100,7 +103,7 @@ _DRIFT = _CATALOG + """,
 pairs as (
   select coalesce(o.db_type, c.db_type) as "dbType", coalesce(o.table_name, c.table_name) as "dbTable",
          coalesce(c.field, o.field) as "fieldChanged", o.field as of, c.field as cf, o.type as ot, c.type as ct,
-         o."typeSize" as os, c."typeSize" as cs, o."defaultValue" as od, c."defaultValue" as cd, o.vals as ov, c.vals as cv
+         o."typeSize" as os, c."typeSize" as cs, o."typeScale" as osc, c."typeScale" as csc, o."defaultValue" as od, c."defaultValue" as cd, o.vals as ov, c.vals as cv
   from parsed_old o full join parsed_new c
     on o.db_type = c.db_type and o.table_name = c.table_name and lower(o.field) = lower(c.field)),
 drift as (
@@ -109,7 +112,8 @@ drift as (
   union all
   select "dbType", "dbTable", "fieldChanged", 'TYPE_CHANGED', ot, ct from pairs where ot <> ct
   union all
-  select "dbType", "dbTable", "fieldChanged", 'TYPE_SIZE_CHANGED', cast(os as varchar), cast(cs as varchar) from pairs where os <> cs
+  select "dbType", "dbTable", "fieldChanged", 'TYPE_SIZE_CHANGED', concat_ws(',', os, osc), concat_ws(',', cs, csc)
+  from pairs where of is not null and cf is not null and (os <> cs or osc is distinct from csc)
   union all
   select "dbType", "dbTable", "fieldChanged", 'DEFAULT_VALUE_CHANGED', od, cd from pairs where od <> cd
   union all
@@ -121,11 +125,11 @@ drift as (
 _VERSIONS = _CATALOG + """,
 texts as (
   select 1 as id, db_type, table_name,
-         string_agg(concat_ws('|', field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',')), ';' order by lower(field)) as t
+         string_agg(concat_ws('|', field, type, "typeSize", "typeScale", "isSigned", "defaultValue", array_to_string(vals, ',')), ';' order by lower(field)) as t
   from parsed_old group by all
   union all
   select 2, db_type, table_name,
-         string_agg(concat_ws('|', field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',')), ';' order by lower(field)) as t
+         string_agg(concat_ws('|', field, type, "typeSize", "typeScale", "isSigned", "defaultValue", array_to_string(vals, ',')), ';' order by lower(field)) as t
   from parsed_new group by all),
 versions as (
   select cast(id as bigint) as id, db_type, table_name from texts a
@@ -223,10 +227,10 @@ ORACLES = {
         from orders where o_orderstatus <> 'P'""",
     "describe_tables": _CATALOG + """
         select table_name, count(*) as column_count,
-               string_agg(lower(column_name) || ':' || split_part(data_type, ' ', 1), ',' order by n) as columns
+               string_agg(lower(column_name) || ':' || data_type, ',' order by n) as columns
         from cat group by table_name""",
     "parse_source_types": _CATALOG + """
-        select table_name, field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',') as "possibleValues"
+        select table_name, field, type, "typeSize", "typeScale", "isSigned", "defaultValue", array_to_string(vals, ',') as "possibleValues"
         from parsed_new""",
     "map_source_types": _CATALOG + """
         select table_name, column_name,
@@ -237,10 +241,10 @@ ORACLES = {
     "record_schemas": _VERSIONS + "select id, db_type, table_name from versions",
     "latest_schemas": _VERSIONS + """,
         newest as (select db_type, table_name, max(id) as id from versions group by all)
-        select db_type, table_name, field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',') as "possibleValues"
+        select db_type, table_name, field, type, "typeSize", "typeScale", "isSigned", "defaultValue", array_to_string(vals, ',') as "possibleValues"
         from newest join parsed_old using (db_type, table_name) where id = 1
         union all
-        select db_type, table_name, field, type, "typeSize", "isSigned", "defaultValue", array_to_string(vals, ',')
+        select db_type, table_name, field, type, "typeSize", "typeScale", "isSigned", "defaultValue", array_to_string(vals, ',')
         from newest join parsed_new using (db_type, table_name) where id = 2""",
     "diff_tables": """
         with o as (select distinct 'Tab_' || o_custkey as name from orders where o_orderstatus = 'F'),

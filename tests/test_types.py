@@ -11,22 +11,25 @@ CASES = [
     ("NUMBER(5,-2)", "oracle", "decimal(7,0)"), ("decimal", "mysql", "decimal(10,0)"), ("decimal(65,30)", "mysql", "string"),
     ("int(11)", "mysql", "int"), ("int(11) unsigned", "mysql", "bigint"), ("bigint(20) unsigned", "mysql", "decimal(20,0)"),
     ("USER-DEFINED", "postgresql", "string"), ("double precision", "postgresql", "double"), ("BINARY_DOUBLE", "oracle", "double"),
+    ("numeric", "postgresql", "string"), ("numeric(12,2)", "postgresql", "decimal(12,2)"), ("float", "postgresql", "double"),
+    ("FLOAT(126)", "oracle", "double"), ("real", "mysql", "double"), ("DATE", "oracle", "timestamp"), ("date", "mysql", "date"),
+    ("NUMBER(*,2)", "oracle", "decimal(38,2)"), ("NUMBER(*,0)", "oracle", "decimal(38,0)"),
     ("timestamp(6)", "oracle", "timestamp"), ("bool", "postgresql", "boolean"), ("int8", "postgresql", "bigint"),
 ]
 
 
 @pytest.mark.parametrize("text,dialect,expected", CASES)
-def test_source_types(text, dialect, expected):
+def test_source_types(spark, text, dialect, expected):
     kind, known = map_source_type(text, dialect)
     assert (kind.simpleString(), known) == (expected, True)
 
 
-def test_unknown_types_are_strings_and_say_so():
+def test_unknown_types_are_strings_and_say_so(spark):
     kind, known = map_source_type("geometry", "mysql")
     assert (kind.simpleString(), known) == ("string", False)
 
 
-def test_bare_number_can_stay_text():
+def test_bare_number_can_stay_text(spark):
     assert map_source_type("NUMBER", "oracle", number_as="string")[0].simpleString() == "string"
 
 
@@ -40,15 +43,19 @@ def test_column_form_agrees(spark, dialect):
 
 
 def test_source_type_parts(spark):
-    df = spark.createDataFrame(
-        [("varchar(523)",), ("int(11) unsigned",), ("int(10) signed",), ("enum('b','a')",), ("text",), ("decimal(10,2)",)], "t string"
-    )
-    found = {r[0]: tuple(r[1]) for r in df.select("t", parse_source_type("t")).collect()}
-    assert found == {
-        "varchar(523)": ("varchar", 523, None, []), "int(11) unsigned": ("int", 11, False, []),
-        "int(10) signed": ("int", 10, True, []), "enum('b','a')": ("enum", -1, None, ["a", "b"]),
-        "text": ("text", -1, None, []), "decimal(10,2)": ("decimal", 10, None, []),
+    expected = {
+        "varchar(523)": ("varchar", 523, None, None, []), "int(11) unsigned": ("int", 11, None, False, []),
+        "int(10) signed": ("int", 10, None, True, []), "enum('b','a')": ("enum", -1, None, None, ["a", "b"]),
+        "text": ("text", -1, None, None, []), "decimal(10,2)": ("decimal", 10, 2, None, []),
+        "VARCHAR2(30)": ("VARCHAR2", 30, None, None, []), "VARCHAR2(30 CHAR)": ("VARCHAR2", 30, None, None, []),
+        "int2(4)": ("int2", 4, None, None, []), "NUMBER(*,2)": ("NUMBER", -1, 2, None, []),
+        "timestamp(6) with time zone": ("timestamp with time zone", 6, None, None, []),
+        "double precision": ("double precision", -1, None, None, []), "bigint unsigned": ("bigint", -1, None, False, []),
+        "ENUM('a b','c-d','e,f','it''s')": ("ENUM", -1, None, None, ["a b", "c-d", "e,f", "it's"]),
+        "set('x','y 2')": ("set", -1, None, None, ["x", "y 2"]),
     }
+    df = spark.createDataFrame([(t,) for t in expected], "t string")
+    assert {r[0]: tuple(r[1]) for r in df.select("t", parse_source_type("t")).collect()} == expected
 
 
 def test_percent(spark, rows):
