@@ -63,6 +63,8 @@ def consolidate(
     on_conflict: str = "string",
     trust_unique: bool = False,
     measure: bool = False,
+    refresh: bool = False,
+    refuse_repeats: bool = False,
 ) -> DataFrame:
     """Bring a member table, already under consolidated names, into a consolidated table.
 
@@ -71,6 +73,11 @@ def consolidate(
     columns of both sides are kept. Without a consolidated table yet, the member
     table is the result. NULL keys match nothing.
 
+    A member brought in before is an error, or with ``refresh=True`` has its own
+    columns replaced: a row it no longer feeds keeps NULL there. With
+    ``refuse_repeats=True``, as for stored tables, a key that repeats on both
+    sides is an error, since every pair of its rows would match.
+
     Spark runs a full outer join as one sort-merge join, which cannot broadcast
     a small side nor split a key holding a large share of the rows. So the join
     is composed of its matched rows and the unmatched rows of either side: each
@@ -101,12 +108,16 @@ def consolidate(
             output.append(col(c))
         elif c.lower() in mapped:
             output.append(F.coalesce(F.col(n), col(c)).alias(c))
+        elif refresh:
+            output.append(F.col(n).alias(c))
         else:
             raise ValueError(f"unmapped column {c} is on both sides; the member table is already merged")
     on_left = {c.lower() for c in left.columns}
     output += [F.col(n).alias(c) for c, n in r_names.items() if c.lower() not in on_left]
 
     few = False
+    if refuse_repeats:
+        _refuse_repeats(left, left_keys, renamed, [r_names[k] for k in right_keys])
     if measure and not trust_unique:
         renamed, few = broadcast_if_small(renamed)
         trust_unique = not few and all(
@@ -129,6 +140,18 @@ def consolidate(
     return matched.unionByName(only_left.select(*output)).unionByName(only_right.select(*output))
 
 
+def _refuse_repeats(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str]) -> None:
+    """Raise if a key without NULL repeats on both sides. Counts are summed map-side, so a hot key costs a row a task."""
+    def repeated(df: DataFrame, keys: list[str]) -> DataFrame:
+        named = df.select(*[col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(keys)]).dropna()
+        return named.groupBy(*named.columns).count().where("count > 1").drop("count")
+
+    few = repeated(right, right_keys)
+    both = repeated(left, left_keys).join(few, few.columns).limit(1).collect()
+    if both:
+        raise ValueError(f"unique columns {left_keys} repeat on both sides, as in {tuple(both[0])}")
+
+
 def _agree(left: DataFrame, right: DataFrame, shared: list[str], on_conflict: str) -> tuple[DataFrame, DataFrame]:
     """Both frames with one type per mapped column they share."""
     common = [c for c in shared if _has(left, c) and _has(right, c)]

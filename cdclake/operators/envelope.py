@@ -66,9 +66,20 @@ def encode_changes(df: DataFrame, operation: int | Column, *, source: TableRef,
 def _as_text(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
         return F.to_json(col(field.name))
+    if isinstance(field.dataType, T.BinaryType):
+        # Text of arbitrary bytes would not survive; this is how bytea is written.
+        return F.concat(F.lit("\\x"), F.lower(F.hex(col(field.name))))
     return col(field.name).cast("string")
 
 
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """A value of an image as its column's type; NULL if it does not fit. Bytes may be written as ``\\x`` and hex digits."""
+    if isinstance(kind, T.BinaryType):
+        digits = F.regexp_extract(text, r"^\\x((?:[0-9A-Fa-f]{2})*)$", 1)
+        return F.when(text.rlike(r"^\\x(?:[0-9A-Fa-f]{2})*$"), F.unhex(digits)).otherwise(text.cast("binary"))
+    return text.try_cast(kind)
+
+
 def _source_name(kind: T.DataType) -> str:
     if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
         return "json"
@@ -189,7 +200,7 @@ def decode_changes(
     for c in columns:
         texts = [F.col(f"_image._{slot + i}") for i in range(len(c.spellings))]
         slot += len(c.spellings)
-        fields.append(F.coalesce(*texts).try_cast(c.kind).alias(c.name))
+        fields.append(_typed(F.coalesce(*texts), c.kind).alias(c.name))
     # A generator, not a filter: a pushed-down filter would parse each image twice.
     row = F.struct(*fields, F.col("operation").alias(op), F.col("id").cast("bigint").alias(seq))
     rows = counted.select(F.inline(F.when(reason.isNull(), F.array(row))))

@@ -101,8 +101,12 @@ def sync_table(spark: SparkSession, events: DataFrame, target: TableTarget, quar
 def consolidate_table(
     spark: SparkSession, path: str, member: DataFrame, mapping: list[Mapping], table: str, alias: str
 ) -> DataFrame:
-    """Bring a member table into a stored consolidated table, which it starts if there is none; the new table."""
+    """Bring a member table into a stored consolidated table, which it starts if there is none; the new table.
+
+    A member brought in before is refreshed.
+    """
     recover_table(spark, path)
     stored = spark.read.parquet(path) if exists(spark, path) else None
-    replace_table(consolidate(stored, map_columns(member, mapping, table, alias), mapping, measure=True), path)
+    new = map_columns(member, mapping, table, alias)
+    replace_table(consolidate(stored, new, mapping, measure=True, refresh=True, refuse_repeats=True), path)
     return spark.read.parquet(path)

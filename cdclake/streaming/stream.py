@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cdclake.model import CHANGE, Mapping, RUN_LOG, TableRef, merge_table_path
-from cdclake.operators.consolidate import mapped_names
 from cdclake.operators.envelope import decode_envelope, decode_requests, table_key
 from cdclake.plans.query import run_queries
 from cdclake.plans.sync import MergeTarget, RunLog, TableTarget, consolidate_table, store_run_logs, sync_table
@@ -180,7 +179,7 @@ class TableMerger:
 
     ``definitions`` gives a consolidated table's mapping by name, ``alias_of`` the
     alias of a host and port. A failing request fails its batch, which then runs
-    again; a member brought in before is left as it is.
+    again; a member brought in before is refreshed.
     """
 
     def __init__(self, spark: SparkSession, definitions: dict[str, list[Mapping]], alias_of: Callable[[str, str], str], root: str):
@@ -191,15 +190,9 @@ class TableMerger:
         for r in decode_requests(batch, "merge").toLocalIterator():
             ref = TableRef(r["databaseType"], r["host"], r["port"], r["database"], r["table"], r["username"])
             path, alias = merge_table_path(r["mergeTable"], self.root), self.alias_of(r["host"], r["port"])
-            mapping = self.definitions[r["mergeTable"]]
-            member = spark.read.parquet(ref.path(self.root))
-            recover_table(spark, path)
-            if exists(spark, path):
-                own = {n.lower() for n in mapped_names(member.columns, mapping, ref.table, alias).values()}
-                own -= {m.column.lower() for m in mapping}
-                if own & {c.lower() for c in spark.read.parquet(path).columns}:
-                    continue
-            consolidate_table(spark, path, member, mapping, ref.table, alias)
+            consolidate_table(
+                spark, path, spark.read.parquet(ref.path(self.root)), self.definitions[r["mergeTable"]], ref.table, alias
+            )
 
 
 def stream_run_log(spark: SparkSession, source: str, path: str, checkpoint: str, format: str = "parquet",

@@ -225,6 +225,33 @@ ORACLES = {
         select 'm_' || o_orderkey as merge_table_name, o_orderkey * 3 + 2 as table_id, 't_' || (o_custkey % 7) as table_name,
                'db_X' as database_alias
         from orders where o_orderstatus <> 'P'""",
+    "decode_postgresql": """
+        select l_orderkey || '_' || l_linenumber as id, printf('%.2f', l_extendedprice) as price, cast(l_quantity as double) as qty,
+               '2024-01-02 03:04:05' as at, right('000' || hex(l_orderkey), 2 * ((length(hex(l_orderkey)) + 1) // 2)) as raw,
+               cast(l_orderkey * 10 + l_linenumber as bigint) as seq
+        from lineitem where length(hex(l_orderkey)) % 2 = 0
+        union all
+        select l_orderkey || '_' || l_linenumber, printf('%.2f', l_extendedprice), cast(l_quantity as double),
+               '2024-01-02 03:04:05', hex(encode('\\x' || lower(hex(l_orderkey)))), cast(l_orderkey * 10 + l_linenumber as bigint)
+        from lineitem where length(hex(l_orderkey)) % 2 = 1""",
+    "decode_oracle": """
+        select l_orderkey || '_' || l_linenumber as id, printf('%.2f', l_extendedprice) as price, cast(l_quantity as double) as qty,
+               '2024-01-02 03:04:05' as at, cast(l_orderkey * 10 + l_linenumber as bigint) as seq
+        from lineitem""",
+    "decode_binary": "select c_custkey, sha256(c_name) as h from customer",
+    "stream_late_events": """
+        with log as (
+          select event_id + 1 as id, case when event_type in ('signup', 'purchase') then 1 when event_type in ('view', 'click') then 2 else 3 end as operation,
+                 (select (max(event_id) + 1) // 2 from events) as middle
+          from events)
+        select id, operation, 'behind applied position' as reason from log
+        where id % 7 = 0 and id <= (select max(id) from log where id <= middle and id % 7 <> 0)""",
+    "consolidate_refresh": """
+        with s as (select *, s_suppkey % 3 <> 0 as stays from supplier)
+        select coalesce(c_custkey, s_suppkey) as party_key, coalesce(s_name, c_name) as name, coalesce(s_nationkey, c_nationkey) as nation,
+               c_acctbal as c_acctbal_customer_crm, c_mktsegment as c_mktsegment_customer_crm,
+               case when stays then s_acctbal + 1 end as s_acctbal_supplier_erp
+        from customer full join s on c_custkey = s_suppkey""",
     "describe_tables": _CATALOG + """
         select table_name, count(*) as column_count,
                string_agg(lower(column_name) || ':' || data_type, ',' order by n) as columns
@@ -248,7 +275,7 @@ ORACLES = {
         from newest join parsed_new using (db_type, table_name) where id = 2""",
     "diff_tables": """
         with o as (select distinct 'Tab_' || o_custkey as name from orders where o_orderstatus = 'F'),
-             n as (select distinct 'TAB_' || o_custkey as name from orders where o_orderstatus <> 'F' and o_orderpriority >= '4')
+             n as (select distinct 'TAB_' || o_custkey as name from orders where o_orderstatus <> 'F')
         select coalesce(n.name, o.name) as table_name,
                case when o.name is null then 'added' when n.name is null then 'removed' else 'common' end as status
         from o full join n on lower(o.name) = lower(n.name)""",

@@ -114,6 +114,40 @@ def decode_typed_images(spark, sf):
     return rows.withColumn("o_day", F.col("o_day").cast("string"))
 
 
+def _encoded(spark, sf, kind):
+    """Line items as images whose numbers are text, with source types of one system."""
+    lines = fx.table(spark, sf, "lineitem")
+    image = F.to_json(F.struct(
+        F.concat("l_orderkey", F.lit("_"), "l_linenumber").alias("id"), F.format_string("%.2f", "l_extendedprice").alias("price"),
+        F.col("l_quantity").cast("string").alias("qty"), F.lit("2024-01-02 03:04:05").alias("at"),
+        F.concat(F.lit("\\x"), F.lower(F.hex(F.col("l_orderkey")))).alias("raw"),
+    ))
+    return lines.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.lit(kind).alias("schema"), image.alias("value"), F.lit(1).alias("operation")
+    )
+
+
+def decode_postgresql(spark, sf):
+    """A numeric without a size keeps its fraction, a float its digits, bytes their values."""
+    kinds = '["id:text","price:numeric","qty:float","at:timestamp without time zone","raw:bytea"]'
+    rows, _ = decode(_encoded(spark, sf, kinds), "postgresql")
+    return rows.select("id", "price", "qty", F.col("at").cast("string").alias("at"), F.hex("raw").alias("raw"), "seq")
+
+
+def decode_oracle(spark, sf):
+    """A DATE keeps its time, NUMBER(*,2) its digits."""
+    kinds = '["id:VARCHAR2(30 CHAR)","price:NUMBER(*,2)","qty:FLOAT(126)","at:DATE"]'
+    rows, _ = decode(_encoded(spark, sf, kinds), "oracle")
+    return rows.select("id", F.col("price").cast("string").alias("price"), "qty", F.col("at").cast("string").alias("at"), "seq")
+
+
+def decode_binary(spark, sf):
+    """Bytes encoded to images and decoded again."""
+    customer = fx.table(spark, sf, "customer").select("c_custkey", F.unhex(F.sha2("c_name", 256)).alias("h"))
+    log = encode(customer, 1, source=fx.CUSTOMER, seq=F.col("c_custkey") + 1, created=F.lit(0))
+    return decode(log, "mysql")[0].select("c_custkey", F.lower(F.hex("h")).alias("h"))
+
+
 def decode_quarantine(spark, sf):
     return decode(fx.change_log(spark, sf, damaged=True), "mysql")[1].select("id", "operation", "reason")
 
@@ -272,7 +306,7 @@ def diff_tables(spark, sf):
     orders = fx.table(spark, sf, "orders")
     name = F.concat(F.lit("Tab_"), F.col("o_custkey"))
     old = orders.where("o_orderstatus = 'F'").select(name.alias("table_name"))
-    new = orders.where("o_orderstatus <> 'F' and o_orderpriority >= '4'").select(F.upper(name).alias("table_name"))
+    new = orders.where("o_orderstatus <> 'F'").select(F.upper(name).alias("table_name"))
     return diff_lists(old, new)
 
 
@@ -302,6 +336,16 @@ def consolidate_table(spark, sf):
 
 # --- user queries ---
 
+def consolidate_refresh(spark, sf):
+    """A member merged, and merged again after its balances changed and every third row went."""
+    path = work_path(spark, "party")
+    members = [("customer", "crm"), ("supplier", "erp")]
+    for table, alias in members:
+        consolidate_stored(spark, path, fx.table(spark, sf, table), fx.PARTY_MAPPING, table, alias)
+    newer = fx.table(spark, sf, "supplier").where("s_suppkey % 3 <> 0").withColumn("s_acctbal", F.col("s_acctbal") + 1)
+    return consolidate_stored(spark, path, newer, fx.PARTY_MAPPING, "supplier", "erp")
+
+
 def resolve_aliases(spark, sf):
     return aliases(fx.databases(spark, sf), fx.tables(spark, sf), fx.servers(spark, sf))
 
@@ -421,6 +465,20 @@ def stream_changes(spark, sf):
     return spark.read.parquet(f"{base}/customer")
 
 
+def stream_late_events(spark, sf):
+    """The log in two batches, the second with events from before the first's last one: those are set aside."""
+    base = work_path(spark, "late")
+    write_table_to(fx.table(spark, sf, "customer"), f"{base}/customer")
+    log, middle = fx.change_log(spark, sf), fx.last_id(spark, sf) // 2
+    applier = ChangeApplier(
+        spark, {fx.CUSTOMER.key: TableTarget(f"{base}/customer", KEY, "customer")},
+        state=f"{base}/applied", quarantine=f"{base}/quarantine",
+    )
+    applier(log.where((F.col("id") <= middle) & (F.col("id") % 7 != 0)), 0)
+    applier(log.where((F.col("id") > middle) | (F.col("id") % 7 == 0)), 1)
+    return spark.read.parquet(f"{base}/quarantine/late_batch=1").select("id", "operation", "reason")
+
+
 def stream_to_merge_table(spark, sf):
     base = work_path(spark, "stream")
     write_table_to(fx.table(spark, sf, "customer"), f"{base}/customer", "c_mktsegment")
@@ -486,7 +544,7 @@ def write_table(spark, sf):
 
 ALL = [
     read_changes, union_changes, encode_changes, decode_envelope, decode_requests, decode_changes, decode_typed_images,
-    decode_quarantine,
+    decode_quarantine, decode_postgresql, decode_oracle, decode_binary, stream_late_events, consolidate_refresh,
     changes_schema, route_changes, compact_per_operation, compact_latest, apply_changes, apply_changes_per_operation,
     apply_changes_type_conflict, replace_table, apply_changes_partitioned, align_schemas_string, align_schemas_widen,
     map_columns, consolidate, consolidate_many_to_one, propagate_replace, propagate_patch, targets_of, new_members,

@@ -175,3 +175,13 @@ def test_new_members(spark, rows):
 def test_mappings_from_metadata(spark):
     found = Mapping.from_metadata([{"colName": "key", "listCol": ["crm.customer.id"], "is_unique": 1}])
     assert found == [Mapping("key", ("crm.customer.id",), True)]
+
+
+def test_keys_that_repeat_on_both_sides_are_refused(spark):
+    mapping = [Mapping("key", ("a.t.id", "b.u.id"), unique=True)]
+    twice = spark.createDataFrame([(1, "x"), (1, "y"), (None, "n"), (None, "m")], "key int, v_t_a string")
+    again = spark.createDataFrame([(1, "p"), (1, "q"), (None, "n"), (None, "m")], "key int, v_u_b string")
+    once = again.where("key is null or v_u_b = 'p'")
+    with pytest.raises(ValueError, match="repeat on both sides"):
+        consolidate(twice, again, mapping, refuse_repeats=True)
+    assert consolidate(twice, once, mapping, refuse_repeats=True).count() == 6

@@ -22,6 +22,20 @@ def test_a_token_in_use_twice(spark, rows, catalog):
     assert rows(run_query(spark, "select id from :shop-0.orders: union all select id from :Shop-0.orders:", catalog)) == [(1,), (1,), (2,), (2,)]
 
 
+def test_tokens_alike_but_for_signs_are_two_tables(spark, rows):
+    both = {"shop-1.orders": spark.range(1), "shop_1.orders": spark.range(5, 6)}
+    sql = "select a.id, b.id as other from :shop-1.orders: a, :shop_1.orders: b"
+    assert rows(run_query(spark, sql, both)) == [(0, 5)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("q_")]
+
+
+def test_results_of_one_request_do_not_meet(spark, rows, catalog, tmp_path):
+    requests = spark.createDataFrame(
+        [(1, 1, 1, "select 1 as x"), (1, 1, 2, "select 2 as x")], "jobId int, requestId int, etlID int, query string")
+    found = run_queries(spark, requests, catalog, str(tmp_path / "out")).collect()
+    assert [rows(spark.read.option("header", True).csv(r["result_path"])) for r in found] == [[("1",)], [("2",)]]
+
+
 def test_times_and_casts_are_not_tokens(spark, rows, catalog):
     assert rows(run_query(spark, "select timestamp_ntz '2024-01-01 10:20:30' = '2024-01-01 10:20:30' as same, '1'::int as n", catalog)) == [(True, 1)]
 
@@ -39,7 +53,7 @@ def test_requests_report_one_row_each(spark, rows, catalog, tmp_path):
     found = {r["jobId"]: r for r in run_queries(spark, requests, catalog, str(tmp_path / "out"), single_file=True).collect()}
     assert [found[j]["status"] for j in (1, 2, 3, 4)] == ["success", "fail", "fail", "success"]
     assert found[1]["total_rows"] == 2 and found[4]["total_rows"] == 0
-    assert len(found[2]["message_fail"]) <= 300
+    assert found[2]["message_fail"]
     assert rows(spark.read.option("header", True).csv(found[1]["result_path"])) == [("1", "10"), ("2", "20")]
 
 
@@ -72,5 +86,6 @@ def test_alias_catalog(spark, aliases):
     assert default_key(aliases, "h1", "3306", "crm", "Customer") == "c_id"
     find = alias_catalog(spark, aliases, "/lake")
     assert find("cr.customer") == "/lake/mysql/h1/3306/crm/Customer"
+    assert alias_catalog(spark, aliases, "/lake", ("Party",))("MERGE_REQUEST.party") == "/lake/merge_request/Party"
     assert find("merge_request.party") == "/lake/merge_request/party"
     assert find("ol.x") is None
