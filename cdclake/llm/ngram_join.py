@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cdclake.llm.common import spread, stored, table
+from cdclake.llm.common import release, spread, stored, table
 from cdclake.llm.components import components
 from cdclake.llm.hashing import mix, shingle_sets, slices
 
@@ -59,8 +59,8 @@ def bands(num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return low, parts + allowed, allowed
 
 
-def tile_keys(found: np.ndarray, of: np.ndarray, sizes: np.ndarray, num: int, den: int) -> list[np.ndarray]:
-    """The keys of every set; ``found`` are the elements and ``of`` the number of their set."""
+def tile_keys(found: np.ndarray, of: np.ndarray, sizes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all sets and the set of each key; ``found`` are the elements and ``of`` the number of their set."""
     low, parts, allowed = bands(num, den)
     band = np.searchsorted(low, np.maximum(sizes, 1), "right") - 1
     keys, owners = [], []
@@ -86,60 +86,68 @@ def tile_keys(found: np.ndarray, of: np.ndarray, sizes: np.ndarray, num: int, de
             open_sets = open_sets & (empty > spare)
             if not open_sets.any():
                 break
-    key, owner = np.concatenate(keys).view(np.int64), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    return np.split(key[order], np.cumsum(np.bincount(owner, minlength=len(sizes)))[:-1])
+    return np.concatenate(keys).view(np.int64), np.concatenate(owners)
 
 
-def document_sets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Per row: ``doc_id``, ``n``, two sums that identify the set, its ``bitmap`` and its ``keys``."""
+def _set_sums(found: np.ndarray, of: np.ndarray, count: int) -> np.ndarray:
+    """Two sums over the elements of each set, which together tell sets apart."""
+    sums = np.zeros((2, count), np.uint64)
+    np.add.at(sums[0], of, found)
+    np.add.at(sums[1], of, mix(found + np.uint64(5)))
+    return sums.view(np.int64)
+
+
+def document_sets(docs: DataFrame, size: int) -> DataFrame:
+    """Per row: ``doc_id``, ``n``, the two sums that identify the set, and its ``bitmap``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in slices(batches):
             found, of = shingle_sets(list(rows["text"]), size)
-            sizes = np.bincount(of, minlength=len(rows))
-            sums = np.zeros((2, len(rows)), np.uint64)
-            np.add.at(sums[0], of, found)
-            np.add.at(sums[1], of, mix(found + np.uint64(5)))
+            low, high = _set_sums(found, of, len(rows))
             bits = np.zeros((len(rows), BITS), bool)
             bits[of, (found >> np.uint64(54)).astype(np.int64)] = True
             yield pd.DataFrame({
-                "doc_id": rows["doc_id"].array, "n": sizes, "lo": sums[0].view(np.int64), "hi": sums[1].view(np.int64),
+                "doc_id": rows["doc_id"].array, "n": np.bincount(of, minlength=len(rows)), "lo": low, "hi": high,
                 "bitmap": [b.tobytes() for b in np.packbits(bits, axis=1)],
-                "keys": tile_keys(found, of, sizes, num, den),
             })
 
     return spread(docs.select("doc_id", "text")).mapInPandas(
-        run, "doc_id bigint, n bigint, lo bigint, hi bigint, bitmap binary, keys array<bigint>"
+        run, "doc_id bigint, n bigint, lo bigint, hi bigint, bitmap binary"
     )
 
 
+def document_keys(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """``key`` and ``rep``, a document, of every set; sets that are equal within a batch have their keys once."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in slices(batches):
+            found, of = shingle_sets(list(rows["text"]), size)
+            sums = _set_sums(found, of, len(rows))
+            first = np.unique(sums, axis=1, return_index=True)[1]
+            kept = np.zeros(len(rows), bool)
+            kept[first] = True
+            found, of = found[kept[of]], of[kept[of]]
+            key, owner = tile_keys(found, of, np.bincount(of, minlength=len(rows)), num, den)
+            yield pd.DataFrame({"key": key, "rep": rows["doc_id"].to_numpy(np.int64)[owner]})
+
+    known = docs.where("doc_id is not null").select("doc_id", "text")
+    return spread(known).mapInPandas(run, "key bigint, rep bigint")
+
+
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of rows sorted by key and class, those whose key has several, with the key's first class."""
-    key = lead = None
-    alone = False
+    """Of rows sorted by key, those whose key has several."""
+    key = held = None
     for batch in batches:
-        k, rep = batch["key"].to_numpy(), batch["rep"].to_numpy()
+        k = batch["key"].to_numpy()
         if not len(k):
             continue
-        first = np.ones(len(k), bool)
-        first[1:] = k[1:] != k[:-1]
-        goes_on = key is not None and k[0] == key
-        first[0] = not goes_on
-        group = np.cumsum(first) - 1 + goes_on
-        leads = np.concatenate([[lead], rep[first]]) if goes_on else rep[first]
-        counts = np.bincount(group)
-        held = alone and goes_on
-        counts[0] += held
-        several = counts > 1
-        if goes_on and not held:
-            several[0] = True
-        out = pd.DataFrame({"key": k, "rep": rep, "lead": leads[group].astype(np.int64)})[several[group]]
-        if held and several[0]:
-            out = pd.concat([pd.DataFrame({"key": [key], "rep": [lead], "lead": [lead]}), out])
-        yield out
-        alone = not several[-1]
-        key, lead = k[-1], int(leads[-1])
+        before = np.concatenate([[key is not None and k[0] == key], k[1:] == k[:-1]])
+        several = before | np.concatenate([before[1:], [False]])
+        if held is not None and before[0]:
+            yield held
+        yield batch[several]
+        # The last row waits for the next batch unless its key has come before.
+        held, key = (None if several[-1] else batch[-1:]), k[-1]
 
 
 def _admits(na, nb, beyond_a, beyond_b, num: int, den: int) -> np.ndarray:
@@ -242,14 +250,24 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row; similar is ``den * overlap >= num * union``."""
-    found = stored(document_sets(docs, size, num, den), "shingle-sets")
-    full = found.where("n > 0")
+    spark = docs.sparkSession
+    found = stored(document_sets(docs, size), "shingle-sets")
+    named = found.where("n > 0 and doc_id is not null")
     reps = stored(
-        full.where("doc_id is not null").groupBy("n", "lo", "hi")
-        .agg(F.min("doc_id").alias("rep"), F.first("bitmap").alias("bitmap"), F.first("keys").alias("keys")), "classes"
+        named.groupBy("n", "lo", "hi").agg(F.min("doc_id").alias("rep"), F.first("bitmap").alias("bitmap")), "classes"
+    )
+    # Most keys occur once and go no further than this shuffle.
+    met = stored(
+        document_keys(docs, size, num, den).repartition("key").sortWithinPartitions("key")
+        .mapInPandas(_shared, "key bigint, rep bigint"), "shared-keys"
     )
-    keyed = reps.select("rep", F.explode("keys").alias("key")).repartition("key").sortWithinPartitions("key", "rep")
-    shared = stored(keyed.select("key", "rep").mapInPandas(_shared, "key bigint, rep bigint, lead bigint"), "shared-keys")
+    release(spark)
+    class_of = named.select("n", "lo", "hi", F.col("doc_id").alias("member")).join(reps.drop("bitmap"), ["n", "lo", "hi"])
+    by_class = met.join(class_of.select("member", F.col("rep").alias("class")).distinct(), F.col("rep") == F.col("member")).select(
+        "key", F.col("class").alias("rep")).distinct()
+    by_class = stored(by_class, "class-keys")
+    leads = by_class.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = stored(by_class.join(leads, "key"), "shared-classes")
 
     def elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in slices(batches):
@@ -262,6 +280,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
         docs.select("doc_id", "text").join(involved, "doc_id", "left_semi")
         .mapInPandas(elements, "rep bigint, elements array<bigint>"), "elements"
     )
+    release(spark)
     small = reps.select("rep", "n", "bitmap")
     links = verified(
         shared.where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct(), small, sets, num, den
