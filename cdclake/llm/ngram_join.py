@@ -14,9 +14,9 @@ Bounds. Each class has a bitmap of hashed elements. The bits that one bitmap has
 beyond the other bound the overlap from above; pairs that may still be similar
 are settled by intersecting the sorted sets.
 
-Order of work. Under each key every class is compared with the least one, and
-components are formed. Keys that hold several components then offer, for each
-class, the likeliest partner of another component; and in a last pass every pair
+Order of work. Every class is compared with the class that is the least under
+most of its keys, and components are formed. Keys that hold several components
+then offer, for each class, the likeliest partner of another component; and in a last pass every pair
 of different components under a key that the bitmaps admit. After that pass no
 link between two components can be left. Keys with many classes are cut into
 blocks, and each pair of blocks is a group of its own, so no task holds a whole
@@ -193,9 +193,10 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
     """Pairs of classes of different components under one key that size and bitmap admit.
 
     ``rows`` have ``key``, ``rep``, ``component``, ``n``, ``bitmap`` and ``blocks``.
-    With ``best``, each class has its likeliest partner alone.
+    With ``best``, each class has its likeliest partner alone, over all its keys.
     """
-    def of_group(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    def of_group(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class, partner and the bits by which they differ."""
         rep, comp, n = g["rep"].to_numpy(), g["component"].to_numpy(), g["n"].to_numpy()
         left, right = np.flatnonzero(g["left"]), np.flatnonzero(g["right"])
         bits = _bitmaps(g["bitmap"])
@@ -206,12 +207,12 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
                 continue
             over = [np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (bits[i] & ~bits[j], bits[j] & ~bits[i])]
             ok = _admits(n[i], n[j], *over, num, den)
-            j = j[ok]
+            j, bits_apart = j[ok], (over[0] + over[1])[ok]
             if best and len(j):
-                j = j[[np.argmin((over[0] + over[1])[ok])]]
-            found.append((np.repeat(rep[i], len(j)), rep[j]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-        return np.maximum(a, b), np.minimum(a, b)
+                nearest = [np.argmin(bits_apart)]
+                j, bits_apart = j[nearest], bits_apart[nearest]
+            found.append((np.repeat(rep[i], len(j)), rep[j], bits_apart))
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
 
     names = ["key", "x", "y"]
 
@@ -221,8 +222,8 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
         def flush(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
             found = [of_group(g) for _, g in frame.groupby(names, sort=False) if len(g) > 1]
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found))
-                yield pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+                x, y, apart = (np.concatenate(part) for part in zip(*found))
+                yield pd.DataFrame({"x": x, "y": y, "apart": apart}).drop_duplicates()
 
         for batch in batches:
             if not len(batch):
@@ -245,7 +246,10 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
             (F.col("own") <= F.col("other")).alias("left"), (F.col("own") >= F.col("other")).alias("right"),
         )
     )
-    return tiled.repartition(*names).sortWithinPartitions(*names).mapInPandas(run, "a bigint, b bigint").distinct()
+    pairs = tiled.repartition(*names).sortWithinPartitions(*names).mapInPandas(run, "x bigint, y bigint, apart bigint")
+    if best:
+        pairs = pairs.groupBy("x").agg(F.min_by("y", F.struct("apart", "y")).alias("y"))
+    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -282,9 +286,12 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     )
     release(spark)
     small = reps.select("rep", "n", "bitmap")
-    links = verified(
-        shared.where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct(), small, sets, num, den
+    # Each class and the least class of most of its keys. A pair to be settled carries a whole set through a
+    # shuffle, so each step leaves as few as it can to the next.
+    star = shared.where("rep <> lead").groupBy("rep", "lead").agg(F.count("*").alias("n")).groupBy("rep").agg(
+        F.max_by("lead", F.struct("n", "lead")).alias("lead")
     )
+    links = verified(star.select(F.col("rep").alias("a"), F.col("lead").alias("b")), small, sets, num, den)
     for best in (True, False):
         named = components(links)
         with_component = shared.select("key", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
@@ -296,6 +303,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
         rows = with_component.join(mixed, "key").join(small, "rep")
         pairs = stored(cross_pairs(rows, num, den, best), "cross-pairs")
         links = links.union(verified(pairs, small, sets, num, den))
+        release(spark)
     named = components(links)
     classes = reps.select("n", "lo", "hi", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n", "lo", "hi", F.coalesce("component", "rep").alias("__component")
