@@ -143,10 +143,10 @@ class ChangeApplier:
 
     def _set_aside(self, events: DataFrame, batch_id: int, reason: str = "unregistered table") -> None:
         """Keep events that are not applied, a folder per batch and reason, which a repeat overwrites."""
-        folder = "batch" if reason == "unregistered table" else "late_batch"
+        folder = f"batch={batch_id}" if reason == "unregistered table" else f"batch={batch_id}-late"
         events.withColumn("reason", F.lit(reason)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy("table_key").parquet(f"{self.quarantine}/{folder}={batch_id}")
+        ).partitionBy("table_key").parquet(f"{self.quarantine}/{folder}")
 
     def _turns(self, keys) -> list[list[str]]:
         """Tables grouped so that no two groups feed the same consolidated table."""

@@ -476,7 +476,7 @@ def stream_late_events(spark, sf):
     )
     applier(log.where((F.col("id") <= middle) & (F.col("id") % 7 != 0)), 0)
     applier(log.where((F.col("id") > middle) | (F.col("id") % 7 == 0)), 1)
-    return spark.read.parquet(f"{base}/quarantine/late_batch=1").select("id", "operation", "reason")
+    return spark.read.parquet(f"{base}/quarantine").select("id", "operation", "reason")
 
 
 def stream_to_merge_table(spark, sf):

@@ -65,6 +65,17 @@ def test_a_replayed_batch_changes_nothing(spark, rows, lake):
     assert rows(spark.read.parquet(f"{lake}/t")) == once == [(1, "x2"), (4, "w")]
 
 
+def test_late_events_are_set_aside(spark, rows, lake):
+    emit(spark, lake, (9, "t", U, '{"id":"1","v":"late"}'), (10, "t", U, '{"id":"1","v":"x10"}'), (11, "t", U, '{"id":"2","v":"y11"}'))
+    handler = applier(spark, lake)
+    events = spark.read.schema(CHANGE).json(f"{lake}/log")
+    handler(events.where("id = 10"), 0)
+    handler(events.where("id <> 10"), 1)
+    assert rows(spark.read.parquet(f"{lake}/t")) == [(1, "x10"), (2, "y11")]
+    late = spark.read.parquet(f"{lake}/bad")
+    assert rows(late, "id", "reason", "table_key") == [(9, "behind applied position", "cdc-h-1-db-t")]
+
+
 def test_a_failed_batch_runs_again(spark, rows, lake):
     emit(spark, lake, (1, "t", U, '{"id":"1","v":"x2"}'))
     handler = applier(spark, lake)
