@@ -219,7 +219,8 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     ``docs`` have ``text`` and ``digest``, equal texts at most a few times.
     """
     found = stored(spread(docs.select("digest", "text")).mapInPandas(_anchored, f"digest string, {ANCHORS}"), "anchors")
-    common = found.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    # Stored, so that both sides of the join are dealt anew and a very common anchor's rows can be split.
+    common = stored(found.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "common-anchors")
     met = found.join(common, "fp").groupBy("digest").agg(F.collect_set(F.struct("fp", "at", "low", "high")).alias("found"))
     texts = docs.select("digest", "text").join(met, "digest").dropDuplicates(["digest"])
     contexts = stored(texts.mapInPandas(_contexts, CONTEXT), "contexts")
