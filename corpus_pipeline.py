@@ -29,7 +29,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Of each group of near-duplicates the document with the least id.
 
     A document without words is in no group and stays, as do rows without an id.
-    Rows with one id are in one group only if they are alike; of equal rows one stays.
+    Rows that share an id stay or go together; of equal rows one stays.
     """
     groups = jaccard_components(docs, SHINGLE, *SIMILAR)
     gone = groups.where("n_shingles > 0 and component_id < doc_id").select("doc_id").distinct()
