@@ -3,7 +3,14 @@
 The words of every document and the last three characters of each word (its
 n-grams) are hashed into ``BUCKETS`` buckets. Their counts over trusted documents and over the whole
 corpus give two multinomials; a document's score is the mean, over its n-grams,
-of the logarithm of the ratio of the two probabilities. Built-in functions only.
+of the logarithm of the ratio of the two probabilities, and its span score is
+the least mean of any ``SPAN`` words in a row, which clean words around them
+cannot raise. Built-in functions only.
+
+Both scores have to reach what nearly all good documents reach: one trusted
+document in ``HELD`` is scored by counts of the others, and each score's limit is
+its quantile ``LOST`` over those. Without held-back documents ``THRESHOLD`` is the
+only limit.
 
 Cases: a NULL or empty text has no words, all counts 0, no score, and fails the
 base rules. Repeated rows are judged alike. An empty corpus gives no rows.
@@ -16,20 +23,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cdclake.llm.common import table, words_of
+from cdclake.llm.common import stored, table, words_of
 
 #: Size of both multinomials; what the driver holds is this many numbers.
 BUCKETS = 1 << 17
 #: Trusted documents used, at most, in the order of a hash of their ids.
 TRUSTED_DOCUMENTS = 20_000
-#: Mean log-likelihood ratio below which a document is rejected.
+#: Mean log-likelihood ratio below which a document is rejected, whatever the held-back ones score.
 THRESHOLD = -1.0
+#: Words in a row that are judged by themselves.
+SPAN = 5
+#: One trusted document in so many, by a hash of its id, is held back to set the limits of both scores.
+HELD = 5
+#: Share of held-back documents that may miss a limit.
+LOST = 0.005
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
-RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
+RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "span_score", "kept"]
 
 
 def _grams(word: Column) -> list[Column]:
@@ -40,6 +53,10 @@ def _grams(word: Column) -> list[Column]:
     ]
 
 
+def _held(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("held"), doc_id), F.lit(HELD)) == 0
+
+
 def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCUMENTS) -> DataFrame:
     """Ids of documents labelled good and not toxic, ``limit`` of them at most."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
@@ -47,7 +64,9 @@ def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCUMENTS) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """One row with the array ``ratios``: the log ratio of each bucket. NULL without a trusted word.
+    """One row with the arrays ``ratios`` and ``learned``: the log ratio of each bucket. NULL without a trusted word.
+
+    ``learned`` takes the held-back documents for untrusted ones.
 
     ``trusted`` is bounded by ``TRUSTED_DOCUMENTS`` and so may be broadcast.
     Each task sends a row per bucket at most, however hot a word is.
@@ -56,19 +75,31 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     words = (
         docs.select(F.col("doc_id").alias("__id"), words_of(F.col("text")).alias("__words"))
         .join(flag, F.col("__id") == F.col("__trusted"), "left")
-        .select(F.col("__trusted").isNotNull().alias("good"), F.explode("__words").alias("word"))
+        .select(
+            F.col("__trusted").isNotNull().alias("good"),
+            (F.col("__trusted").isNotNull() & ~_held(F.col("__trusted"))).alias("learned"),
+            F.explode("__words").alias("word"),
+        )
+    )
+    grams = words.select("good", "learned", F.explode(F.array(*_grams(F.col("word")))).alias("bucket"))
+    counts = grams.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.count_if("good").alias("n_good"), F.count_if("learned").alias("n_learned")
     )
-    grams = words.select("good", F.explode(F.array(*_grams(F.col("word")))).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("good").alias("n_good"))
     buckets = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    entry = F.struct("bucket", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n_good", F.lit(0)).alias("n_good"))
+    sizes = ["n", "n_good", "n_learned"]
+    entry = F.struct("bucket", *[F.coalesce(c, F.lit(0)).alias(c) for c in sizes])
     gathered = buckets.join(counts, "bucket", "left").agg(
-        F.sort_array(F.collect_list(entry)).alias("seen"), F.sum("n").alias("total"), F.sum("n_good").alias("total_good")
+        F.sort_array(F.collect_list(entry)).alias("seen"), *[F.sum(c).alias(f"total_{c}") for c in sizes]
     )
-    # Both multinomials on the trusted total and smoothed by one count, so that few trusted words say little.
-    share = F.col("total_good") / F.col("total")
-    ratio = lambda x: (F.log(x["n_good"] + 1) - F.log(x["n"] * share + 1)).cast("float")
-    return gathered.select(F.when(F.col("total_good") > 0, F.transform("seen", ratio)).alias("ratios"))
+
+    def ratios(trusted: str) -> Column:
+        # Both multinomials on the trusted total and smoothed by one count, so that few trusted words say little.
+        total = F.col(f"total_{trusted}")
+        share = total / F.col("total_n")
+        ratio = lambda x: (F.log(x[trusted] + 1) - F.log(x["n"] * share + 1)).cast("float")
+        return F.when(total > 0, F.transform("seen", ratio))
+
+    return gathered.select(ratios("n_good").alias("ratios"), ratios("n_learned").alias("learned"))
 
 
 def _let(value: Column, use) -> Column:
@@ -105,8 +136,21 @@ def _repeated_words(hashes: Column) -> Column:
     return _let(windows, counted)
 
 
+def _scores(sums: Column) -> Column:
+    """Both scores of a text, of the sums of its words' two log ratios; a text of fewer words than a span is one span."""
+    n = F.size(sums)
+    whole = F.when(n > 0, F.aggregate(sums, F.lit(0.0), lambda acc, x: acc + x) / (2 * n))
+    spans = F.transform(
+        F.slice(sums, 1, F.greatest(n - SPAN + 1, F.lit(0))),
+        lambda x, i: sum((F.get(sums, i + k) for k in range(1, SPAN)), x),
+    )
+    return F.struct(
+        whole.alias("score"), F.when(n >= SPAN, F.array_min(spans) / (2 * SPAN)).otherwise(whole).alias("span_score")
+    )
+
+
 def quality_counts(docs: DataFrame, ratios: Column | None = None) -> DataFrame:
-    """``docs`` with the base counts and ``base_failed``; with ``ratios``, also the ``score``."""
+    """``docs`` with the base counts and ``base_failed``; with ``ratios``, also ``score`` and ``span_score``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     of = lambda b: F.coalesce(F.get(F.col("__ratios"), b), F.lit(0.0).cast("float"))
@@ -114,31 +158,45 @@ def quality_counts(docs: DataFrame, ratios: Column | None = None) -> DataFrame:
     def measured(words: Column) -> Column:
         n_words = F.size(words).cast("bigint")
         repeated = _let(F.transform(words, lambda w: F.xxhash64(w)), _repeated_words).cast("bigint")
-        total = F.lit(None).cast("double") if ratios is None else F.aggregate(
-            words, F.lit(0.0), lambda acc, w: acc + sum(of(b) for b in _grams(w))
-        )
+        scores = F.struct(F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("span_score"))
+        if ratios is not None:
+            scores = _let(F.transform(words, lambda w: sum(of(b) for b in _grams(w)).cast("double")), _scores)
         return F.struct(
             n_words.alias("n_words"),
             F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
             F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("bigint").alias("n_symbols"),
             _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
             repeated.alias("n_repeat_words"),
-            F.when(n_words > 0, total / (2 * n_words)).alias("score"),
+            scores.alias("scores"),
         )
 
     found = docs.drop(*RESULTS).withColumn("__ratios", F.lit(None).cast("array<float>") if ratios is None else ratios)
     return (
         found.withColumn("__found", _let(words_of(F.col("text")), measured))
         .select(*[c for c in docs.columns if c not in RESULTS], "__found.*")
+        .select("*", "scores.*").drop("scores")
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                     | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")))
     )
 
 
+def limits(docs: DataFrame, trusted: DataFrame, learned: Column) -> tuple[float | None, float | None]:
+    """What all but ``LOST`` of the held-back trusted documents reach, in score and span score; None without any."""
+    held = trusted.where(_held(F.col("doc_id")))
+    scored = quality_counts(docs.select("doc_id", "text").join(held, "doc_id", "left_semi"), learned).where(~F.col("base_failed"))
+    return tuple(scored.agg(*[F.percentile_approx(c, F.lit(LOST), F.lit(10_000)) for c in ("score", "span_score")]).first())
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with the counts, ``base_failed``, the ``score`` (NULL without words) and ``kept``."""
-    scored = quality_counts(docs, log_ratios(docs, trusted_ids(labels)).scalar())
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.coalesce("score", F.lit(0.0)) >= threshold))
+    """``docs`` with the counts, ``base_failed``, both scores (NULL without words) and ``kept``."""
+    trusted = trusted_ids(labels)
+    ratios = stored(log_ratios(docs, trusted), "log-ratios")
+    least, least_span = limits(docs, trusted, ratios.select("learned").scalar())
+    scored = quality_counts(docs, ratios.select("ratios").scalar())
+    reached = F.coalesce("score", F.lit(0.0)) >= (threshold if least is None else max(threshold, least))
+    if least_span is not None:
+        reached &= F.coalesce("span_score", F.lit(0.0)) >= least_span
+    return scored.withColumn("kept", ~F.col("base_failed") & reached)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

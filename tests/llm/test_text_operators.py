@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -71,6 +72,20 @@ def test_quality_without_labels_or_rows(spark, docs):
     assert quality_rules.quality_rules(empty(spark), labels(spark)).count() == 0
 
 
+def test_quality_of_a_span(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(60)]
+    text = lambda: " ".join(rng.choice(words) for _ in range(300))
+    toxic = [f"{text()} you idiot scum you moron trash {text()}" for _ in range(30)]
+    rows = [(i, text()) for i in range(120)] + [(200 + i, t) for i, t in enumerate(toxic)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = labels(spark, [(i, 1, 0) for i in range(80)] + [(200 + i, 1, 1) for i in range(10)])
+    found = {r["doc_id"]: r for r in quality_rules.quality_rules(docs, known).collect()}
+    assert not any(found[200 + i]["kept"] or found[200 + i]["base_failed"] for i in range(30))
+    assert sum(not found[i]["kept"] for i in range(120)) <= 6
+    assert all(found[200 + i]["score"] > quality_rules.THRESHOLD > found[200 + i]["span_score"] for i in range(30))
+
+
 def test_language(spark, docs, plain):
     model = language_id.train_model([])
     assert model is None and {r["lang_pred"] for r in language_id.predict(docs, None).collect()} == {"und"}
