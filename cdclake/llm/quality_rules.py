@@ -1,8 +1,8 @@
 """Quality rules: counts of a text, and how much more like trusted text than like the corpus it reads.
 
 The words of every document and the last three characters of each word (its
-n-grams) are hashed into ``BUCKETS`` buckets. Their counts over trusted documents and over the whole
-corpus give two multinomials; a document's score is the mean, over its n-grams,
+n-grams) are hashed into ``BUCKETS`` buckets. Their counts over all trusted documents and over the whole corpus give
+two multinomials; a document's score is the mean, over its n-grams,
 of the logarithm of the ratio of the two probabilities, and its span score is
 the least mean of any ``SPAN`` words in a row, which clean words around them
 cannot raise. Built-in functions only.
@@ -27,8 +27,10 @@ from cdclake.llm.common import stored, table, words_of
 
 #: Size of both multinomials; what the driver holds is this many numbers.
 BUCKETS = 1 << 17
-#: Trusted documents used, at most, in the order of a hash of their ids.
-TRUSTED_DOCUMENTS = 20_000
+#: Buckets put together in one step before all of them are.
+SLICE = 1 << 12
+#: Up to so many trusted ids are broadcast; beyond, Spark chooses the join.
+BROADCAST_IDS = 1_000_000
 #: Mean log-likelihood ratio below which a document is rejected, whatever the held-back ones score.
 THRESHOLD = -1.0
 #: Words in a row that are judged by themselves.
@@ -45,11 +47,11 @@ SYMBOLS = "#*$%&|<>"
 RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "span_score", "kept"]
 
 
-def _grams(word: Column) -> list[Column]:
+def _grams(word: Column, buckets: Column) -> list[Column]:
     """The buckets of a word and of its ending; the constants keep the two kinds apart."""
     return [
-        F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int"),
-        F.pmod(F.xxhash64(F.substring(word, -3, 3), F.lit(3)), F.lit(BUCKETS)).cast("int"),
+        F.pmod(F.xxhash64(word), buckets).cast("int"),
+        F.pmod(F.xxhash64(F.substring(word, -3, 3), F.lit(3)), buckets).cast("int"),
     ]
 
 
@@ -57,49 +59,50 @@ def _held(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("held"), doc_id), F.lit(HELD)) == 0
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCUMENTS) -> DataFrame:
-    """Ids of documents labelled good and not toxic, ``limit`` of them at most."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of documents labelled good and not toxic."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
-    return good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return good.select("doc_id").distinct()
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row with the arrays ``ratios`` and ``learned``: the log ratio of each bucket. NULL without a trusted word.
 
-    ``learned`` takes the held-back documents for untrusted ones.
-
-    ``trusted`` is bounded by ``TRUSTED_DOCUMENTS`` and so may be broadcast.
-    Each task sends a row per bucket at most, however hot a word is.
+    ``learned`` takes the held-back documents for untrusted ones. Each task
+    sends a row per bucket at most, however hot a word is.
     """
-    flag = F.broadcast(trusted.select(F.col("doc_id").alias("__trusted")))
+    flag = trusted.select(F.col("doc_id").alias("__trusted"))
+    if flag.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        flag = F.broadcast(flag)
     words = (
-        docs.select(F.col("doc_id").alias("__id"), words_of(F.col("text")).alias("__words"))
+        docs.select(F.col("doc_id").alias("__id"), "text")
         .join(flag, F.col("__id") == F.col("__trusted"), "left")
         .select(
             F.col("__trusted").isNotNull().alias("good"),
             (F.col("__trusted").isNotNull() & ~_held(F.col("__trusted"))).alias("learned"),
-            F.explode("__words").alias("word"),
+            F.explode(words_of(F.col("text"))).alias("word"),
         )
     )
-    grams = words.select("good", "learned", F.explode(F.array(*_grams(F.col("word")))).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(
+    grams = words.select("good", "learned", F.explode(F.array(*_grams(F.col("word"), F.lit(BUCKETS)))).alias("bucket"))
+    counts = stored(grams.groupBy("bucket").agg(
         F.count("*").alias("n"), F.count_if("good").alias("n_good"), F.count_if("learned").alias("n_learned")
-    )
-    buckets = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    sizes = ["n", "n_good", "n_learned"]
-    entry = F.struct("bucket", *[F.coalesce(c, F.lit(0)).alias(c) for c in sizes])
-    gathered = buckets.join(counts, "bucket", "left").agg(
-        F.sort_array(F.collect_list(entry)).alias("seen"), *[F.sum(c).alias(f"total_{c}") for c in sizes]
-    )
+    ), "bucket-counts")
+    total, *trusted_totals = (x or 0 for x in counts.agg(F.sum("n"), F.sum("n_good"), F.sum("n_learned")).first())
 
-    def ratios(trusted: str) -> Column:
+    def ratio(n_trusted: str, of: int) -> Column:
         # Both multinomials on the trusted total and smoothed by one count, so that few trusted words say little.
-        total = F.col(f"total_{trusted}")
-        share = total / F.col("total_n")
-        ratio = lambda x: (F.log(x[trusted] + 1) - F.log(x["n"] * share + 1)).cast("float")
-        return F.when(total > 0, F.transform("seen", ratio))
+        expected = F.coalesce("n", F.lit(0)) * F.lit(of / total if total else 0.0)
+        return (F.log(F.coalesce(n_trusted, F.lit(0)) + 1) - F.log(expected + 1)).cast("float")
 
-    return gathered.select(ratios("n_good").alias("ratios"), ratios("n_learned").alias("learned"))
+    names = ["ratios", "learned"]
+    each = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
+    entry = F.struct("bucket", *[ratio(c, of).alias(x) for x, c, of in zip(names, ["n_good", "n_learned"], trusted_totals)])
+    sliced = each.groupBy(F.floor(F.col("bucket") / SLICE).alias("slice")).agg(F.sort_array(F.collect_list(entry)).alias("seen"))
+    sliced = sliced.select("slice", *[F.col(f"seen.{x}").alias(x) for x in names])
+    whole = sliced.agg(F.sort_array(F.collect_list(F.struct("slice", *names))).alias("all"))
+    return whole.select(*[
+        (F.flatten(F.col(f"all.{x}")) if of else F.lit(None).cast("array<float>")).alias(x) for x, of in zip(names, trusted_totals)
+    ])
 
 
 def _let(value: Column, use) -> Column:
@@ -153,14 +156,16 @@ def quality_counts(docs: DataFrame, ratios: Column | None = None) -> DataFrame:
     """``docs`` with the base counts and ``base_failed``; with ``ratios``, also ``score`` and ``span_score``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    of = lambda b: F.coalesce(F.get(F.col("__ratios"), b), F.lit(0.0).cast("float"))
 
-    def measured(words: Column) -> Column:
+    def measured(words: Column, known: Column) -> Column:
         n_words = F.size(words).cast("bigint")
         repeated = _let(F.transform(words, lambda w: F.xxhash64(w)), _repeated_words).cast("bigint")
         scores = F.struct(F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("span_score"))
         if ratios is not None:
-            scores = _let(F.transform(words, lambda w: sum(of(b) for b in _grams(w)).cast("double")), _scores)
+            # Without ratios their size is NULL, and so is the bucket.
+            of = lambda b: F.coalesce(F.get(known, b), F.lit(0.0).cast("float"))
+            grams = lambda w: _grams(w, F.size(known))
+            scores = _let(F.transform(words, lambda w: sum(of(b) for b in grams(w)).cast("double")), _scores)
         return F.struct(
             n_words.alias("n_words"),
             F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
@@ -170,9 +175,11 @@ def quality_counts(docs: DataFrame, ratios: Column | None = None) -> DataFrame:
             scores.alias("scores"),
         )
 
-    found = docs.drop(*RESULTS).withColumn("__ratios", F.lit(None).cast("array<float>") if ratios is None else ratios)
+    # The ratios are named once: each mention would send them to the tasks once more.
+    given = docs.drop(*RESULTS).withColumn("__ratios", F.lit(None).cast("array<float>") if ratios is None else ratios)
+    found = _let(F.col("__ratios"), lambda known: _let(words_of(F.col("text")), lambda words: measured(words, known)))
     return (
-        found.withColumn("__found", _let(words_of(F.col("text")), measured))
+        given.withColumn("__found", found)
         .select(*[c for c in docs.columns if c not in RESULTS], "__found.*")
         .select("*", "scores.*").drop("scores")
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)

@@ -86,6 +86,18 @@ def test_quality_of_a_span(spark):
     assert all(found[200 + i]["score"] > quality_rules.THRESHOLD > found[200 + i]["span_score"] for i in range(30))
 
 
+def test_quality_takes_all_trusted_documents(spark, monkeypatch):
+    """Also more of them than are broadcast."""
+    known = labels(spark, [(i, 1, 0) for i in range(20_010)])
+    assert quality_rules.trusted_ids(known).count() == 20_010
+    docs = spark.createDataFrame([(i, f"w{i} v{i} common") for i in range(40)], "doc_id bigint, text string")
+    found = []
+    for most in (1_000_000, 3):
+        monkeypatch.setattr(quality_rules, "BROADCAST_IDS", most)
+        found.append(quality_rules.log_ratios(docs, quality_rules.trusted_ids(labels(spark, [(i, 1, 0) for i in range(20)]))).first())
+    assert found[0] == found[1] and len(found[0]["ratios"]) == quality_rules.BUCKETS
+
+
 def test_language(spark, docs, plain):
     model = language_id.train_model([])
     assert model is None and {r["lang_pred"] for r in language_id.predict(docs, None).collect()} == {"und"}
