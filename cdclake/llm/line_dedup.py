@@ -14,7 +14,8 @@ aggregate with a partial step, so a line that a third of all documents share
 reaches the shuffle once a task.
 
 Cases: a NULL text stays NULL and has no lines; an empty text has one blank line.
-Blank lines belong to no run. Rows with one id are ordered by a hash of their
+Blank lines belong to no run and end one, unless ``over_blank`` is set: then runs
+are of the lines that are not blank, and blank ones within a run go with it. Rows with one id are ordered by a hash of their
 text; equal rows are one place and keep or lose the same lines. A NULL id comes
 first. Empty tables give no rows. Other columns pass through; names beginning
 with ``__`` are for inner use.
@@ -27,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cdclake.llm.common import stored, table
 
 LONG_LINE = 20
+#: The bound of the pipeline, whose runs go on over blank lines.
+SHORT_LINE = 8
 
 KEY = ["anchor", "side", "other"]
 
@@ -35,7 +38,7 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def windows(docs: DataFrame, long_line: int = LONG_LINE) -> DataFrame:
+def windows(docs: DataFrame, long_line: int = LONG_LINE, over_blank: bool = False) -> DataFrame:
     """One row per window: the place of its first line, its number of lines, and its key.
 
     The key is the selected line's hash, where the selected line stands in the
@@ -46,29 +49,29 @@ def windows(docs: DataFrame, long_line: int = LONG_LINE) -> DataFrame:
         i.alias("i"), F.xxhash64(x).alias("h"), words(x).alias("n")
     ))
     row = lambda i, lines, anchor, side, other: F.struct(
-        i.alias("line"), F.lit(lines).alias("lines"), anchor.alias("anchor"), side.alias("side"), other.alias("other")
+        i.alias("line"), lines.alias("lines"), anchor.alias("anchor"), side.alias("side"), other.alias("other")
     )
     lines = F.col("__lines")
     pair = F.zip_with(
-        F.slice(lines, 1, F.size(lines) - 1), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
+        F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
         lambda a, b: F.when((a["n"] > 0) & (b["n"] > 0), row(
-            a["i"], 2, F.least(a["h"], b["h"]), F.when(a["h"] <= b["h"], 0).otherwise(1), F.greatest(a["h"], b["h"])
+            a["i"], b["i"] - a["i"] + 1, F.least(a["h"], b["h"]), F.when(a["h"] <= b["h"], 0).otherwise(1), F.greatest(a["h"], b["h"])
         )),
     )
     alone = F.transform(lines, lambda a: F.when(
-        a["n"] >= long_line, row(a["i"], 1, a["h"], F.lit(2), F.lit(0).cast("bigint"))
+        a["n"] >= long_line, row(a["i"], F.lit(1), a["h"], F.lit(2), F.lit(0).cast("bigint"))
     ))
     return (
         docs.where("text is not null")
-        .select(F.struct("doc_id", F.md5("text").alias("digest")).alias("doc"), hashed.alias("__lines"))
+        .select(F.struct("doc_id", F.md5("text").alias("digest")).alias("doc"), (F.filter(hashed, lambda x: x["n"] > 0) if over_blank else hashed).alias("__lines"))
         .select("doc", F.explode(F.filter(F.concat(pair, alone), lambda x: x.isNotNull())).alias("__window"))
         .select("doc", "__window.*")
     )
 
 
-def repeated_lines(docs: DataFrame, long_line: int = LONG_LINE) -> DataFrame:
+def repeated_lines(docs: DataFrame, long_line: int = LONG_LINE, over_blank: bool = False) -> DataFrame:
     """``doc`` (id and digest of the text) and ``gone``, the numbers of its lines in later repeats."""
-    found = stored(windows(docs, long_line), "line-windows")
+    found = stored(windows(docs, long_line, over_blank), "line-windows")
     place = F.struct("doc", "line")
     first = (
         found.groupBy(*KEY).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -78,12 +81,12 @@ def repeated_lines(docs: DataFrame, long_line: int = LONG_LINE) -> DataFrame:
     return each.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, long_line: int = LONG_LINE) -> DataFrame:
+def dedup_lines(docs: DataFrame, long_line: int = LONG_LINE, over_blank: bool = False) -> DataFrame:
     """``docs`` with the later repeats deleted from ``text``, and ``n_removed``, the number of deleted lines.
 
     ``n_chars``, where there is one, is counted anew.
     """
-    gone = repeated_lines(docs, long_line).select(
+    gone = repeated_lines(docs, long_line, over_blank).select(
         F.col("doc.doc_id").alias("__id"), F.col("doc.digest").alias("__digest"), F.col("gone").alias("__gone")
     )
     joined = docs.drop("n_removed").join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cdclake.llm.common import DOCUMENTS, stored, table
-from cdclake.llm.line_dedup import dedup_lines
+from cdclake.llm.line_dedup import SHORT_LINE, dedup_lines
 from cdclake.llm.mixing import mix_documents
 from cdclake.llm.ngram_join import jaccard_components
 from cdclake.llm.packing import pack
@@ -22,7 +22,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without later repeats of line runs; ``n_chars`` is counted anew."""
-    return dedup_lines(docs).select(*DOCUMENTS)
+    return dedup_lines(docs, SHORT_LINE, over_blank=True).select(*DOCUMENTS)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

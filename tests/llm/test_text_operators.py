@@ -262,6 +262,15 @@ def test_line_dedup(spark, docs, plain):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
+def test_lines_over_blank_ones(spark):
+    passage = "\n\n".join(f"p{k} " + "w " * 6 for k in range(5))
+    notice = "all rights of this page are reserved by us"
+    rows = [(i, f"own {i}\n{passage}\n{notice}\nend {i}\nshort") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, line_dedup.SHORT_LINE, over_blank=True).collect()}
+    assert found[0] == rows[0][1] and all(found[i] == f"own {i}\nend {i}\nshort" for i in (1, 2))
+
+
 def shingles(text, size):
     words = WORD.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))
     if not words:
