@@ -37,6 +37,8 @@ EPOCHS = 8
 # Fixed values of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe object svg math".split())
+#: Raw elements that may hold others of their name, and those that may end in their own tag.
+NESTED, SELF_CLOSED = frozenset("template object svg math".split()), frozenset("svg math".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr img ruby rb rt rp".split()
@@ -146,9 +148,24 @@ def blocks(page: str) -> list[Block]:
                     del stack[cut]
             continue
         if name in RAW:
-            close = re.compile(f"</{re.escape(name)}", re.I).search(page, at)
-            stop = page.find(">", close.end()) if close else -1
-            at = len(page) if stop < 0 else stop + 1
+            if name in SELF_CLOSED and page[end - 1] == "/":
+                continue
+            # Where an end tag is missing, the last one there is ends the element.
+            depth, last = 1, -1
+            for mark in re.compile(f"<(/?){re.escape(name)}(?![\\w-])", re.I).finditer(page, at):
+                opens = not mark.group(1)
+                if opens and name not in NESTED:
+                    continue
+                stop = page.find(">", mark.end())
+                if stop < 0:
+                    break
+                if opens:
+                    depth += not (name in SELF_CLOSED and page[stop - 1] == "/")
+                else:
+                    depth, last = depth - 1, stop
+                if not depth:
+                    break
+            at = len(page) if last < 0 else last + 1
             continue
         if name in VOID or page[end - 1] == "/" and name in INLINE:
             continue

@@ -16,6 +16,15 @@ def test_blocks():
     assert [b.path[-1][0] for b in h.blocks("<article><h1>t</h1>u</article>v")[:2]] == ["h1", "article"]
 
 
+def test_self_closed_and_nested_raw_elements():
+    texts = lambda page: [b.text for b in h.blocks(page)]
+    assert texts('<p>a</p><svg class="icon"/><p>b</p><math/><p>c</p>') == ["a", "b", "c"]
+    assert texts("<p>a</p><svg>x<svg>y</svg><svg/>z</svg><p>b</p>") == ["a", "b"]
+    assert texts("<template>x<template>y</template>z</template><p>b</p>") == ["b"]
+    assert texts("<svg>x<svg>y</svg><p>b</p>") == ["b"]
+    assert texts("<script>'<script>'</script><p>b</p>") == ["b"]
+
+
 def test_long_broken_pages_stay_cheap():
     import time
     start = time.time()
