@@ -1,15 +1,13 @@
-"""Line deduplication by winnowing over line hashes.
+"""Line deduplication by pairs of line hashes.
 
 A repeated run is two or more lines in a row that stand in the same order at an
 earlier place, or one line of ``LONG_LINE`` words or more that does; earlier
 means by document id and then by line. Its lines are deleted at every later
 place; the first place keeps them.
 
-Of every window of two neighbouring lines the line with the least hash is
-selected, and a long line is a window of its own, so any repeated run holds a
-position that is selected at all its places. Selected positions meet by hash;
-a match is extended to the line before or after the position, and windows that
-overlap join into longer runs. The first place of each match is the least of an
+Every two neighbouring lines are a window, keyed by both hashes in order, and a
+long line is a window of its own. No position is left out as winnowing would;
+windows that overlap join into longer runs. The first place of each match is the least of an
 aggregate with a partial step, so a line that a third of all documents share
 reaches the shuffle once a task.
 
