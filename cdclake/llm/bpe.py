@@ -1,13 +1,13 @@
 """Byte-level byte-pair encoding and decoding with the ranks of a given vocabulary.
 
 A text is cut into pre-tokens by the vocabulary's pattern; each is encoded by
-itself. Two tiers. First a minimal perfect hash over the vocabulary: all
+itself. Two tiers. First a minimal perfect hash over the vocabulary: all new
 pre-tokens of a slice of text are hashed at once, each hash points at the one
 entry that could be equal, and their bytes are compared, so a pre-token that is
 an entry takes its rank. The others are merged: their bytes form a linked list,
 a heap holds the neighbouring pairs that are entries, by rank and place, and the
-pair of least rank is joined until no pair is an entry. What a task has merged it
-remembers, up to a bound.
+pair of least rank is joined until no pair is an entry. A task remembers the
+pre-tokens it has met, up to a bound.
 
 The hash maps a key to three vertices of a sparse hypergraph; edges are peeled
 off vertices that have no other one, and each edge is then given the vertex it
@@ -35,8 +35,8 @@ from cdclake.llm.hashing import mix, prefix_hashes, span_hashes
 
 #: Characters of text encoded together; a longer text is encoded alone.
 SLICE = 1 << 20
-#: Merged pre-tokens a task remembers, at most.
-REMEMBERED = 500_000
+#: Pre-tokens a task remembers, at most, beside those of one slice.
+REMEMBERED = 600_000
 #: Characters of pre-tokens merged over one linked list; a longer pre-token has its own.
 CHUNK = 1 << 13
 #: Vertices per key of the hypergraph; it can be peeled above 1.22.
@@ -99,12 +99,17 @@ class PerfectHash:
         return np.minimum(self.rank[nodes[np.arange(len(keys)), pick]], max(self.n - 1, 0))
 
 
+def entries_of(path: str) -> list[tuple[bytes, int]]:
+    """The entries of a rank file and their ranks."""
+    with open(path, "rb") as lines:
+        return [(base64.b64decode(a), int(b)) for a, b in map(bytes.split, lines)]
+
+
 class Vocabulary:
     """The entries of a rank file, found by whole bytes through a perfect hash."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            pairs = [(base64.b64decode(a), int(b)) for a, b in map(bytes.split, lines)]
+        pairs = entries_of(path)
         ranks = dict(pairs)
         #: The rank of each byte, and of every two entries that together are an entry, by both ranks.
         self.byte_rank = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
@@ -116,7 +121,6 @@ class Vocabulary:
         for entry, rank in pairs:
             if len(entry) == 2:
                 self.two[entry[0], entry[1]] = rank
-        self.bytes_of = {rank: entry for entry, rank in pairs}
         flat, starts, ends = _spans([entry for entry, _ in pairs])
         hashes = span_hashes(prefix_hashes(flat), starts, ends)
         if len(np.unique(hashes)) < len(pairs):
@@ -195,8 +199,8 @@ def _spans(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), np.uint8), ends - np.diff(ends, prepend=0), ends
 
 
-class _Merged(dict):
-    """Numbers of merged pre-tokens; new ones are numbered first and merged together by ``settle``."""
+class _Known(dict):
+    """Numbers of pre-tokens met before; new ones are numbered first and resolved together by ``settle``."""
 
     def __init__(self):
         super().__init__()
@@ -209,13 +213,16 @@ class _Merged(dict):
         return number
 
     def settle(self, vocabulary: Vocabulary) -> None:
-        lists = [
-            ids for pieces in _sliced(self.new, CHUNK)
-            for ids in vocabulary.merged([x.encode("utf-8", "surrogatepass") for x in pieces])
-        ]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        pieces = [x.encode("utf-8", "surrogatepass") for x in self.new]
+        ranks = vocabulary.whole(*_spans(pieces))
+        missed = [pieces[k] for k in np.flatnonzero(ranks < 0)]
+        merged = [ids for some in _sliced(missed, CHUNK) for ids in vocabulary.merged(some)]
+        lengths = np.ones(len(pieces), np.int64)
+        lengths[ranks < 0] = np.fromiter(map(len, merged), np.int64, len(merged))
+        flat = np.repeat(ranks, lengths)
+        flat[flat < 0] = np.fromiter(chain.from_iterable(merged), np.int64)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32)])
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.new = []
 
@@ -233,31 +240,20 @@ class Encoder:
         import regex
 
         self.vocabulary, self.find = Vocabulary(path), regex.compile(pattern).findall
-        self.known = _Merged()
+        self.known = _Known()
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, and how many each text has."""
         if len(self.known) > REMEMBERED:
-            self.known = _Merged()
+            self.known = _Known()
         found = [self.find(text) for text in texts]
-        flat = list(chain.from_iterable(found))
-        if not flat:
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        codes = np.frombuffer("".join(flat).encode("utf-8", "surrogatepass"), np.uint8)
-        # Bytes that continue a character do not begin one; a piece's characters then give its bytes.
-        begins = np.append(np.flatnonzero((codes & 0xC0) != 0x80), len(codes))
-        ends = begins[np.cumsum(np.fromiter(map(len, flat), np.int64, len(flat)))]
-        ids = self.vocabulary.whole(codes, np.concatenate([[0], ends[:-1]]), ends)
-        counts = np.ones(len(flat), np.int64)
-        missed = np.flatnonzero(ids < 0)
-        numbers = np.fromiter(map(self.known.__getitem__, map(flat.__getitem__, missed.tolist())), np.int64, len(missed))
+        pieces = np.fromiter(map(len, found), np.int64, len(found))
+        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(found)), np.int64, int(pieces.sum()))
         self.known.settle(self.vocabulary)
-        lengths = counts[missed] = self.known.lengths[numbers]
-        out = np.repeat(ids, counts)
-        out[out < 0] = self.known.flat[np.repeat(self.known.starts[numbers], lengths) + _runs(lengths)]
-        upto = np.concatenate([[0], np.cumsum(counts)])
-        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
-        return out.astype(np.int32), np.diff(upto[bounds])
+        lengths = self.known.lengths[numbers]
+        ids = self.known.flat[np.repeat(self.known.starts[numbers], lengths) + _runs(lengths)]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        return ids, np.diff(upto[np.concatenate([[0], np.cumsum(pieces)])])
 
 
 def _sliced(texts: list[str], limit: int = SLICE) -> Iterator[list[str]]:
@@ -293,10 +289,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` rows, ``doc_id`` and ``ids``, with ``decoded``, the bytes their ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = Vocabulary(path).bytes_of
+        entry = {rank: entry for entry, rank in entries_of(path)}.__getitem__
         for batch in batches:
             ids = batch.column("ids")
-            decoded = [b"".join([entries[i] for i in x]) if x else b"" for x in ids.to_pylist()]
+            # A row at a time: the ids of a whole batch as Python numbers would take many times its size.
+            decoded = [b"".join(map(entry, x.values.to_numpy().tolist())) if x.is_valid else b"" for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), ids, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"]
             )

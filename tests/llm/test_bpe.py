@@ -74,7 +74,7 @@ def test_query(spark, tmp_path, plain):
 def test_decode(spark):
     ids = spark.createDataFrame([(1, [0, 1, 2]), (2, []), (3, None)], "doc_id bigint, ids array<int>")
     found = {r["doc_id"]: bytes(r["decoded"]) for r in bpe.decode(ids, PATH).collect()}
-    entries = bpe.Vocabulary(PATH).bytes_of
+    entries = {rank: entry for entry, rank in bpe.entries_of(PATH)}
     assert found == {1: entries[0] + entries[1] + entries[2], 2: b"", 3: b""}
 
 
