@@ -9,8 +9,8 @@ cannot raise. Built-in functions only.
 
 Both scores have to reach what nearly all good documents reach: one trusted
 document in ``HELD`` is scored by counts of the others, and each score's limit is
-its quantile ``LOST`` over those. Without held-back documents ``THRESHOLD`` is the
-only limit.
+its quantile ``LOST`` over those. If no document can be held back, all trusted ones
+set the limits, lowered by ``MARGIN``. ``THRESHOLD`` is the least limit of the score.
 
 Cases: a NULL or empty text has no words, all counts 0, no score, and fails the
 base rules. Repeated rows are judged alike. An empty corpus gives no rows.
@@ -21,7 +21,7 @@ like one of the results is replaced by it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cdclake.llm.common import stored, table, words_of
 
@@ -39,6 +39,10 @@ SPAN = 5
 HELD = 5
 #: Share of held-back documents that may miss a limit.
 LOST = 0.005
+#: Limits are multiples of this.
+STEP = 1e-4
+#: How far below the trusted documents' own scores a document may stay, if none of them could be held back.
+MARGIN = 0.5
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 WINDOW = 5
@@ -187,11 +191,32 @@ def quality_counts(docs: DataFrame, ratios: Column | None = None) -> DataFrame:
     )
 
 
+def _quantile(scored: DataFrame, column: str) -> float | None:
+    """The greatest multiple of ``STEP`` that all but ``LOST`` of the scores reach; the same in every run.
+
+    Counted per step, of which a logarithm's range has some hundred thousand, whatever the number of rows.
+    """
+    steps = scored.where(F.col(column).isNotNull()).groupBy(F.floor(F.col(column) / STEP).alias("step")).agg(F.count("*").alias("n"))
+    upto = steps.select("step", F.sum("n").over(Window.orderBy("step")).alias("upto"), F.sum("n").over(Window.partitionBy()).alias("all"))
+    least = upto.where(F.col("upto") >= F.col("all") * LOST).agg(F.min("step")).first()[0]
+    return None if least is None else least * STEP
+
+
 def limits(docs: DataFrame, trusted: DataFrame, learned: Column) -> tuple[float | None, float | None]:
-    """What all but ``LOST`` of the held-back trusted documents reach, in score and span score; None without any."""
-    held = trusted.where(_held(F.col("doc_id")))
-    scored = quality_counts(docs.select("doc_id", "text").join(held, "doc_id", "left_semi"), learned).where(~F.col("base_failed"))
-    return tuple(scored.agg(*[F.percentile_approx(c, F.lit(LOST), F.lit(10_000)) for c in ("score", "span_score")]).first())
+    """What all but ``LOST`` of the held-back trusted documents reach, in score and span score; None without any words.
+
+    Where there are too few trusted documents to hold any back, they all set the
+    limits, lowered by ``MARGIN``, since documents that were learned from score too high.
+    """
+    texts = docs.select("doc_id", "text")
+    # Stored before they are counted and before they are filtered: Spark would else count them once per condition.
+    held = stored(texts.join(trusted.where(_held(F.col("doc_id"))), "doc_id", "left_semi"), "held-back")
+    margin = 0.0
+    if held.isEmpty():
+        held, margin = stored(texts.join(trusted, "doc_id", "left_semi"), "held-back"), MARGIN
+    scored = stored(quality_counts(held, learned).select("base_failed", "score", "span_score"), "held-back-scores")
+    found = [_quantile(scored.where(~F.col("base_failed")), c) for c in ("score", "span_score")]
+    return tuple(None if x is None else x - margin for x in found)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
