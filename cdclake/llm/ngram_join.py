@@ -10,9 +10,11 @@ key, and similar classes share a key. A few more parts allow for parts that are
 empty in both; a class with more empty parts than that adds keys under further
 seeds, and under the last seed empty parts give keys as well. So no pair is lost.
 
-Bounds. Each class has a bitmap of hashed elements. The bits that one bitmap has
-beyond the other bound the overlap from above; pairs that may still be similar
-are settled by intersecting the sorted sets.
+Bounds. Each class that shares a key has a bitmap of hashed elements, which grows
+with its set: at least ``BITS_EACH`` bits an element. The bits that one bitmap
+has beyond the other bound the overlap from above. Bitmaps are compared folded
+to ``BITS`` bits first, and the pairs left at the width of the smaller one; those
+that may still be similar are settled by intersecting the sorted sets.
 
 Order of work. Every class is compared with the class that is the least under
 most of its keys, and components are formed. Keys that hold several components
@@ -41,6 +43,7 @@ from cdclake.llm.components import components
 from cdclake.llm.hashing import mix, shingle_sets, slices
 
 BITS = 1024
+BITS_EACH = 8
 SEEDS = 6
 #: Classes of one key compared in one group, at most twice as many.
 BLOCK = 2048
@@ -98,22 +101,17 @@ def _set_sums(found: np.ndarray, of: np.ndarray, count: int) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Per row: ``doc_id``, ``n``, the two sums that identify the set, and its ``bitmap``."""
+    """Per row: ``doc_id``, ``n`` and the two sums that identify the set."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in slices(batches):
             found, of = shingle_sets(list(rows["text"]), size)
             low, high = _set_sums(found, of, len(rows))
-            bits = np.zeros((len(rows), BITS), bool)
-            bits[of, (found >> np.uint64(54)).astype(np.int64)] = True
             yield pd.DataFrame({
                 "doc_id": rows["doc_id"].array, "n": np.bincount(of, minlength=len(rows)), "lo": low, "hi": high,
-                "bitmap": [b.tobytes() for b in np.packbits(bits, axis=1)],
             })
 
-    return spread(docs.select("doc_id", "text")).mapInPandas(
-        run, "doc_id bigint, n bigint, lo bigint, hi bigint, bitmap binary"
-    )
+    return spread(docs.select("doc_id", "text")).mapInPandas(run, "doc_id bigint, n bigint, lo bigint, hi bigint")
 
 
 def document_keys(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -156,8 +154,24 @@ def _admits(na, nb, beyond_a, beyond_b, num: int, den: int) -> np.ndarray:
     return den * most >= num * (na + nb - most)
 
 
-def _bitmaps(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint64).reshape(len(column), BITS // 64)
+def bitmap(found: np.ndarray) -> bytes:
+    """The elements' low bits as a bitmap of a power of two of bits."""
+    width = max(BITS, 1 << (BITS_EACH * len(found) - 1).bit_length())
+    bits = np.zeros(width, bool)
+    bits[(found & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap of so many 64-bit words, of a wider one: its parts laid over each other."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0) if len(bits) > words else bits
+
+
+def _beyond(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    """How many bits either bitmap has beyond the other, at the width of the narrower."""
+    words = min(len(a), len(b))
+    a, b = _folded(a, words), _folded(b, words)
+    return int(np.bitwise_count(a & ~b).sum()), int(np.bitwise_count(b & ~a).sum())
 
 
 def verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -166,9 +180,10 @@ def verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, num: int, den:
     def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                a, b = _bitmaps(batch["ba"]), _bitmaps(batch["bb"])
-                over = [np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64) for x, y in ((a, b), (b, a))]
-                yield batch.loc[_admits(batch["na"].to_numpy(), batch["nb"].to_numpy(), *over, num, den), ["a", "b"]]
+                over = np.array([
+                    _beyond(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch["ba"], batch["bb"])
+                ], np.int64)
+                yield batch.loc[_admits(batch["na"].to_numpy(), batch["nb"].to_numpy(), *over.T, num, den), ["a", "b"]]
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -199,7 +214,8 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
         """Class, partner and the bits by which they differ."""
         rep, comp, n = g["rep"].to_numpy(), g["component"].to_numpy(), g["n"].to_numpy()
         left, right = np.flatnonzero(g["left"]), np.flatnonzero(g["right"])
-        bits = _bitmaps(g["bitmap"])
+        whole = [np.frombuffer(x, np.uint64) for x in g["bitmap"]]
+        bits = np.array([_folded(x, BITS // 64) for x in whole])
         found = []
         for i in left:
             j = right[(comp[right] != comp[i]) & (den * np.minimum(n[right], n[i]) >= num * np.maximum(n[right], n[i]))]
@@ -207,8 +223,14 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
                 continue
             over = [np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (bits[i] & ~bits[j], bits[j] & ~bits[i])]
             ok = _admits(n[i], n[j], *over, num, den)
-            j, bits_apart = j[ok], (over[0] + over[1])[ok]
-            if best and len(j):
+            j = j[ok]
+            if len(j):
+                fine = np.array([_beyond(whole[i], whole[k]) for k in j], np.int64)
+                ok = _admits(n[i], n[j], *fine.T, num, den)
+                j, bits_apart = j[ok], fine.sum(axis=1)[ok]
+            if not len(j):
+                continue
+            if best:
                 nearest = [np.argmin(bits_apart)]
                 j, bits_apart = j[nearest], bits_apart[nearest]
             found.append((np.repeat(rep[i], len(j)), rep[j], bits_apart))
@@ -258,7 +280,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     found = stored(document_sets(docs, size), "shingle-sets")
     named = found.where("n > 0 and doc_id is not null")
     reps = stored(
-        named.groupBy("n", "lo", "hi").agg(F.min("doc_id").alias("rep"), F.first("bitmap").alias("bitmap")), "classes"
+        named.groupBy("n", "lo", "hi").agg(F.min("doc_id").alias("rep")), "classes"
     )
     # Most keys occur once and go no further than this shuffle.
     met = stored(
@@ -266,7 +288,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
         .mapInPandas(_shared, "key bigint, rep bigint"), "shared-keys"
     )
     release(spark)
-    class_of = named.select("n", "lo", "hi", F.col("doc_id").alias("member")).join(reps.drop("bitmap"), ["n", "lo", "hi"])
+    class_of = named.select("n", "lo", "hi", F.col("doc_id").alias("member")).join(reps, ["n", "lo", "hi"])
     by_class = met.join(class_of.select("member", F.col("rep").alias("class")).distinct(), F.col("rep") == F.col("member")).select(
         "key", F.col("class").alias("rep")).distinct()
     by_class = stored(by_class, "class-keys")
@@ -276,16 +298,20 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     def elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in slices(batches):
             x, of = shingle_sets(list(rows["text"]), size)
-            ends = np.searchsorted(of, np.arange(1, len(rows)))
-            yield pd.DataFrame({"rep": rows["doc_id"].array, "elements": np.split(x.view(np.int64), ends)})
+            sets = np.split(x, np.searchsorted(of, np.arange(1, len(rows))))
+            yield pd.DataFrame({
+                "rep": rows["doc_id"].array, "n": [len(x) for x in sets], "bitmap": [bitmap(x) for x in sets],
+                "elements": [x.view(np.int64) for x in sets],
+            })
 
     involved = shared.select(F.col("rep").alias("doc_id")).distinct()
     sets = stored(
         docs.select("doc_id", "text").join(involved, "doc_id", "left_semi")
-        .mapInPandas(elements, "rep bigint, elements array<bigint>"), "elements"
+        .mapInPandas(elements, "rep bigint, n bigint, bitmap binary, elements array<bigint>"), "elements"
     )
     release(spark)
-    small = reps.select("rep", "n", "bitmap")
+    # Rows that occur often count once, so that a block has no more rows than classes.
+    small = stored(sets.select("rep", "n", "bitmap").distinct(), "bitmaps")
     # Each class and the least class of most of its keys. A pair to be settled carries a whole set through a
     # shuffle, so each step leaves as few as it can to the next.
     star = shared.where("rep <> lead").groupBy("rep", "lead").agg(F.count("*").alias("n")).groupBy("rep").agg(
