@@ -12,7 +12,7 @@ from cdclake.operators.columns import any_null, as_list, col, resolve
 from cdclake.operators.compact import compact_changes
 from cdclake.plans.sizing import broadcast_if_small
 from cdclake.session import work_path
-from cdclake.sources.tables import delete, list_names, partition_folders, publish, recover_table, replace_table, staging_path, write_table
+from cdclake.sources.tables import delete, exists, list_names, partition_folders, publish, recover_table, replace_table, staging_path, write_table
 
 
 def apply_changes(
@@ -199,6 +199,9 @@ def _read_table(spark: SparkSession, path: str, parts: list[str], delta: DataFra
     and be written as another partition.
     """
     if not parts:
+        if not exists(spark, path):
+            # The first batch of a table without a copy starts it.
+            return spark.createDataFrame([], delta.schema).drop(op, seq)
         return spark.read.parquet(path)
     if not _has_partitions(spark, path):
         # No partition is left, and with it no file that tells the columns.

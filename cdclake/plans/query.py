@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from cdclake.model import TableRef, merge_table_path
 from cdclake.sources.tables import export_csv
+from cdclake.sources.versions import read_table
 
 # ``:alias.table:`` or ``:merge_request.name:``
 TOKEN = re.compile(r":([A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+)+):")
@@ -106,7 +107,7 @@ def run_query(spark: SparkSession, sql: str, catalog: Catalog) -> DataFrame:
             entry = known(token) if callable(known) else known.get(token.lower())
             if entry is None:
                 raise ValueError(f"unknown table :{token}:")
-            frame = spark.read.parquet(entry) if isinstance(entry, str) else entry
+            frame = read_table(spark, entry) if isinstance(entry, str) else entry
             names[token.lower()] = f"q_{run}_{len(names)}"
             frame.createOrReplaceTempView(names[token.lower()])
         return names[token.lower()]

@@ -9,26 +9,31 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from cdclake.model import Mapping, RUN_LOG
-from cdclake.operators.apply import merge_delta, stage_delta
+from cdclake.operators.apply import merge_delta, stage_delta, written_rows
 from cdclake.operators.consolidate import consolidate, map_columns, propagate_changes
 from cdclake.operators.envelope import decode_changes
 from cdclake.operators.progress import append_run_log, run_event
+from cdclake.operators.versioned import merge_versions, propagate_versions, with_before_images
+from cdclake.session import work_path
 from cdclake.sources.tables import delete, exists, recover_table, replace_table
+from cdclake.sources.versions import read_table
 
 
 @dataclass
 class MergeTarget:
-    """A consolidated table that a member table feeds."""
+    """A consolidated table that a member table feeds; ``versioned`` keeps it as versions."""
 
     path: str
     mapping: list[Mapping]
     alias: str
     mode: str = "replace"
+    partition_by: str = ""
+    versioned: bool = False
 
 
 @dataclass
 class TableTarget:
-    """Where and how the changes of one table are applied."""
+    """Where and how the changes of one table are applied; ``versioned`` keeps the copy as versions."""
 
     path: str
     key: str
@@ -36,6 +41,7 @@ class TableTarget:
     dialect: str = "mysql"
     partition_by: str = ""
     merges: list[MergeTarget] = field(default_factory=list)
+    versioned: bool = False
 
 
 class RunLog:
@@ -84,18 +90,49 @@ def sync_table(spark: SparkSession, events: DataFrame, target: TableTarget, quar
         undecoded.write.mode("overwrite").parquet(quarantine)
     if not readable:
         return  # no event names a column
+    work = [staged]
     try:
         with log.step(3, "merge into table"):
-            merge_delta(spark, target.path, delta, target.key, target.partition_by)
-        for number, merge in enumerate(target.merges, start=4):
+            # What the copy still holds of changed keys is read before it changes.
+            fed = [_with_old_values(spark, delta, target, merge, work) for merge in target.merges]
+            if target.versioned:
+                merge_versions(spark, target.path, delta, target.key, target.partition_by)
+            else:
+                merge_delta(spark, target.path, delta, target.key, target.partition_by)
+        for number, (merge, changes) in enumerate(zip(target.merges, fed), start=4):
             with log.step(number, f"merge into {merge.path}"):
-                recover_table(spark, merge.path)
-                merged = propagate_changes(
-                    spark.read.parquet(merge.path), delta, merge.mapping, target.table, merge.alias, merge.mode, measure=True
-                )
-                replace_table(merged, merge.path)
+                _merge_into(spark, changes, target, merge)
     finally:
-        delete(spark, staged)
+        for path in work:
+            delete(spark, path)
+
+
+def _with_old_values(spark: SparkSession, delta: DataFrame, target: TableTarget, merge: MergeTarget, work: list[str]) -> DataFrame:
+    """The delta with deletes for unique values it does away with, stored where there can be any."""
+    if not exists(spark, target.path):
+        return delta
+    copy = read_table(spark, target.path)
+    full = with_before_images(delta, copy, target.key, merge.mapping, target.table, merge.alias)
+    if full is delta:
+        return delta
+    work.append(work_path(spark, "delta"))
+    full.write.parquet(work[-1])
+    return spark.read.schema(full.schema).parquet(work[-1])
+
+
+def _merge_into(spark: SparkSession, delta: DataFrame, target: TableTarget, merge: MergeTarget) -> None:
+    """Pass a member's delta on to a consolidated table, which it starts if there is none."""
+    if merge.versioned:
+        propagate_versions(spark, merge.path, delta, merge.mapping, target.table, merge.alias, merge.mode, merge.partition_by)
+        return
+    recover_table(spark, merge.path)
+    if exists(spark, merge.path):
+        merged = propagate_changes(
+            spark.read.parquet(merge.path), delta, merge.mapping, target.table, merge.alias, merge.mode, measure=True
+        )
+    else:
+        merged = map_columns(written_rows(delta, "seq", "operation"), merge.mapping, target.table, merge.alias)
+    replace_table(merged, merge.path, merge.partition_by)
 
 
 def consolidate_table(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -20,6 +21,7 @@ __all__ = [
 ]
 
 APPLIED = "table_key string, last_id bigint, batch_id bigint"
+FAILURES = "table_key string, status string, batch_id bigint, error string, at timestamp"
 
 
 def read_stream(spark: SparkSession, source: str, format: str = "json", schema: T.StructType | None = None,
@@ -66,22 +68,29 @@ def stream_changes(
 class ChangeApplier:
     """A batch handler that merges each table's events into its copy.
 
-    Two records make a repeat harmless: the merge itself is an upsert, and of a
-    batch recorded as applied to a table, events up to its position are skipped.
-    A table's events must arrive in log order, as its one-partition stream
-    delivers them; in another batch, events at or below the last applied position
-    are late and go to ``quarantine``, as do events that cannot be decoded or
-    whose table has no target. Steps are noted in ``run_log``.
+    Three records make a repeat harmless and a late event visible: the merge
+    itself is an upsert, events up to a table's last applied position are not
+    applied again, and the positions of applied events are kept. An event at or
+    below the last position that is none of those is late, whatever the number of
+    its batch and the stream it comes from, and goes to ``quarantine``, as do
+    events that cannot be decoded or whose table has no target. Positions are
+    looked up only for a table that has events behind its last one. Steps are
+    noted in ``run_log``.
 
     Up to ``parallel`` tables are applied at a time, since one small merge does
     not fill a cluster. Tables that feed the same consolidated table take turns.
-    When one table fails, what the others did is recorded before the batch fails.
+    When one table fails, what the others did is recorded before the batch fails,
+    and the stream runs the batch again. With ``max_retries``, a table that has
+    failed so often in a row is set aside: its events go to the quarantine, the
+    batch succeeds, and the other tables move on. ``resume`` takes it up again
+    from its last applied position.
     """
 
     def __init__(self, spark: SparkSession, targets: dict[str, TableTarget], state: str, quarantine: str,
-                 run_log: str | None = None, parallel: int = 4, compact_state_every: int = 100):
+                 run_log: str | None = None, parallel: int = 4, compact_state_every: int = 100, max_retries: int | None = None):
         self.spark, self.targets, self.state, self.quarantine = spark, targets, state, quarantine
-        self.run_log, self.parallel, self.compact_state_every = run_log, parallel, compact_state_every
+        self.run_log, self.parallel, self.compact_state_every, self.max_retries = run_log, parallel, compact_state_every, max_retries
+        self.positions, self.failures = f"{state}-positions", f"{state}-failures"
 
     def applied(self) -> DataFrame:
         """Last applied position per table."""
@@ -102,51 +111,132 @@ class ChangeApplier:
 
     def _apply(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         # One row per table of the batch reaches the driver; the events stay where they are.
-        found = batch.groupBy("table_key").agg(F.max("id").alias("max_id")).collect()
-        marks = {r["table_key"]: r["max_id"] for r in found if r["table_key"] in self.targets}
-        if len(marks) < len(found):
+        found = {r["table_key"]: r for r in batch.groupBy("table_key").agg(F.min("id").alias("least"), F.max("id").alias("most")).collect()}
+        known = [k for k in found if k in self.targets]
+        if len(known) < len(found):
             self._set_aside(batch.where(~F.col("table_key").isin(list(self.targets))), batch_id)
-        done = {r["table_key"]: r for r in self.applied().where(F.col("table_key").isin(list(marks))).collect()}
+        last = {r["table_key"]: r["last_id"] for r in self.applied().where(F.col("table_key").isin(known)).collect()}
+        failed_before = self._failed(known)
         logs: list[RunLog] = []
-        finished: list[tuple[str, int, int]] = []
+        finished: list[str] = []
+        errors: list[Exception] = []
+        noted: list[tuple] = []
+
+        def note(key: str, status: str, error: Exception | None = None) -> None:
+            noted.append((key, status, batch_id, None if error is None else str(error)[:2000], datetime.now()))
 
         def sync_in_turn(keys: list[str]) -> None:
             for key in keys:
-                last, target = done[key]["last_id"] if key in done else None, self.targets[key]
+                target = self.targets[key]
                 events = batch.where(F.col("table_key") == key).drop("table_key")
-                if last is not None:
-                    if done[key]["batch_id"] != batch_id:
-                        late = events.where(F.col("id") <= last)
-                        if not late.isEmpty():
-                            self._set_aside(late.withColumn("table_key", F.lit(key)), batch_id, "behind applied position")
-                    events = events.where(F.col("id").isNull() | (F.col("id") > last))
+                if key in last:
+                    if found[key]["least"] is not None and found[key]["least"] <= last[key]:
+                        self._set_late_aside(key, events.where(F.col("id") <= last[key]), batch_id)
+                    events = events.where(F.col("id").isNull() | (F.col("id") > last[key]))
+                if failed_before.get(key) is None:
+                    self._set_aside(events.withColumn("table_key", F.lit(key)), batch_id, "table set aside")
+                    continue
                 log = RunLog(job_id=batch_id, table_name=target.table, request_type="sync_all", number_step=3 + len(target.merges))
                 logs.append(log)
-                # One folder per batch and table: a repeat overwrites its own.
-                sync_table(spark, events, target, f"{self.quarantine}/batch={batch_id}/table_key={key}", log)
-                if marks[key] is not None and (last is None or marks[key] > last):
-                    finished.append((key, marks[key], batch_id))
+                try:
+                    # One folder per batch and table: a repeat overwrites its own.
+                    sync_table(spark, events, target, f"{self.quarantine}/batch={batch_id}/table_key={key}", log)
+                except Exception as error:
+                    note(key, "failed", error)
+                    if self.max_retries is None or failed_before[key] + 1 < self.max_retries:
+                        errors.append(error)
+                    else:
+                        self._set_aside(events.withColumn("table_key", F.lit(key)), batch_id, "table set aside")
+                        note(key, "set aside", error)
+                    continue
+                if failed_before[key]:
+                    note(key, "recovered")
+                if found[key]["most"] is not None and (key not in last or found[key]["most"] > last[key]):
+                    finished.append(key)
 
         try:
             with ThreadPoolExecutor(self.parallel) as pool:
-                runs = [pool.submit(inheritable_thread_target(spark)(sync_in_turn), keys) for keys in self._turns(marks)]
+                runs = [pool.submit(inheritable_thread_target(spark)(sync_in_turn), keys) for keys in self._turns(known)]
             for run in runs:
                 run.result()
         finally:
             if finished:
-                spark.createDataFrame(finished, APPLIED).coalesce(1).write.mode("append").parquet(self.state)
+                self._record(spark, batch, {k: last.get(k) for k in finished}, {k: found[k]["most"] for k in finished}, batch_id)
+            if noted:
+                spark.createDataFrame(noted, FAILURES).coalesce(1).write.mode("append").parquet(self.failures)
             if self.run_log:
                 store_run_logs(spark, logs, self.run_log)
+        if errors:
+            raise errors[0]
         if batch_id and batch_id % self.compact_state_every == 0 and exists(spark, self.state):
             replace_table(self.applied().coalesce(1), self.state)
+            if exists(spark, self.positions):
+                kept = spark.read.parquet(self.positions).distinct()
+                replace_table(kept.repartitionByRange("table_key", "id").sortWithinPartitions("table_key", "id"), self.positions)
+
+    def _record(self, spark: SparkSession, batch: DataFrame, last: dict, most: dict, batch_id: int) -> None:
+        """Keep the positions of what was applied, then the last one of each table.
+
+        Between the two a failure leaves positions above the last one, which are applied again.
+        """
+        fresh = F.lit(False)
+        for key, position in last.items():
+            above = F.lit(True) if position is None else F.col("id") > position
+            fresh = fresh | ((F.col("table_key") == key) & above)
+        applied = batch.where(fresh & F.col("id").isNotNull()).select("table_key", F.col("id").cast("bigint").alias("id"))
+        recover_table(spark, self.positions)
+        applied.coalesce(1).write.mode("append").parquet(self.positions)
+        marks = [(key, position, batch_id) for key, position in most.items()]
+        spark.createDataFrame(marks, APPLIED).coalesce(1).write.mode("append").parquet(self.state)
+
+    def _set_late_aside(self, key: str, behind: DataFrame, batch_id: int) -> None:
+        """Of events behind the last position, those whose position was never applied nor set aside before."""
+        spark = self.spark
+        recover_table(spark, self.positions)
+        if exists(spark, self.positions):
+            seen = spark.read.schema("table_key string, id bigint").parquet(self.positions).where(F.col("table_key") == key)
+            behind = behind.join(seen.select("id"), "id", "left_anti")
+        if behind.isEmpty():
+            return
+        late = behind.withColumn("table_key", F.lit(key))
+        self._set_aside(late, batch_id, "behind applied position")
+        late.select("table_key", F.col("id").cast("bigint").alias("id")).coalesce(1).write.mode("append").parquet(self.positions)
+
+    def _failed(self, keys: list[str]) -> dict[str, int | None]:
+        """How often each table has failed in a row; None for one that is set aside."""
+        spark = self.spark
+        counts: dict[str, int | None] = dict.fromkeys(keys, 0)
+        if self.max_retries is None or not exists(spark, self.failures):
+            return counts
+        rows = spark.read.schema(FAILURES).parquet(self.failures).where(F.col("table_key").isin(keys))
+        # A table that works leaves no rows here, one that does not at most one a try.
+        settled = rows.groupBy("table_key").agg(
+            F.max(F.when(F.col("status") != "failed", F.col("at"))).alias("since"),
+            F.max_by("status", F.struct("at", (F.col("status") != "failed").alias("settles"))).alias("latest"),
+        )
+        states = rows.join(settled, "table_key").groupBy("table_key", "latest").agg(
+            F.count_if((F.col("status") == "failed") & (F.col("since").isNull() | (F.col("at") > F.col("since")))).alias("n")
+        )
+        for r in states.collect():
+            counts[r["table_key"]] = None if r["latest"] == "set aside" else r["n"]
+        return counts
 
+    def resume(self, key: str) -> None:
+        """Take up again a table that was set aside; events set aside meanwhile are in the quarantine."""
+        row = (key, "resumed", None, None, datetime.now())
+        self.spark.createDataFrame([row], FAILURES).coalesce(1).write.mode("append").parquet(self.failures)
 
     def _set_aside(self, events: DataFrame, batch_id: int, reason: str = "unregistered table") -> None:
-        """Keep events that are not applied, a folder per batch and reason, which a repeat overwrites."""
-        folder = f"batch={batch_id}" if reason == "unregistered table" else f"batch={batch_id}-late"
-        events.withColumn("reason", F.lit(reason)).write.mode("overwrite").option(
+        """Keep events that are not applied, a folder per batch and reason.
+
+        A repeat overwrites its own, but for late events: those of another stream's
+        batch of the same number lie beside them, and a repeat finds them recorded.
+        """
+        suffix = {"unregistered table": "", "behind applied position": "-late"}.get(reason, "-failed")
+        mode = "append" if suffix == "-late" else "overwrite"
+        events.withColumn("reason", F.lit(reason)).write.mode(mode).option(
             "partitionOverwriteMode", "dynamic"
-        ).partitionBy("table_key").parquet(f"{self.quarantine}/{folder}")
+        ).partitionBy("table_key").parquet(f"{self.quarantine}/batch={batch_id}{suffix}")
 
     def _turns(self, keys) -> list[list[str]]:
         """Tables grouped so that no two groups feed the same consolidated table."""

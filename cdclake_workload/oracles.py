@@ -51,6 +51,15 @@ union all
 select c_custkey, null, null, c_acctbal, c_mktsegment, null, k from upserts
 """
 
+_MOVED = """
+with party as (
+  select coalesce(s_suppkey, c_custkey) as party_key, c_custkey as c_custkey_customer_crm, c_acctbal as c_acctbal_customer_crm,
+         s_name as name, s_acctbal as s_acctbal_supplier_erp
+  from customer full join supplier on c_custkey = s_suppkey),
+changed as (select c_custkey from customer where c_custkey % 3 = 0 or c_custkey % 5 = 0),
+written as (select c_custkey + 1000000, c_custkey, c_acctbal + 1, null, null from customer where c_custkey % 3 = 0)
+"""
+
 _CATALOG = """
 with cat as (
   select 'crm' as db_type, 't_' || o_custkey as table_name, 'Col_' || o_orderkey as column_name,
@@ -341,4 +350,31 @@ ORACLES = {
         union all select 2, 10, 2, 'success', count(distinct o_custkey) from orders""",
     "stream_run_log": _RUNS,
     "write_table": "select * from orders",
+    "apply_changes_versioned": _APPLIED,
+    "read_versions": _APPLIED.replace("select * from applied", """,
+        early as (select * from (select *, row_number() over (partition by c_custkey order by id desc) as rn from log
+                                 where id <= (select max(id) from log) // 3) where rn = 1),
+        versions as (
+          select 1 as version, c_mktsegment, c_custkey from customer
+          union all select 2, c_mktsegment, c_custkey from customer where c_custkey not in (select c_custkey from early)
+          union all select 2, c_mktsegment, c_custkey from early where operation <> 3
+          union all select 3, c_mktsegment, c_custkey from applied)
+        select version, c_mktsegment, count(*) as n_rows, max(c_custkey) as greatest from versions group by all"""),
+    "propagate_moved_key": _MOVED + """
+        select * from party where party_key not in (select c_custkey from changed)
+        union all select * from written""",
+    "propagate_moved_key_patch": _MOVED + """
+        select party_key, case when c.c_custkey is null then c_custkey_customer_crm end as c_custkey_customer_crm,
+               case when c.c_custkey is null then c_acctbal_customer_crm end as c_acctbal_customer_crm, name, s_acctbal_supplier_erp
+        from party left join changed c on party_key = c.c_custkey
+        where c.c_custkey is null or name is not null or s_acctbal_supplier_erp is not null
+        union all select * from written""",
+    "stream_restarted": _LOG + """
+        select id, operation, 'behind applied position' as reason from log
+        where id % 7 = 0 and id <= (select max(id) from log where id <= (select max(id) from log) * 2 // 3 and id % 7 <> 0)""",
+    "stream_failing_table": _LOG + """
+        select stem || route as table_key, case route when 'supplier' then 'table set aside' else 'unregistered table' end as reason,
+               count(*) as n from log where route <> 'customer' group by all
+        union all select stem || route, 'applied', max(id) from log where route = 'customer' group by all""",
+    "stream_to_versions": _PROPAGATED,
 }

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+from contextlib import suppress
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cdclake_workload import inputs as fx
@@ -20,6 +23,7 @@ from cdclake.operators.envelope import (
     decode_changes as decode, decode_envelope as decode_messages, decode_requests as decode_request_messages,
     encode_changes as encode, table_key, typed_entries,
 )
+from cdclake.operators.versioned import apply_to_versions, with_before_images
 from cdclake.operators.progress import (
     append_run_log as append_log, cdc_lag as lag_of, change_watermarks as watermarks, latest_per_key as newest_rows,
     run_progress as progress,
@@ -35,6 +39,7 @@ from cdclake.session import work_path
 from cdclake.sources.jdbc import snapshot_table as snapshot
 from cdclake.sources.log import change_messages, read_changes as read_range, route_changes as route, union_changes as union_logs
 from cdclake.sources.tables import export_csv as export, write_table as write_table_to
+from cdclake.sources.versions import read_table, start_versions
 from cdclake.streaming.stream import (
     ChangeApplier, MergeTarget, QueryRunner, TableMerger, TableTarget, read_stream, stream_changes as stream,
     stream_run_log as copy_run_log,
@@ -202,6 +207,30 @@ def apply_changes_partitioned(spark, sf):
     return apply_partitioned(spark, path, rows.where(F.col("seq") > newest // 3), KEY, "c_mktsegment")
 
 
+def _versioned_customer(spark, sf):
+    """Three versions of customer: as it was, after a third of the log, which brings a column, and after the rest."""
+    path = work_path(spark, "customer")
+    start_versions(fx.table(spark, sf, "customer"), path, "c_mktsegment")
+    rows, newest = _rows(spark, sf), fx.last_id(spark, sf)
+    apply_to_versions(spark, path, rows.where(F.col("seq") <= newest // 3), KEY, "c_mktsegment")
+    apply_to_versions(spark, path, rows.where(F.col("seq") > newest // 3), KEY, "c_mktsegment")
+    return path
+
+
+def apply_changes_versioned(spark, sf):
+    return read_table(spark, _versioned_customer(spark, sf))
+
+
+def read_versions(spark, sf):
+    """Every version of the table as it was."""
+    path = _versioned_customer(spark, sf)
+    first, second, third = (
+        read_table(spark, path, n).groupBy("c_mktsegment").agg(F.count("*").alias("n_rows"), F.max(KEY).alias("greatest"))
+        .withColumn("version", F.lit(n)) for n in (1, 2, 3)
+    )
+    return first.unionByName(second).unionByName(third)
+
+
 def align_schemas_string(spark, sf):
     left = fx.table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").cast("string").alias("c_acctbal"), "c_name")
     right = fx.table(spark, sf, "orders").select(
@@ -257,6 +286,34 @@ def propagate_patch(spark, sf):
     return propagate_changes(_party(spark, sf), _rows(spark, sf), fx.PARTY_MAPPING, "customer", "crm", mode="patch")
 
 
+def _moved(spark, sf, mode):
+    """Every third customer gets a new value in the column that consolidated rows are matched by; every fifth other one goes."""
+    customer, supplier = fx.table(spark, sf, "customer"), fx.table(spark, sf, "supplier")
+    mapping = [
+        Mapping("party_key", ("crm.customer.code", "erp.supplier.s_suppkey"), unique=True), Mapping("name", ("erp.supplier.s_name",)),
+    ]
+    copy = customer.select(KEY, F.col(KEY).alias("code"), "c_acctbal")
+    party = consolidate_tables(
+        map_member(copy, mapping, "customer", "crm"),
+        map_member(supplier.select("s_suppkey", "s_name", "s_acctbal"), mapping, "supplier", "erp"), mapping,
+    )
+    moves = F.col(KEY) % 3 == 0
+    changes = customer.where(moves | (F.col(KEY) % 5 == 0)).select(
+        KEY, F.when(moves, F.col(KEY) + 1_000_000).alias("code"), F.when(moves, F.col("c_acctbal") + 1).alias("c_acctbal"),
+        F.when(moves, 2).otherwise(3).alias("operation"), F.col(KEY).alias("seq"),
+    )
+    full = with_before_images(changes, copy, KEY, mapping, "customer", "crm")
+    return propagate_changes(party, full, mapping, "customer", "crm", mode)
+
+
+def propagate_moved_key(spark, sf):
+    return _moved(spark, sf, "replace")
+
+
+def propagate_moved_key_patch(spark, sf):
+    return _moved(spark, sf, "patch")
+
+
 def targets_of(spark, sf):
     return definitions_of(fx.definitions(spark, sf), "t_5", "db_F").select("merge_table_name")
 
@@ -479,6 +536,56 @@ def stream_late_events(spark, sf):
     return spark.read.parquet(f"{base}/quarantine").select("id", "operation", "reason")
 
 
+def stream_restarted(spark, sf):
+    """Three batches, the second numbered from 0 again, the last with the first's number, some of its events, and late ones."""
+    base = work_path(spark, "restarted")
+    log, newest = fx.change_log(spark, sf), fx.last_id(spark, sf)
+    applier = ChangeApplier(
+        spark, {fx.CUSTOMER.key: TableTarget(f"{base}/customer", KEY, "customer")},
+        state=f"{base}/applied", quarantine=f"{base}/quarantine",
+    )
+    n, in_order = F.col("id"), F.col("id") % 7 != 0
+    applier(log.where((n <= newest // 3) & in_order), 3)
+    applier(log.where((n > newest // 3) & (n <= newest * 2 // 3) & in_order), 0)
+    applier(log.where((n > newest * 2 // 3) | (n <= newest // 6) | ~in_order), 3)
+    return spark.read.parquet(f"{base}/quarantine").select("id", "operation", "reason")
+
+
+def stream_failing_table(spark, sf):
+    """A table that cannot be written beside one that can: after two tries it is set aside, and the other moves on."""
+    base = work_path(spark, "failing")
+    log, middle = fx.change_log(spark, sf, routed=True), fx.last_id(spark, sf) // 2
+    fx.table(spark, sf, "region").select("r_name").write.text(f"{base}/supplier")  # no Parquet
+    key_of = {t: fx.CUSTOMER.key.replace("customer", t) for t in ("customer", "supplier")}
+    applier = ChangeApplier(
+        spark, {key: TableTarget(f"{base}/{t}", KEY, t) for t, key in key_of.items()},
+        state=f"{base}/applied", quarantine=f"{base}/quarantine", max_retries=2,
+    )
+    first = log.where(F.col("id") <= middle)
+    with suppress(PySparkException, Py4JJavaError):  # a stream would run the batch again
+        applier(first, 0)
+    applier(first, 0)
+    applier(log.where(F.col("id") > middle), 1)
+    aside = spark.read.parquet(f"{base}/quarantine").groupBy("table_key", "reason").agg(F.count("*").alias("n"))
+    return aside.unionByName(applier.applied().select("table_key", F.lit("applied").alias("reason"), F.col("last_id").alias("n")))
+
+
+def stream_to_versions(spark, sf):
+    """A copy and a consolidated table kept as versions, fed by a stream."""
+    base = work_path(spark, "stream")
+    start_versions(fx.table(spark, sf, "customer"), f"{base}/customer", "c_mktsegment")
+    start_versions(_party(spark, sf), f"{base}/party")
+    fx.change_log(spark, sf).write.parquet(f"{base}/log")
+    merge = MergeTarget(f"{base}/party", fx.PARTY_MAPPING, "crm", versioned=True)
+    applier = ChangeApplier(
+        spark,
+        {fx.CUSTOMER.key: TableTarget(f"{base}/customer", KEY, "customer", partition_by="c_mktsegment", merges=[merge], versioned=True)},
+        state=f"{base}/applied", quarantine=f"{base}/quarantine",
+    )
+    stream(spark, f"{base}/log", applier, f"{base}/checkpoint", format="parquet", once=True).awaitTermination()
+    return read_table(spark, f"{base}/party")
+
+
 def stream_to_merge_table(spark, sf):
     base = work_path(spark, "stream")
     write_table_to(fx.table(spark, sf, "customer"), f"{base}/customer", "c_mktsegment")
@@ -552,4 +659,6 @@ ALL = [
     schema_alerts, resolve_aliases, run_query, run_queries, export_csv, percent_returned, percent_by_sql,
     change_watermarks, cdc_lag, latest_per_key, run_progress, append_run_log, snapshot_table, stream_changes,
     stream_to_merge_table, consolidate_table, server_watermarks, stream_merge_requests, stream_queries, stream_run_log, write_table,
+    apply_changes_versioned, read_versions, propagate_moved_key, propagate_moved_key_patch, stream_restarted,
+    stream_failing_table, stream_to_versions,
 ]

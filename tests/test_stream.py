@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -7,6 +8,7 @@ from cdclake.model import CHANGE, Mapping, RUN_LOG
 from cdclake.operators.consolidate import map_columns
 from cdclake.operators.progress import append_run_log, run_event, run_progress
 from cdclake.sources.tables import write_table
+from cdclake.sources.versions import read_table
 from cdclake.streaming.stream import (
     ChangeApplier, MergeTarget, QueryRunner, TableMerger, TableTarget, read_stream, stream_changes, stream_run_log,
 )
@@ -90,9 +92,17 @@ def test_a_failed_batch_runs_again(spark, rows, lake):
     assert rows(spark.read.parquet(f"{lake}/t")) == [(1, "x2"), (2, "y")]
 
 
+def unreadable(path):
+    """A folder whose only Parquet file is none."""
+    os.makedirs(path)
+    with open(f"{path}/part.parquet", "w") as out:
+        out.write("not Parquet")
+    return path
+
+
 def test_a_failing_step_is_noted(spark, lake):
     handler = applier(spark, lake)
-    handler.targets["cdc-h-1-db-t"].merges[0].path = f"{lake}/missing"
+    handler.targets["cdc-h-1-db-t"].merges[0].path = unreadable(f"{lake}/broken")
     emit(spark, lake, (1, "t", U, '{"id":"1","v":"x2"}'))
     with pytest.raises(Exception):
         handler(spark.read.schema(CHANGE).json(f"{lake}/log"), 0)
@@ -111,7 +121,7 @@ def test_several_tables_side_by_side(spark, rows, tmp_path):
     write_table(spark.createDataFrame([(1,)], "key bigint"), f"{base}/party")
     handler = ChangeApplier(spark, targets, f"{base}/applied", f"{base}/bad", f"{base}/runs", parallel=3)
     assert [len(t) for t in handler._turns(targets)] == [3, 1, 1]
-    targets["cdc-h-1-db-t4"].path = f"{base}/nowhere"
+    targets["cdc-h-1-db-t4"].path = unreadable(f"{base}/broken")
     emit(spark, base, *[(i + 1, f"t{i}", U, json.dumps({"id": "1", "v": f"n{i}"})) for i in range(5)])
     batch = spark.read.schema(CHANGE).json(f"{base}/log")
     with pytest.raises(Exception):
@@ -166,3 +176,66 @@ def test_partitioned_target(spark, rows, tmp_path):
     emit(spark, base, (1, "t", U, '{"id":"1","v":"y"}'))
     run(spark, base, handler)
     assert rows(spark.read.parquet(f"{base}/t"), "id", "v") == [(1, "y"), (2, "y")]
+
+
+def test_late_events_whatever_the_batch_number(spark, rows, lake):
+    """A new checkpoint numbers its batches anew; what is late is told by position, not by number."""
+    emit(spark, lake, *[(i, "t", U, json.dumps({"id": "1", "v": f"x{i}"})) for i in (10, 20, 30, 40, 15)])
+    events, handler = spark.read.schema(CHANGE).json(f"{lake}/log"), applier(spark, lake)
+    handler(events.where("id in (10, 20)"), 3)
+    handler(events.where("id in (30, 40)"), 0)
+    for _ in range(2):
+        handler(events.where("id in (15, 40)"), 3)
+    assert rows(spark.read.parquet(f"{lake}/bad"), "id", "reason") == [(15, "behind applied position")]
+    assert rows(spark.read.parquet(f"{lake}/t")) == [(1, "x40"), (2, "y")]
+    assert rows(handler.applied(), "last_id") == [(40,)]
+
+
+def test_a_table_that_keeps_failing_is_set_aside(spark, rows, tmp_path):
+    base = str(tmp_path)
+    write_table(spark.createDataFrame([(1, "x")], "id bigint, v string"), f"{base}/t")
+    targets = {"cdc-h-1-db-t": TableTarget(f"{base}/t", "id", "t"), "cdc-h-1-db-u": TableTarget(unreadable(f"{base}/u"), "id", "u")}
+    handler = ChangeApplier(spark, targets, f"{base}/applied", f"{base}/bad", f"{base}/runs", max_retries=2)
+    emit(spark, base, *[(i, "tu"[i % 2], U, json.dumps({"id": "1", "v": f"n{i}"})) for i in range(1, 7)])
+    events = spark.read.schema(CHANGE).json(f"{base}/log")
+    with pytest.raises(Exception):
+        handler(events.where("id <= 2"), 0)
+    assert handler._failed(list(targets)) == {"cdc-h-1-db-t": 0, "cdc-h-1-db-u": 1}
+    handler(events.where("id <= 2"), 0)
+    handler(events.where("id in (3, 4)"), 1)
+    assert rows(spark.read.parquet(f"{base}/t"), "v") == [("n4",)]
+    assert rows(spark.read.parquet(f"{base}/bad"), "id", "reason") == [(1, "table set aside"), (3, "table set aside")]
+    statuses = spark.read.parquet(f"{base}/runs").select("table_name", "status").distinct()
+    assert ("t", "success") in rows(statuses) and ("u", "fail") in rows(statuses)
+    targets["cdc-h-1-db-u"].path = f"{base}/u2"
+    handler.resume("cdc-h-1-db-u")
+    handler(events.where("id >= 5"), 2)
+    assert rows(spark.read.parquet(f"{base}/u2"), "id", "v") == [(1, "n5")]
+    assert rows(handler.applied(), "table_key", "last_id") == [("cdc-h-1-db-t", 6), ("cdc-h-1-db-u", 5)]
+
+
+@pytest.mark.parametrize("mode", ["replace", "patch"])
+def test_targets_kept_as_versions(spark, rows, tmp_path, mode):
+    """Copy and consolidated table start from the stream, and a unique value that changes leaves no row."""
+    base = str(tmp_path)
+    mapping = [Mapping("name", ("crm.t.v",), unique=True)]
+    merge = MergeTarget(f"{base}/party", mapping, "crm", mode, versioned=True)
+    target = TableTarget(f"{base}/t", "id", "t", merges=[merge], versioned=True)
+    handler = ChangeApplier(spark, {"cdc-h-1-db-t": target}, f"{base}/applied", f"{base}/bad")
+    emit(spark, base, (1, "t", I, '{"id":"1","v":"a"}'), (2, "t", I, '{"id":"2","v":"b"}'))
+    run(spark, base, handler)
+    emit(spark, base, (3, "t", U, '{"id":"1","v":"c"}'))
+    run(spark, base, handler)
+    assert rows(read_table(spark, f"{base}/t"), "id", "v") == [(1, "c"), (2, "b")]
+    assert rows(read_table(spark, f"{base}/party"), "name", "id_t_crm") == [("b", 2), ("c", 1)]
+
+
+def test_a_plain_consolidated_table_is_started(spark, rows, tmp_path):
+    base = str(tmp_path)
+    merge = MergeTarget(f"{base}/party", MAPPING, "crm", partition_by="v_t_crm")
+    handler = ChangeApplier(
+        spark, {"cdc-h-1-db-t": TableTarget(f"{base}/t", "id", "t", merges=[merge])}, f"{base}/applied", f"{base}/bad"
+    )
+    emit(spark, base, (1, "t", I, '{"id":"1","v":"a"}'), (2, "t", I, '{"id":"2","v":"b"}'))
+    run(spark, base, handler)
+    assert rows(spark.read.parquet(f"{base}/party"), "key", "v_t_crm") == [(1, "a"), (2, "b")]
