@@ -223,16 +223,18 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
                 continue
             over = [np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (bits[i] & ~bits[j], bits[j] & ~bits[i])]
             ok = _admits(n[i], n[j], *over, num, den)
-            j = j[ok]
-            if len(j):
+            j, bits_apart = j[ok], (over[0] + over[1])[ok]
+            if best:
+                # Nearest first; one that the whole bitmaps admit is enough, so copies of one text cost a look each.
+                j = j[np.argsort(bits_apart, kind="stable")]
+                j = next((j[k : k + 1] for k in range(len(j)) if _admits(n[i], n[j[k]], *_beyond(whole[i], whole[j[k]]), num, den)), j[:0])
+                bits_apart = np.array([sum(_beyond(whole[i], whole[k])) for k in j], np.int64)
+            elif len(j):
                 fine = np.array([_beyond(whole[i], whole[k]) for k in j], np.int64)
                 ok = _admits(n[i], n[j], *fine.T, num, den)
                 j, bits_apart = j[ok], fine.sum(axis=1)[ok]
             if not len(j):
                 continue
-            if best:
-                nearest = [np.argmin(bits_apart)]
-                j, bits_apart = j[nearest], bits_apart[nearest]
             found.append((np.repeat(rep[i], len(j)), rep[j], bits_apart))
         return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
 
