@@ -18,11 +18,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting to delete the shuffle files of a query at its end, not when the driver's memory is next cleared.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read again, which cuts its lineage."""
+    """The frame written to the shared folder and read again, which cuts its lineage.
+
+    The files of its shuffles go with the end of the write, since what is stored needs them no more.
+    """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
