@@ -17,7 +17,9 @@ SHINGLE, SIMILAR = 5, (80, 100)
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality rules keep."""
-    return quality_rules(docs, table(spark, sf_dir, "labels")).where("kept").select(*DOCUMENTS)
+    judged = quality_rules(docs, table(spark, sf_dir, "labels"))
+    # A generator, not a filter: a pushed-down filter would count every text once per condition.
+    return judged.select(F.inline(F.when(F.col("kept"), F.array(F.struct(*DOCUMENTS)))))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
