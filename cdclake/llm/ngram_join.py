@@ -20,7 +20,8 @@ Order of work. Every class is compared with the class that is the least under
 most of its keys, and components are formed. Keys that hold several components
 then offer, for each class, the likeliest partner of another component; and in a last pass every pair
 of different components under a key that the bitmaps admit. After that pass no
-link between two components can be left. Keys with many classes are cut into
+link between two components can be left. Of keys that hold the same classes, told
+by two hashes, both passes look at one. Keys with many classes are cut into
 blocks, and each pair of blocks is a group of its own, so no task holds a whole
 large key.
 
@@ -294,8 +295,13 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     by_class = met.join(class_of.select("member", F.col("rep").alias("class")).distinct(), F.col("rep") == F.col("member")).select(
         "key", F.col("class").alias("rep")).distinct()
     by_class = stored(by_class, "class-keys")
-    leads = by_class.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shared = stored(by_class.join(leads, "key"), "shared-classes")
+    leads = stored(by_class.groupBy("key").agg(
+        F.min("rep").alias("lead"), F.count("*").alias("n"),
+        *[F.bit_xor(F.xxhash64(F.lit(i), "rep")).alias(f"sum{i}") for i in (0, 1)],
+    ).where("n > 1"), "key-classes")
+    shared = stored(by_class.join(leads.select("key", "lead"), "key"), "shared-classes")
+    # Near copies share most of their parts: of keys that hold the same classes one is enough to compare them under.
+    telling = leads.groupBy("n", "lead", "sum0", "sum1").agg(F.min("key").alias("key")).select("key")
 
     def elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in slices(batches):
@@ -314,6 +320,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     release(spark)
     # Rows that occur often count once, so that a block has no more rows than classes.
     small = stored(sets.select("rep", "n", "bitmap").distinct(), "bitmaps")
+    compared = stored(shared.select("key", "rep").join(telling, "key", "left_semi"), "compared-classes")
     # Each class and the least class of most of its keys. A pair to be settled carries a whole set through a
     # shuffle, so each step leaves as few as it can to the next.
     star = shared.where("rep <> lead").groupBy("rep", "lead").agg(F.count("*").alias("n")).groupBy("rep").agg(
@@ -322,7 +329,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     links = verified(star.select(F.col("rep").alias("a"), F.col("lead").alias("b")), small, sets, num, den)
     for best in (True, False):
         named = components(links)
-        with_component = shared.select("key", "rep").join(named.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        with_component = compared.join(named.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
             "component", F.coalesce("component", "rep")
         )
         mixed = with_component.groupBy("key").agg(
