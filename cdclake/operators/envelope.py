@@ -12,6 +12,7 @@ from cdclake.operators.columns import col
 
 _REQUESTS = {"apply": APPLY_REQUEST, "merge": MERGE_REQUEST, "query": QUERY_REQUEST}
 _BROKEN = "_broken"
+UNFIT = "values that do not fit"
 
 
 def table_key(url: str = "database_url", port: str = "database_port", name: str = "database_name",
@@ -162,13 +163,15 @@ def decode_changes(
 
     Rows carry the columns named in the batch's ``schema`` texts (or
     ``columns``), the operation, the log position and, when given, the load
-    stamp. A value that does not fit its type becomes NULL. The second frame
-    holds events without a position, a known operation or a readable image, with
-    the ``reason``; together the two frames hold every event.
+    stamp. The second frame holds events without a position, a known operation
+    or a readable image, with the ``reason``; together the two frames hold every
+    event. A value that does not fit its type becomes NULL in the first frame, and
+    its whole event is in the second one too, with the names of such columns as
+    the reason, so that no value is lost unseen.
 
     Each frame parses the events when it is used. An ``observation`` counts the
-    ``undecoded`` events while the rows are computed, so that the second frame
-    need only be used if there are any.
+    ``undecoded`` and the ``unfit`` events while the rows are computed, so that
+    the second frame need only be used if there are any.
     """
     if columns is None:
         columns = image_columns(changes, dialect, number_as)
@@ -195,16 +198,27 @@ def decode_changes(
         .when(F.col("value").isNull(), "no row image")
         .when(F.col(f"_image.{_BROKEN}").isNotNull() | F.col("_image").isNull(), "broken row image")
     )
-    counted = events if observation is None else events.observe(observation, F.count(reason).alias("undecoded"))
-    fields, slot = [], 0
+    fields, unfit, slot = [], [], 0
     for c in columns:
         texts = [F.col(f"_image._{slot + i}") for i in range(len(c.spellings))]
         slot += len(c.spellings)
-        fields.append(_typed(F.coalesce(*texts), c.kind).alias(c.name))
+        text = F.coalesce(*texts)
+        value = _typed(text, c.kind)
+        fields.append(value.alias(c.name))
+        if not isinstance(c.kind, (T.StringType, T.BinaryType)):
+            unfit.append((c.name, text.isNotNull() & value.isNull()))
+    misfit = F.lit(False)
+    for _, lost in unfit:
+        misfit = misfit | lost
+    counted = events if observation is None else events.observe(
+        observation, F.count(reason).alias("undecoded"), F.count_if(reason.isNull() & misfit).alias("unfit")
+    )
     # A generator, not a filter: a pushed-down filter would parse each image twice.
     row = F.struct(*fields, F.col("operation").alias(op), F.col("id").cast("bigint").alias(seq))
     rows = counted.select(F.inline(F.when(reason.isNull(), F.array(row))))
     if modified is not None:
         rows = rows.withColumn(MODIFIED, F.lit(modified))
-    undecoded = events.select(*[col(c) for c in changes.columns], reason.alias("reason")).where("reason is not null")
-    return rows, undecoded
+    named = F.concat_ws(", ", *[F.when(lost, F.lit(name)) for name, lost in unfit]) if unfit else F.lit("")
+    reason = F.coalesce(reason, F.when(misfit, F.concat(F.lit(f"{UNFIT}: "), named)))
+    rejected = events.select(*[col(c) for c in changes.columns], reason.alias("reason")).where("reason is not null")
+    return rows, rejected

@@ -33,7 +33,11 @@ class MergeTarget:
 
 @dataclass
 class TableTarget:
-    """Where and how the changes of one table are applied; ``versioned`` keeps the copy as versions."""
+    """Where and how the changes of one table are applied.
+
+    ``versioned`` keeps the copy as versions. ``start_after`` is the position the
+    copy holds from its snapshot, and ``max_retries`` overrides the handler's.
+    """
 
     path: str
     key: str
@@ -42,6 +46,8 @@ class TableTarget:
     partition_by: str = ""
     merges: list[MergeTarget] = field(default_factory=list)
     versioned: bool = False
+    start_after: int | None = None
+    max_retries: int | None = None
 
 
 class RunLog:
@@ -81,13 +87,13 @@ def sync_table(spark: SparkSession, events: DataFrame, target: TableTarget, quar
     """
     seen = Observation()
     with log.step(1, "decode changes"):
-        rows, undecoded = decode_changes(events, target.dialect, observation=seen)
+        rows, rejected = decode_changes(events, target.dialect, observation=seen)
     readable = len(rows.columns) > 2
     if readable:
         with log.step(2, "compact changes"):
             delta, staged = stage_delta(rows, target.key)
-    if not readable or seen.get["undecoded"]:
-        undecoded.write.mode("overwrite").parquet(quarantine)
+    if not readable or seen.get["undecoded"] or seen.get["unfit"]:
+        rejected.write.mode("overwrite").parquet(quarantine)
     if not readable:
         return  # no event names a column
     work = [staged]

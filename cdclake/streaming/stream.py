@@ -10,18 +10,19 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cdclake.model import CHANGE, Mapping, RUN_LOG, TableRef, merge_table_path
+from cdclake.model import APPLY_REQUEST, CHANGE, Mapping, RUN_LOG, TableRef, merge_table_path
 from cdclake.operators.envelope import decode_envelope, decode_requests, table_key
 from cdclake.plans.query import run_queries
 from cdclake.plans.sync import MergeTarget, RunLog, TableTarget, consolidate_table, store_run_logs, sync_table
 from cdclake.sources.tables import exists, recover_table, replace_table
 
 __all__ = [
-    "ChangeApplier", "MergeTarget", "QueryRunner", "TableMerger", "TableTarget", "read_stream", "stream_changes", "stream_run_log",
+    "ApplyRegistry", "ChangeApplier", "MergeTarget", "QueryRunner", "TableMerger", "TableTarget", "read_stream", "stream_changes", "stream_run_log",
 ]
 
 APPLIED = "table_key string, last_id bigint, batch_id bigint"
 FAILURES = "table_key string, status string, batch_id bigint, error string, at timestamp"
+UNREGISTERED = "unregistered table"
 
 
 def read_stream(spark: SparkSession, source: str, format: str = "json", schema: T.StructType | None = None,
@@ -84,11 +85,18 @@ class ChangeApplier:
     failed so often in a row is set aside: its events go to the quarantine, the
     batch succeeds, and the other tables move on. ``resume`` takes it up again
     from its last applied position.
+
+    ``targets`` may be a registry of apply requests, which is read for every batch.
+    A table registered after some of its events came gets those from the
+    quarantine, with its first batch; events up to its ``start_after`` are in its
+    snapshot and are left out.
     """
 
-    def __init__(self, spark: SparkSession, targets: dict[str, TableTarget], state: str, quarantine: str,
+    def __init__(self, spark: SparkSession, targets: dict[str, TableTarget] | Callable[[], dict[str, TableTarget]], state: str, quarantine: str,
                  run_log: str | None = None, parallel: int = 4, compact_state_every: int = 100, max_retries: int | None = None):
-        self.spark, self.targets, self.state, self.quarantine = spark, targets, state, quarantine
+        self.spark, self.state, self.quarantine = spark, state, quarantine
+        self.registry = targets if callable(targets) else None
+        self.targets: dict[str, TableTarget] = {} if callable(targets) else targets
         self.run_log, self.parallel, self.compact_state_every, self.max_retries = run_log, parallel, compact_state_every, max_retries
         self.positions, self.failures = f"{state}-positions", f"{state}-failures"
 
@@ -102,20 +110,39 @@ class ChangeApplier:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if self.registry:
+            self.targets = self.registry()
+        begun = {r["table_key"]: r["last_id"] for r in self.applied().where(F.col("table_key").isin(list(self.targets))).collect()}
+        batch = batch.drop("table_key").withColumn("table_key", table_key())
+        starting = self._failed([key for key in self.targets if key not in begun])
+        waiting = self._waiting([key for key, failures in starting.items() if failures is not None])
+        if waiting is not None:
+            batch = batch.unionByName(waiting, allowMissingColumns=True)
         # The batch is read several times; the source should be read once.
-        batch = batch.drop("table_key").withColumn("table_key", table_key()).persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._apply(spark, batch, batch_id)
+            self._apply(spark, batch, batch_id, begun)
         finally:
             batch.unpersist()
 
-    def _apply(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
+    def _waiting(self, keys: list[str]) -> DataFrame | None:
+        """Events set aside before their table was registered; None without such a table.
+
+        One event that was set aside twice counts once, as compaction takes equal positions for one.
+        """
+        if not keys or not exists(self.spark, self.quarantine):
+            return None
+        schema = T.StructType([*CHANGE.fields, *(T.StructField(c, T.StringType()) for c in ("reason", "batch", "table_key"))])
+        aside = self.spark.read.schema(schema).parquet(self.quarantine)
+        return aside.where(F.col("table_key").isin(keys) & (F.col("reason") == UNREGISTERED)).drop("reason", "batch")
+
+    def _apply(self, spark: SparkSession, batch: DataFrame, batch_id: int, begun: dict[str, int]) -> None:
         # One row per table of the batch reaches the driver; the events stay where they are.
         found = {r["table_key"]: r for r in batch.groupBy("table_key").agg(F.min("id").alias("least"), F.max("id").alias("most")).collect()}
         known = [k for k in found if k in self.targets]
         if len(known) < len(found):
             self._set_aside(batch.where(~F.col("table_key").isin(list(self.targets))), batch_id)
-        last = {r["table_key"]: r["last_id"] for r in self.applied().where(F.col("table_key").isin(known)).collect()}
+        last = {k: self.targets[k].start_after for k in known if self.targets[k].start_after is not None} | begun
         failed_before = self._failed(known)
         logs: list[RunLog] = []
         finished: list[str] = []
@@ -130,7 +157,7 @@ class ChangeApplier:
                 target = self.targets[key]
                 events = batch.where(F.col("table_key") == key).drop("table_key")
                 if key in last:
-                    if found[key]["least"] is not None and found[key]["least"] <= last[key]:
+                    if key in begun and found[key]["least"] is not None and found[key]["least"] <= last[key]:
                         self._set_late_aside(key, events.where(F.col("id") <= last[key]), batch_id)
                     events = events.where(F.col("id").isNull() | (F.col("id") > last[key]))
                 if failed_before.get(key) is None:
@@ -143,7 +170,8 @@ class ChangeApplier:
                     sync_table(spark, events, target, f"{self.quarantine}/batch={batch_id}/table_key={key}", log)
                 except Exception as error:
                     note(key, "failed", error)
-                    if self.max_retries is None or failed_before[key] + 1 < self.max_retries:
+                    allowed = self._retries(key)
+                    if allowed is None or failed_before[key] + 1 < allowed:
                         errors.append(error)
                     else:
                         self._set_aside(events.withColumn("table_key", F.lit(key)), batch_id, "table set aside")
@@ -206,7 +234,7 @@ class ChangeApplier:
         """How often each table has failed in a row; None for one that is set aside."""
         spark = self.spark
         counts: dict[str, int | None] = dict.fromkeys(keys, 0)
-        if self.max_retries is None or not exists(spark, self.failures):
+        if all(self._retries(key) is None for key in keys) or not exists(spark, self.failures):
             return counts
         rows = spark.read.schema(FAILURES).parquet(self.failures).where(F.col("table_key").isin(keys))
         # A table that works leaves no rows here, one that does not at most one a try.
@@ -221,18 +249,22 @@ class ChangeApplier:
             counts[r["table_key"]] = None if r["latest"] == "set aside" else r["n"]
         return counts
 
+    def _retries(self, key: str) -> int | None:
+        own = self.targets[key].max_retries
+        return self.max_retries if own is None else own
+
     def resume(self, key: str) -> None:
         """Take up again a table that was set aside; events set aside meanwhile are in the quarantine."""
         row = (key, "resumed", None, None, datetime.now())
         self.spark.createDataFrame([row], FAILURES).coalesce(1).write.mode("append").parquet(self.failures)
 
-    def _set_aside(self, events: DataFrame, batch_id: int, reason: str = "unregistered table") -> None:
+    def _set_aside(self, events: DataFrame, batch_id: int, reason: str = UNREGISTERED) -> None:
         """Keep events that are not applied, a folder per batch and reason.
 
         A repeat overwrites its own, but for late events: those of another stream's
         batch of the same number lie beside them, and a repeat finds them recorded.
         """
-        suffix = {"unregistered table": "", "behind applied position": "-late"}.get(reason, "-failed")
+        suffix = {UNREGISTERED: "", "behind applied position": "-late"}.get(reason, "-failed")
         mode = "append" if suffix == "-late" else "overwrite"
         events.withColumn("reason", F.lit(reason)).write.mode(mode).option(
             "partitionOverwriteMode", "dynamic"
@@ -250,6 +282,59 @@ class ChangeApplier:
         return [names for names, _ in groups]
 
 
+class ApplyRegistry:
+    """A batch handler for a stream of apply requests, and the targets they ask for.
+
+    Requests are kept in ``path``, a folder per batch that a repeat overwrites.
+    A request without a host, port, database, table or key column is kept apart with
+    the ``reason``. Called without arguments, as by ``ChangeApplier`` for every
+    batch, the registry gives a target per change stream: that of its newest
+    request, which is the one of the latest batch, then of the greatest job and start position.
+    One row per table reaches the driver. ``merges`` names the consolidated tables
+    that a table feeds.
+    """
+
+    REQUIRED = ("server_host", "port", "database", "table", "identity_key")
+
+    def __init__(self, spark: SparkSession, path: str, root: str = "/user",
+                 merges: Callable[[TableRef], list[MergeTarget]] | None = None, versioned: bool = False):
+        self.spark, self.path, self.root, self.merges, self.versioned = spark, path, root, merges, versioned
+
+    def __call__(self, batch: DataFrame | None = None, batch_id: int = 0) -> dict[str, TableTarget] | None:
+        if batch is None:
+            return self.targets()
+        requests = decode_requests(batch, "apply")
+        missing = F.coalesce(*[F.when(F.coalesce(F.trim(c), F.lit("")) == "", F.lit(f"no {c}")) for c in self.REQUIRED])
+        judged = requests.withColumn("reason", missing).withColumn("valid", F.col("reason").isNull())
+        judged.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        return None
+
+    def requests(self) -> DataFrame:
+        """Every request with its batch; ``reason`` says why one is refused."""
+        schema = T.StructType([
+            *APPLY_REQUEST.fields, T.StructField("topic_cdc", T.StringType()), T.StructField("reason", T.StringType()),
+            T.StructField("valid", T.BooleanType()), T.StructField("batch", T.LongType()),
+        ])
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path)
+
+    def targets(self) -> dict[str, TableTarget]:
+        """The newest request's target per change stream."""
+        rank = F.struct("batch", F.coalesce("job_id", F.lit(-1)), F.coalesce("latest_offset", F.lit(-1)))
+        accepted = self.requests().where("valid")
+        newest = accepted.groupBy("topic_cdc").agg(F.max_by(F.struct(*[c for c in accepted.columns if c != "topic_cdc"]), rank).alias("r"))
+        return {row["topic_cdc"]: self._target(row["r"]) for row in newest.collect()}
+
+    def _target(self, r) -> TableTarget:
+        dialect = (r["database_type"] or "mysql").lower()
+        ref = TableRef(dialect, r["server_host"], r["port"], r["database"], r["table"], r["username"])
+        return TableTarget(
+            ref.path(self.root), r["identity_key"], r["table"], dialect, r["partition_by"] or "",
+            self.merges(ref) if self.merges else [], self.versioned, r["latest_offset"], r["max_retries"],
+        )
+
+
 class QueryRunner:
     """A batch handler for a stream of query requests: runs each, exports its result, appends its outcome."""
 

@@ -47,13 +47,18 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def change_log(spark: SparkSession, sf_dir: str, routed: bool = False, damaged: bool = False) -> DataFrame:
-    """The change log of one table, or of three with ``routed``; some events unreadable with ``damaged``.
+def change_log(spark: SparkSession, sf_dir: str, routed: bool = False, damaged: bool = False, unfit: bool = False) -> DataFrame:
+    """The change log of one table, or of three with ``routed``; some events unreadable with ``damaged``,
+    and with ``unfit`` some with numbers that are none.
 
     Its second half has a further column, ``k``.
     """
     facts = event_changes(spark, sf_dir)
     base = [F.col(c).cast("string").alias(c) for c in ("c_custkey", "c_acctbal", "c_mktsegment")]
+    if unfit:
+        k = F.col("k")
+        base[0] = F.when(k < 10, F.lit("x1")).otherwise(base[0]).alias("c_custkey")
+        base[1] = F.when((k >= 5) & (k < 20), F.lit("n/a")).otherwise(base[1]).alias("c_acctbal")
     text = F.to_json(F.struct(*base))
     wide = F.to_json(F.struct(*base, F.col("k").cast("string").alias("k")))
     schema = '"c_custkey:bigint","c_acctbal:double","c_mktsegment:varchar(10)"'

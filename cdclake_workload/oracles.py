@@ -376,5 +376,20 @@ ORACLES = {
         select stem || route as table_key, case route when 'supplier' then 'table set aside' else 'unregistered table' end as reason,
                count(*) as n from log where route <> 'customer' group by all
         union all select stem || route, 'applied', max(id) from log where route = 'customer' group by all""",
+    "decode_rejects": _LOG + """
+        select id, operation, case when n >= 10 then c_custkey end as c_custkey,
+               case when n < 5 then c_acctbal end as c_acctbal,
+               'values that do not fit: ' || case when n < 5 then 'c_custkey' when n < 10 then 'c_custkey, c_acctbal'
+                                             else 'c_acctbal' end as reason
+        from log where n < 20""",
+    "stream_apply_requests": _LOG + """,
+        requested as (select * from log where route = 'customer' or (route = 'supplier' and id > (select max(id) from log) // 4)),
+        newest as (select * from (select *, row_number() over (partition by route, c_custkey order by id desc) as rn from requested) where rn = 1)
+        select r.route as copy, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, cast(null as integer) as k
+        from customer cross join (values ('customer'), ('supplier')) r(route)
+        where not exists (select 1 from newest n where n.route = r.route and n.c_custkey = customer.c_custkey)
+        union all select route, c_custkey, null, null, c_acctbal, c_mktsegment, k from newest where operation <> 3
+        union all select 'unregistered table', count(*), null, null, null, null, null from log where route = 'orders'
+        union all select 'orders no identity_key', null, null, null, null, null, null""",
     "stream_to_versions": _PROPAGATED,
 }

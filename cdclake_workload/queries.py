@@ -41,7 +41,7 @@ from cdclake.sources.log import change_messages, read_changes as read_range, rou
 from cdclake.sources.tables import export_csv as export, write_table as write_table_to
 from cdclake.sources.versions import read_table, start_versions
 from cdclake.streaming.stream import (
-    ChangeApplier, MergeTarget, QueryRunner, TableMerger, TableTarget, read_stream, stream_changes as stream,
+    ApplyRegistry, ChangeApplier, MergeTarget, QueryRunner, TableMerger, TableTarget, read_stream, stream_changes as stream,
     stream_run_log as copy_run_log,
 )
 
@@ -157,6 +157,13 @@ def decode_quarantine(spark, sf):
     return decode(fx.change_log(spark, sf, damaged=True), "mysql")[1].select("id", "operation", "reason")
 
 
+def decode_rejects(spark, sf):
+    """Events with balances or keys that are no numbers: decoded all the same, and named with the columns they lose."""
+    rows, rejected = decode(fx.change_log(spark, sf, unfit=True), "mysql")
+    lost = rows.select(F.col("seq").alias("id"), F.col("operation"), "c_custkey", "c_acctbal")
+    return rejected.select("id", "reason").join(lost, "id")
+
+
 def changes_schema(spark, sf):
     return typed_entries(fx.change_log(spark, sf), "mysql")
 
@@ -570,6 +577,36 @@ def stream_failing_table(spark, sf):
     return aside.unionByName(applier.applied().select("table_key", F.lit("applied").alias("reason"), F.col("last_id").alias("n")))
 
 
+def stream_apply_requests(spark, sf):
+    """Half the log before any request, then requests for customer and supplier, the latter from a quarter on, then the rest.
+
+    The copies after that, and how many events stay without a target.
+    """
+    base = work_path(spark, "requests")
+    log, newest = fx.change_log(spark, sf, routed=True), fx.last_id(spark, sf)
+    for name in ("customer", "supplier"):
+        write_table_to(fx.table(spark, sf, "customer"), f"{base}/mysql/{fx.HOST}/{fx.PORT}/{fx.DATABASE}/{name}")
+    registry = ApplyRegistry(spark, f"{base}/registry", base)
+    applier = ChangeApplier(spark, registry, state=f"{base}/applied", quarantine=f"{base}/quarantine")
+    applier(log.where(F.col("id") <= newest // 2), 0)
+    request = F.to_json(F.struct(
+        F.col("database_url").alias("server_host"), F.col("database_port").alias("port"), F.col("database_name").alias("database"),
+        F.col("table_name").alias("table"), F.lit("mysql").alias("database_type"),
+        F.when(F.col("table_name") != "orders", F.lit(KEY)).alias("identity_key"),
+        F.when(F.col("table_name") == "supplier", F.lit(newest // 4)).otherwise(F.lit(0)).alias("latest_offset"),
+    ))
+    log.select(request.alias("value")).distinct().write.parquet(f"{base}/messages")
+    messages = read_stream(spark, f"{base}/messages", "parquet", T.StructType([T.StructField("value", T.StringType())]))
+    stream(spark, messages, registry, f"{base}/checkpoint", once=True).awaitTermination()
+    applier(log.where(F.col("id") > newest // 2), 1)
+    copies = [spark.read.parquet(t.path).withColumn("copy", F.lit(t.table)) for t in registry().values()]
+    aside = spark.read.parquet(f"{base}/quarantine").where("table_key like '%-orders'")
+    refused = registry.requests().where("not valid").select(F.concat_ws(" ", "table", "reason").alias("copy"))
+    counts = aside.groupBy("reason").agg(F.count("*").alias(KEY)).withColumnRenamed("reason", "copy")
+    whole = copies[0].unionByName(copies[1]).unionByName(counts, allowMissingColumns=True)
+    return whole.unionByName(refused, allowMissingColumns=True)
+
+
 def stream_to_versions(spark, sf):
     """A copy and a consolidated table kept as versions, fed by a stream."""
     base = work_path(spark, "stream")
@@ -660,5 +697,5 @@ ALL = [
     change_watermarks, cdc_lag, latest_per_key, run_progress, append_run_log, snapshot_table, stream_changes,
     stream_to_merge_table, consolidate_table, server_watermarks, stream_merge_requests, stream_queries, stream_run_log, write_table,
     apply_changes_versioned, read_versions, propagate_moved_key, propagate_moved_key_patch, stream_restarted,
-    stream_failing_table, stream_to_versions,
+    stream_failing_table, stream_to_versions, decode_rejects, stream_apply_requests,
 ]

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Observation, functions as F, types as T
 
 from cdclake.model import APPLY_REQUEST, CHANGE, TableRef, merge_table_path
 from cdclake.operators.envelope import (
@@ -39,10 +39,10 @@ def test_undecodable_events_are_set_aside_and_none_is_lost(spark, rows):
     ]
 
 
-def test_a_value_that_does_not_fit_its_type_is_null(spark, rows):
+def test_a_value_that_does_not_fit_its_type_is_null_and_reported(spark, rows):
     good, bad = decode_changes(log(spark, (1, 1, '{"id":"abc","name":"x","amount":"many"}')), "mysql")
     assert rows(good, "id", "name", "amount") == [(None, "x", None)]
-    assert rows(bad) == []
+    assert rows(bad, "id", "reason") == [(1, "values that do not fit: id, amount")]
 
 
 def test_nested_values_become_text(spark, rows):
@@ -93,6 +93,27 @@ def test_unknown_types_are_reported(spark, rows):
     assert rows(decode_changes(changes, "mysql")[0], "g", "n") == [("POINT(1 1)", None)]
 
 
+def test_values_that_do_not_fit_are_named(spark, rows):
+    schema = '["id:int","n:int","d:date","t:text"]'
+    changes = log(
+        spark,
+        (1, 1, '{"id":"1","n":"2","d":"2024-01-02","t":"x"}'),
+        (2, 1, '{"id":"2","n":"","d":"2024-13-02","t":""}'),
+        (3, 1, '{"id":"3","n":"99999999999","d":null}'),
+        (4, 9, '{"id":"x","n":"y"}'),
+        (5, 1, '{"id":"5"}'),
+        schema=schema,
+    )
+    seen = Observation()
+    good, rejected = decode_changes(changes, "mysql", observation=seen)
+    assert rows(good, "id", "n", "t") == [(1, 2, "x"), (2, None, ""), (3, None, None), (5, None, None)]
+    assert seen.get == {"undecoded": 1, "unfit": 2}
+    assert rows(rejected, "id", "reason") == [
+        (2, "values that do not fit: n, d"), (3, "values that do not fit: n"), (4, "unknown operation"),
+    ]
+    assert rejected.columns == [*changes.columns, "reason"]
+
+
 def test_columns_may_not_clash_with_event_columns(spark):
     changes = log(spark, (1, 1, '{"seq":"1"}'), schema='["seq:int"]')
     with pytest.raises(ValueError, match="clash"):

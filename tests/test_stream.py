@@ -10,7 +10,7 @@ from cdclake.operators.progress import append_run_log, run_event, run_progress
 from cdclake.sources.tables import write_table
 from cdclake.sources.versions import read_table
 from cdclake.streaming.stream import (
-    ChangeApplier, MergeTarget, QueryRunner, TableMerger, TableTarget, read_stream, stream_changes, stream_run_log,
+    ApplyRegistry, ChangeApplier, MergeTarget, QueryRunner, TableMerger, TableTarget, read_stream, stream_changes, stream_run_log,
 )
 
 I, U, D = 1, 2, 3
@@ -239,3 +239,59 @@ def test_a_plain_consolidated_table_is_started(spark, rows, tmp_path):
     emit(spark, base, (1, "t", I, '{"id":"1","v":"a"}'), (2, "t", I, '{"id":"2","v":"b"}'))
     run(spark, base, handler)
     assert rows(spark.read.parquet(f"{base}/party"), "key", "v_t_crm") == [(1, "a"), (2, "b")]
+
+
+def request(**fields):
+    whole = {
+        "server_host": "h", "port": "1", "database": "db", "table": "t", "database_type": "MySQL", "identity_key": "id",
+        "latest_offset": 2, "job_id": 1,
+    }
+    return json.dumps({k: v for k, v in {**whole, **fields}.items() if v is not None})
+
+
+def requests(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def test_the_newest_request_of_a_table_counts(spark, rows, tmp_path):
+    registry = ApplyRegistry(spark, f"{tmp_path}/registry", "/lake", lambda ref: [MergeTarget("/m", MAPPING, ref.host)])
+    assert registry() == {}
+    first = requests(spark, request(), request(), request(job_id=2, max_retries=3), request(table="U", partition_by="v"))
+    registry(first, 0)
+    registry(first, 0)
+    registry(requests(spark, request(table="U", latest_offset=9, job_id=0), request(identity_key=" "), request(table=None), "{", None), 1)
+    assert registry() == {
+        "cdc-h-1-db-t": TableTarget("/lake/mysql/h/1/db/t", "id", "t", "mysql", "", [MergeTarget("/m", MAPPING, "h")], False, 2, 3),
+        "cdc-h-1-db-u": TableTarget("/lake/mysql/h/1/db/U", "id", "U", "mysql", "", [MergeTarget("/m", MAPPING, "h")], False, 9, None),
+    }
+    assert rows(registry.requests().where("not valid"), "reason") == [("no identity_key",), ("no server_host",), ("no table",)]
+
+
+def test_a_table_registered_late_gets_its_earlier_events(spark, rows, tmp_path):
+    base = str(tmp_path)
+    path = f"{base}/mysql/h/1/db/t"
+    write_table(spark.createDataFrame([(1, "x"), (2, "y")], "id bigint, v string"), path)
+    registry = ApplyRegistry(spark, f"{base}/registry", base)
+    handler = ChangeApplier(spark, registry, f"{base}/applied", f"{base}/bad")
+
+    def events(*found):
+        return spark.createDataFrame(
+            [(i, "h", "1", "db", t, '["id:bigint","v:varchar(9)"]', v, op, 0) for i, t, op, v in found], CHANGE
+        )
+
+    early = events((1, "t", U, '{"id":"1","v":"in the snapshot"}'), (3, "t", U, '{"id":"1","v":"x3"}'), (4, "o", I, '{"id":"1"}'))
+    handler(early, 0)
+    assert rows(spark.read.parquet(path)) == [(1, "x"), (2, "y")]
+    registry(requests(spark, request()), 0)
+    handler(events((5, "o", I, '{"id":"2"}')), 1)  # a batch without an event of the table will do
+    assert rows(spark.read.parquet(path)) == [(1, "x3"), (2, "y")]
+    handler(events((6, "t", D, '{"id":"2"}')), 2)
+    handler(early, 3)  # from an older place of the log: position 1 is before the start, 3 is applied
+    assert rows(spark.read.parquet(path)) == [(1, "x3")]
+    assert rows(handler.applied(), "table_key", "last_id") == [("cdc-h-1-db-t", 6)]
+
+
+def test_an_unfit_value_is_reported_by_the_stream(spark, rows, lake):
+    emit(spark, lake, (1, "t", I, '{"id":"3","v":"z"}'), (2, "t", I, '{"id":"four","v":"w"}'))
+    run(spark, lake, applier(spark, lake))
+    assert rows(spark.read.parquet(f"{lake}/bad"), "id", "reason") == [(2, "values that do not fit: id")]
