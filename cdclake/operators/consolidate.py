@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cdclake.model import DELETE, MODIFIED, Mapping
 from cdclake.operators.align import align_schemas
@@ -201,6 +201,10 @@ def propagate_changes(
     beside its key holds a value. Needs one change per key, so it compacts by
     the unique columns.
 
+    ``members``, for a table that records its members (``operators.members``): the
+    member feeds the rows it writes and no others of a changed key, mapped values
+    fall back to those of other members, and a row that nobody feeds goes.
+
     ``measure=True``, for changes that are stored, measures the changed keys and
     broadcasts them when small.
     """
@@ -219,6 +223,10 @@ def propagate_changes(
     if mode == "patch":
         own = _own_columns(delta.columns, mapping, table, alias, {op, seq, *keys})
         return _patch(merged, delta, keys, own, op, seq, on_conflict, measure)
+    if mode == "members":
+        from cdclake.operators.members import propagate_member
+
+        return propagate_member(merged, delta, keys, mapping, table, alias, seq, op, on_conflict, measure)
     raise ValueError(f"unknown mode {mode!r}")
 
 
@@ -227,11 +235,12 @@ def _replace(merged, delta, keys, seq, op, on_conflict, measure):
     changed = delta.select(*[col(k) for k in resolve(delta, keys)]).distinct()
     if measure:
         changed, _ = broadcast_if_small(changed)
-    kept = old.join(changed, _keys_match(old, changed, keys), "left_anti")
+    kept = old.join(changed, keys_match(old, changed, keys), "left_anti")
     return kept.unionByName(new)
 
 
-def _keys_match(left, right, keys):
+def keys_match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Join condition: the same values of ``keys``, NULL equal to NULL."""
     condition = F.lit(True)
     for k in keys:
         a, b = resolve(left, [k])[0], resolve(right, [k])[0]

@@ -11,6 +11,7 @@ from cdclake.operators.align import align_schemas
 from cdclake.operators.apply import _key_match, _within_range, _without, changed_keys, stage_delta, written_rows
 from cdclake.operators.columns import as_list, col, resolve
 from cdclake.operators.consolidate import _has, mapped_names, propagate_changes
+from cdclake.operators.members import with_member
 from cdclake.plans.sizing import broadcast_if_small
 from cdclake.sources.tables import delete
 from cdclake.sources.versions import (
@@ -168,6 +169,8 @@ def propagate_versions(
     if version is None:
         first = written_rows(delta, seq, op)
         first = first.select(*[col(c).alias(names[c]) for c in first.columns if c in names])
+        if mode == "members":
+            first = with_member(first, mapping, table, alias)
         version = commit(spark, path, None, _nullable(first.schema), resolve(first, partition_by), (), {})
     unique = [m.column for m in mapping if m.unique and m.column in names.values() and m.column.lower() in {n.lower() for n in version.schema.names}]
     if not unique:

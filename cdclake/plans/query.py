@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from cdclake.model import TableRef, merge_table_path
 from cdclake.sources.tables import export_csv
+from cdclake.operators.members import FED
 from cdclake.sources.versions import read_table
 
 # ``:alias.table:`` or ``:merge_request.name:``
@@ -107,7 +108,8 @@ def run_query(spark: SparkSession, sql: str, catalog: Catalog) -> DataFrame:
             entry = known(token) if callable(known) else known.get(token.lower())
             if entry is None:
                 raise ValueError(f"unknown table :{token}:")
-            frame = read_table(spark, entry) if isinstance(entry, str) else entry
+            # The record of a consolidated table's members is no column of the user's.
+            frame = (read_table(spark, entry) if isinstance(entry, str) else entry).drop(FED)
             names[token.lower()] = f"q_{run}_{len(names)}"
             frame.createOrReplaceTempView(names[token.lower()])
         return names[token.lower()]

@@ -12,6 +12,7 @@ from cdclake.model import Mapping, RUN_LOG
 from cdclake.operators.apply import merge_delta, stage_delta, written_rows
 from cdclake.operators.consolidate import consolidate, map_columns, propagate_changes
 from cdclake.operators.envelope import decode_changes
+from cdclake.operators.members import FED, refresh_member, with_member
 from cdclake.operators.progress import append_run_log, run_event
 from cdclake.operators.versioned import merge_versions, propagate_versions, with_before_images
 from cdclake.session import work_path
@@ -138,18 +139,26 @@ def _merge_into(spark: SparkSession, delta: DataFrame, target: TableTarget, merg
         )
     else:
         merged = map_columns(written_rows(delta, "seq", "operation"), merge.mapping, target.table, merge.alias)
+        if merge.mode == "members":
+            merged = with_member(merged, merge.mapping, target.table, merge.alias)
     replace_table(merged, merge.path, merge.partition_by)
 
 
 def consolidate_table(
-    spark: SparkSession, path: str, member: DataFrame, mapping: list[Mapping], table: str, alias: str
+    spark: SparkSession, path: str, member: DataFrame, mapping: list[Mapping], table: str, alias: str,
+    track: bool = False,
 ) -> DataFrame:
     """Bring a member table into a stored consolidated table, which it starts if there is none; the new table.
 
-    A member brought in before is refreshed.
+    A member brought in before is refreshed. A table started with ``track`` records
+    its members, so that a refresh leaves no value or row that nobody feeds.
     """
     recover_table(spark, path)
     stored = spark.read.parquet(path) if exists(spark, path) else None
     new = map_columns(member, mapping, table, alias)
-    replace_table(consolidate(stored, new, mapping, measure=True, refresh=True, refuse_repeats=True), path)
+    if (stored is None and track) or (stored is not None and FED in stored.columns):
+        merged = refresh_member(stored, new, mapping, table, alias, measure=True, refuse_repeats=True)
+    else:
+        merged = consolidate(stored, new, mapping, measure=True, refresh=True, refuse_repeats=True)
+    replace_table(merged, path)
     return spark.read.parquet(path)

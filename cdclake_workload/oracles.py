@@ -391,5 +391,31 @@ ORACLES = {
         union all select route, c_custkey, null, null, c_acctbal, c_mktsegment, k from newest where operation <> 3
         union all select 'unregistered table', count(*), null, null, null, null, null from log where route = 'orders'
         union all select 'orders no identity_key', null, null, null, null, null, null""",
+    "consolidate_members": """
+        with s as (select * from supplier where s_suppkey % 3 <> 0)
+        select coalesce(c_custkey, s_suppkey) as party_key, coalesce(s_name, c_name) as name, coalesce(s_nationkey, c_nationkey) as nation,
+               c_acctbal as c_acctbal_customer_crm, c_mktsegment as c_mktsegment_customer_crm, s_acctbal + 1 as s_acctbal_supplier_erp,
+               concat_ws(',', case when s_suppkey is not null then 'supplier_erp' end,
+                         case when c_custkey is not null then 'customer_crm' end) as fed_by
+        from customer full join s on c_custkey = s_suppkey""",
+    "propagate_members": _LATEST + """,
+        c as (select * from customer),
+        whole as (
+          select coalesce(c.c_custkey, s_suppkey, l.c_custkey) as party_key, c.c_custkey is not null as was, s_suppkey is not null as supplied,
+                 l.operation, c.c_name, c.c_nationkey, s_name, s_nationkey, s_acctbal, l.k,
+                 case when l.operation is null then c.c_acctbal when l.operation <> 3 then l.c_acctbal end as balance,
+                 case when l.operation is null then c.c_mktsegment when l.operation <> 3 then l.c_mktsegment end as segment
+          from c full join supplier on c.c_custkey = s_suppkey
+          full join latest l on l.c_custkey = coalesce(c.c_custkey, s_suppkey))
+        select party_key,
+               case when operation is null then coalesce(s_name, c_name) when operation <> 3 then coalesce(c_name, s_name) else s_name end as name,
+               case when operation is null then coalesce(s_nationkey, c_nationkey) when operation <> 3 then coalesce(c_nationkey, s_nationkey)
+                    else s_nationkey end as nation,
+               balance as c_acctbal_customer_crm, segment as c_mktsegment_customer_crm, s_acctbal as s_acctbal_supplier_erp,
+               case when operation <> 3 then k end as k_customer_crm,
+               case when operation is null then concat_ws(',', case when supplied then 'supplier_erp' end, case when was then 'customer_crm' end)
+                    when operation <> 3 then concat_ws(',', 'customer_crm', case when supplied then 'supplier_erp' end)
+                    else 'supplier_erp' end as fed_by
+        from whole where operation is null or operation <> 3 or supplied""",
     "stream_to_versions": _PROPAGATED,
 }

@@ -23,6 +23,7 @@ from cdclake.operators.envelope import (
     decode_changes as decode, decode_envelope as decode_messages, decode_requests as decode_request_messages,
     encode_changes as encode, table_key, typed_entries,
 )
+from cdclake.operators.members import FED, refresh_member
 from cdclake.operators.versioned import apply_to_versions, with_before_images
 from cdclake.operators.progress import (
     append_run_log as append_log, cdc_lag as lag_of, change_watermarks as watermarks, latest_per_key as newest_rows,
@@ -410,6 +411,29 @@ def consolidate_refresh(spark, sf):
     return consolidate_stored(spark, path, newer, fx.PARTY_MAPPING, "supplier", "erp")
 
 
+def _fed_by(party):
+    return party.withColumn("fed_by", F.array_join(F.transform(FED, lambda e: e["member"]), ",")).drop(FED)
+
+
+def consolidate_members(spark, sf):
+    """As ``consolidate_refresh`` in a table that records its members: what the third rows gave goes with them."""
+    path = work_path(spark, "party")
+    supplier = fx.table(spark, sf, "supplier")
+    newer = supplier.where("s_suppkey % 3 <> 0").withColumn("s_acctbal", F.col("s_acctbal") + 1)
+    for member, table, alias in [(fx.table(spark, sf, "customer"), "customer", "crm"), (supplier, "supplier", "erp"), (newer, "supplier", "erp")]:
+        party = consolidate_stored(spark, path, member, fx.PARTY_MAPPING, table, alias, track=True)
+    return _fed_by(party)
+
+
+def propagate_members(spark, sf):
+    """Changes of customer in a table that records its members; suppliers keep what they gave."""
+    supplier = map_member(fx.table(spark, sf, "supplier"), fx.PARTY_MAPPING, "supplier", "erp")
+    first = refresh_member(None, _customer(spark, sf), fx.PARTY_MAPPING, "customer", "crm")
+    party = refresh_member(first, supplier, fx.PARTY_MAPPING, "supplier", "erp")
+    delta = compact_changes(_rows(spark, sf), KEY, mode="latest")
+    return _fed_by(propagate_changes(party, delta, fx.PARTY_MAPPING, "customer", "crm", mode="members"))
+
+
 def resolve_aliases(spark, sf):
     return aliases(fx.databases(spark, sf), fx.tables(spark, sf), fx.servers(spark, sf))
 
@@ -698,4 +722,5 @@ ALL = [
     stream_to_merge_table, consolidate_table, server_watermarks, stream_merge_requests, stream_queries, stream_run_log, write_table,
     apply_changes_versioned, read_versions, propagate_moved_key, propagate_moved_key_patch, stream_restarted,
     stream_failing_table, stream_to_versions, decode_rejects, stream_apply_requests,
+    consolidate_members, propagate_members,
 ]
