@@ -36,6 +36,7 @@ SOURCE_TYPES = {
     "mediumblob": "binary",
     "mediumint": "int",
     "mediumtext": "string",
+    "nchar": "string",
     "nclob": "string",
     "number": "decimal",
     "numeric": "decimal",
@@ -44,6 +45,7 @@ SOURCE_TYPES = {
     "serial": "int",
     "set": "string",
     "smallint": "smallint",
+    "smallserial": "smallint",
     "string": "string",
     "text": "string",
     "time": "string",
@@ -67,6 +69,7 @@ DIALECT_TYPES = {
         "real": "double",
     },
     "oracle": {
+        "bfile": "string",
         "binary_double": "double",
         "binary_float": "float",
         "date": "timestamp",
@@ -115,7 +118,8 @@ def map_source_type(text: str, dialect: str = "mysql", number_as: str = "decimal
 
     Unknown names become strings. A bare Oracle ``NUMBER`` has no declared
     scale: ``decimal(38,10)``, or a string with ``number_as="string"``. A bare
-    PostgreSQL ``numeric`` is a string.
+    PostgreSQL ``numeric`` is a string, and so are arrays of any type. Oracle's
+    ``LONG RAW`` holds bytes, though ``LONG`` is text.
     """
     found = _SOURCE_TYPE.match(text or "")
     if not found:
@@ -123,6 +127,10 @@ def map_source_type(text: str, dialect: str = "mysql", number_as: str = "decimal
     base, args, rest = found.group(1).lower(), found.group(2), found.group(3).lower()
     if any(part in base for part in ("varchar", "clob", "text")):
         return T.StringType(), True
+    if "[]" in rest:
+        return T.StringType(), True
+    if base == "long" and rest.split()[:1] == ["raw"]:
+        return T.BinaryType(), True
     target = type_names(dialect).get(base)
     if target is None:
         return T.StringType(), False
@@ -192,7 +200,8 @@ def spark_type_name(text: Column | str, dialect: str = "mysql", number_as: str =
     )
     unsigned = F.create_map(*[F.lit(x) for pair in UNSIGNED.items() for x in pair])
     return (
-        F.when(base.rlike("varchar|clob|text"), F.lit("string"))
+        F.when(base.rlike("varchar|clob|text") | F.contains(text, F.lit("[]")), F.lit("string"))
+        .when(F.lower(text).rlike(r"^\s*long\s+raw\b"), F.lit("binary"))
         .when(target == "decimal", decimal)
         .when(F.lower(text).rlike(r"\bunsigned\b"), F.coalesce(unsigned[target], target))
         .otherwise(target)

@@ -15,6 +15,9 @@ CASES = [
     ("FLOAT(126)", "oracle", "double"), ("real", "mysql", "double"), ("DATE", "oracle", "timestamp"), ("date", "mysql", "date"),
     ("NUMBER(*,2)", "oracle", "decimal(38,2)"), ("NUMBER(*,0)", "oracle", "decimal(38,0)"),
     ("timestamp(6)", "oracle", "timestamp"), ("bool", "postgresql", "boolean"), ("int8", "postgresql", "bigint"),
+    ("numeric(10,2)[]", "postgresql", "string"), ("integer[]", "postgresql", "string"), ("text[][]", "postgresql", "string"),
+    ("LONG RAW", "oracle", "binary"), ("LONG", "oracle", "string"), ("NCHAR(10)", "oracle", "string"), ("BFILE", "oracle", "string"),
+    ("smallserial", "postgresql", "smallint"), ("nchar(3)", "mysql", "string"),
 ]
 
 
