@@ -213,7 +213,7 @@ class ChangeApplier:
             fresh = fresh | ((F.col("table_key") == key) & above)
         applied = batch.where(fresh & F.col("id").isNotNull()).select("table_key", F.col("id").cast("bigint").alias("id"))
         recover_table(spark, self.positions)
-        applied.coalesce(1).write.mode("append").parquet(self.positions)
+        self._keep_positions(applied)
         marks = [(key, position, batch_id) for key, position in most.items()]
         spark.createDataFrame(marks, APPLIED).coalesce(1).write.mode("append").parquet(self.state)
 
@@ -228,7 +228,14 @@ class ChangeApplier:
             return
         late = behind.withColumn("table_key", F.lit(key))
         self._set_aside(late, batch_id, "behind applied position")
-        late.select("table_key", F.col("id").cast("bigint").alias("id")).coalesce(1).write.mode("append").parquet(self.positions)
+        self._keep_positions(late.select("table_key", F.col("id").cast("bigint").alias("id")))
+
+    def _keep_positions(self, rows: DataFrame) -> None:
+        """Append positions, in as many files as their size asks for.
+
+        Gathered in one task, that task would also sort and join all they come from.
+        """
+        rows.hint("rebalance", "table_key", "id").write.mode("append").parquet(self.positions)
 
     def _failed(self, keys: list[str]) -> dict[str, int | None]:
         """How often each table has failed in a row; None for one that is set aside."""

@@ -191,6 +191,27 @@ def test_late_events_whatever_the_batch_number(spark, rows, lake):
     assert rows(handler.applied(), "last_id") == [(40,)]
 
 
+def test_positions_are_not_gathered_in_one_task(spark, rows, lake):
+    """Neither those applied nor those set aside: written by one task, a file each, they also were joined by one."""
+    emit(spark, lake, *[(i, "t", U, json.dumps({"id": "1", "v": f"x{i}"})) for i in range(1, 401)])
+    events, handler = spark.read.schema(CHANGE).json(f"{lake}/log"), applier(spark, lake)
+    handler.compact_state_every = 100
+    few = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64b", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+    for name, value in few.items():
+        spark.conf.set(name, value)
+    try:
+        counts = []
+        for number, part in enumerate(["id > 300 or id % 2 = 0", "id <= 300 and id % 2 = 1"]):
+            handler(events.where(part), number)
+            counts.append(len([f for f in os.listdir(handler.positions) if f.startswith("part-")]))
+    finally:
+        for name in few:
+            spark.conf.unset(name)
+    assert counts[0] > 1 and counts[1] - counts[0] > 1
+    assert rows(spark.read.parquet(handler.positions).select("id").distinct()) == sorted(((i,) for i in range(1, 401)), key=str)
+    assert spark.read.parquet(f"{lake}/bad").count() == 150
+
+
 def test_a_table_that_keeps_failing_is_set_aside(spark, rows, tmp_path):
     base = str(tmp_path)
     write_table(spark.createDataFrame([(1, "x")], "id bigint, v string"), f"{base}/t")
