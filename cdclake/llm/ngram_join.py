@@ -14,7 +14,9 @@ Bounds. Each class that shares a key has a bitmap of hashed elements, which grow
 with its set: at least ``BITS_EACH`` bits an element. The bits that one bitmap
 has beyond the other bound the overlap from above. Bitmaps are compared folded
 to ``BITS`` bits first, and the pairs left at the width of the smaller one; those
-that may still be similar are settled by intersecting the sorted sets.
+that may still be similar are settled by intersecting the sorted sets. Bitmaps
+are stored and shuffled entropy-coded, as few of their bits are set: a class
+goes with its bitmap to every key that is compared.
 
 Order of work. Every class is compared with the class that is the least under
 most of its keys, and components are formed. Keys that hold several components
@@ -33,6 +35,7 @@ tables give no rows. Texts are read whole. Only the named columns are read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -156,11 +159,18 @@ def _admits(na, nb, beyond_a, beyond_b, num: int, den: int) -> np.ndarray:
 
 
 def bitmap(found: np.ndarray) -> bytes:
-    """The elements' low bits as a bitmap of a power of two of bits."""
+    """The elements' low bits as a bitmap of a power of two of bits, coded for ``_bits``."""
     width = max(BITS, 1 << (BITS_EACH * len(found) - 1).bit_length())
     bits = np.zeros(width, bool)
     bits[(found & np.uint64(width - 1)).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").tobytes()
+    # Bits of hashes hold no repeats to look for, so bytes are coded by their frequency alone.
+    coder = zlib.compressobj(1, zlib.DEFLATED, -15, 8, zlib.Z_HUFFMAN_ONLY)
+    return coder.compress(np.packbits(bits, bitorder="little").tobytes()) + coder.flush()
+
+
+def _bits(coded: bytes) -> np.ndarray:
+    """A bitmap as 64-bit words."""
+    return np.frombuffer(zlib.decompress(coded, -15), np.uint64)
 
 
 def _folded(bits: np.ndarray, words: int) -> np.ndarray:
@@ -181,9 +191,7 @@ def verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, num: int, den:
     def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                over = np.array([
-                    _beyond(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch["ba"], batch["bb"])
-                ], np.int64)
+                over = np.array([_beyond(_bits(x), _bits(y)) for x, y in zip(batch["ba"], batch["bb"])], np.int64)
                 yield batch.loc[_admits(batch["na"].to_numpy(), batch["nb"].to_numpy(), *over.T, num, den), ["a", "b"]]
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,7 +223,7 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
         """Class, partner and the bits by which they differ."""
         rep, comp, n = g["rep"].to_numpy(), g["component"].to_numpy(), g["n"].to_numpy()
         left, right = np.flatnonzero(g["left"]), np.flatnonzero(g["right"])
-        whole = [np.frombuffer(x, np.uint64) for x in g["bitmap"]]
+        whole = [_bits(x) for x in g["bitmap"]]
         bits = np.array([_folded(x, BITS // 64) for x in whole])
         found = []
         for i in left:

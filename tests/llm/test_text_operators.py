@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,6 +279,16 @@ def shingles(text, size):
     return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
 
 
+@pytest.mark.parametrize("n", [1, 40, 129, 5000])
+def test_bitmaps_are_stored_short(n):
+    """Most bits of a bitmap are unset: what goes through shuffles is well below its bits, and gives the same bits."""
+    found = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64))
+    coded, bits = ngram_join.bitmap(found), np.unpackbits(ngram_join._bits(ngram_join.bitmap(found)).view(np.uint8), bitorder="little")
+    assert len(bits) == max(1024, 1 << (8 * n - 1).bit_length())
+    assert set(np.flatnonzero(bits)) == {int(x) % len(bits) for x in found}
+    assert len(coded) < 0.7 * len(bits) / 8
+
+
 @pytest.mark.parametrize("size,num,block", [(3, 90, 2048), (5, 80, 2048), (2, 60, 2)])
 def test_jaccard_components(spark, docs, plain, monkeypatch, size, num, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
