@@ -12,20 +12,22 @@ seeds, and under the last seed empty parts give keys as well. So no pair is lost
 
 Bounds. Each class that shares a key has a bitmap of hashed elements, which grows
 with its set: at least ``BITS_EACH`` bits an element. The bits that one bitmap
-has beyond the other bound the overlap from above. Bitmaps are compared folded
-to ``BITS`` bits first, and the pairs left at the width of the smaller one; those
-that may still be similar are settled by intersecting the sorted sets. Bitmaps
-are stored and shuffled entropy-coded, as few of their bits are set: a class
-goes with its bitmap to every key that is compared.
+has beyond the other bound the overlap from above. Under a key, bitmaps are
+compared many at once, folded to one or two bits an element, and the pairs left at
+the width of the smaller one; those that may still be similar are settled by
+intersecting the sorted sets. A phrase that many documents hold makes keys whose
+classes grow with the corpus and their pairs with its square, so a pair that
+shares little must be cheap. Bitmaps are stored and shuffled entropy-coded, as few
+of their bits are set: a class goes with its bitmap to every key that is compared.
 
 Order of work. Every class is compared with the class that is the least under
 most of its keys, and components are formed. Keys that hold several components
-then offer, for each class, the likeliest partner of another component; and in a last pass every pair
-of different components under a key that the bitmaps admit. After that pass no
-link between two components can be left. Of keys that hold the same classes, told
-by two hashes, both passes look at one. Keys with many classes are cut into
-blocks, and each pair of blocks is a group of its own, so no task holds a whole
-large key.
+then offer, for each class, a near partner of another component; and in a last pass
+those keys that offered any give every pair of different components that the
+bitmaps admit. After that pass no link between two components can be left. Of keys
+that hold the same classes, told by two hashes, both passes look at one. Keys with
+many classes are cut into blocks, and each pair of blocks is a group of its own, so
+no task holds a whole large key.
 
 Cases: a NULL or empty text has an empty set and is alone. Fewer words than an
 n-gram make one n-gram. Equal texts have equal results. A row with a NULL id
@@ -51,6 +53,10 @@ BITS_EACH = 8
 SEEDS = 6
 #: Classes of one key compared in one group, at most twice as many.
 BLOCK = 2048
+#: More than any set has elements.
+SIZES = 1 << 40
+#: Pairs of rows looked at together, words of narrow bitmaps compared at once (they stay in a core's cache), and bytes of whole bitmaps held decoded.
+PAIRS, WORDS, HELD = 1 << 14, 1 << 14, 1 << 25
 
 
 def bands(num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -213,50 +219,115 @@ def verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, num: int, den:
     return stored(full.mapInPandas(exact, "a bigint, b bigint"), "similar")
 
 
+def near_rows(
+    group: np.ndarray, component: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray, coded: np.ndarray, num: int, den: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group and different components, a left and a right one, that size and narrow bitmap admit.
+
+    With them goes the number of bits by which the narrow bitmaps differ. Rows are
+    sorted by group and size. A narrow bitmap has a bit an element at least: sets
+    of any size that share little differ in more of those bits than similar sets can.
+    """
+    words = np.array([max(BITS, 1 << (int(x) - 1).bit_length()) // 64 for x in n])
+    narrow = [_folded(_bits(x), k) for x, k in zip(coded, words)]
+    # The partners of a row are the rows after it, up to the greatest size that can be similar.
+    sizes = group * SIZES + n
+    end = np.searchsorted(sizes, group * SIZES + np.minimum(den * n // num, SIZES - 1), "right")
+    count = end - np.arange(len(n)) - 1
+    for width in np.unique(words[count > 0]):
+        mine = np.flatnonzero((words == width) & (count > 0))
+        steps = np.zeros(len(n) + 1, np.int64)
+        np.add.at(steps, mine, 1)
+        np.add.at(steps, end[mine], -1)
+        used = np.cumsum(steps[:-1]) > 0
+        bits = np.array([_folded(narrow[k], width) for k in np.flatnonzero(used)])
+        place, ones = np.cumsum(used) - 1, np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+        total = np.cumsum(count[mine])
+        for start in range(0, int(total[-1]), PAIRS):
+            pair = np.arange(start, min(start + PAIRS, total[-1]))
+            of = np.searchsorted(total, pair, "right")
+            i = mine[of]
+            j = i + 1 + pair - (total[of] - count[i])
+            ok = (component[i] != component[j]) & (left[i] & right[j] | left[j] & right[i])
+            i, j = i[ok], j[ok]
+            x, y = place[i], place[j]
+            apart, few = np.zeros(len(i), np.int64), max(1, WORDS // width)
+            for k in range(0, len(i), few):
+                over = bits.take(x[k : k + few], 0)
+                over ^= bits.take(y[k : k + few], 0)
+                apart[k : k + few] = np.bitwise_count(over).sum(axis=1, dtype=np.int64)
+            more = ones[x] - ones[y]
+            ok = _admits(n[i], n[j], (apart + more) // 2, (apart - more) // 2, num, den)
+            yield i[ok], j[ok], apart[ok]
+
+
+def near_pairs(rows: pd.DataFrame, group: np.ndarray, num: int, den: int, best: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs of ``near_rows`` those that the whole bitmaps admit, and the bits by which they differ.
+
+    With ``best``, each row that has any is first in one pair, whose other row is near and need not be the nearest.
+    """
+    order = np.lexsort((rows["n"].to_numpy(), group))
+    component, n, left, right, coded = (rows[c].to_numpy()[order] for c in ("component", "n", "left", "right", "bitmap"))
+    held: dict[int, np.ndarray] = {}
+    room = HELD
+
+    def whole(i: int) -> np.ndarray:
+        nonlocal room
+        if i not in held:
+            if room < 0:
+                held.clear()
+                room = HELD
+            held[i] = _bits(coded[i])
+            room -= held[i].nbytes
+        return held[i]
+
+    def look(i: int, j: int) -> int | None:
+        over = _beyond(whole(i), whole(j))
+        return sum(over) if _admits(n[i], n[j], *over, num, den) else None
+
+    found: list[tuple[int, int, int]] = []
+    nearest, partner, whole_apart = np.full(len(n), SIZES), np.full(len(n), -1), np.zeros(len(n), np.int64)
+    for i, j, apart in near_rows(group[order], component, n, left, right, coded, num, den):
+        if best:
+            # Nearest first; one that the whole bitmaps admit is enough, so copies of one text cost a look each.
+            x, y, apart = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([apart, apart])
+            nearer = np.flatnonzero(apart < nearest[x])
+            nearer = nearer[np.lexsort((apart[nearer], x[nearer]))]
+            done = -1
+            for a, b, narrow_apart in zip(x[nearer].tolist(), y[nearer].tolist(), apart[nearer].tolist()):
+                if a != done and (bits_apart := look(a, b)) is not None:
+                    nearest[a], partner[a], whole_apart[a], done = narrow_apart, b, bits_apart, a
+        else:
+            found += [(a, b, k) for a, b in zip(i.tolist(), j.tolist()) if (k := look(a, b)) is not None]
+    if best:
+        i = np.flatnonzero(partner >= 0)
+        j, apart = partner[i], whole_apart[i]
+    else:
+        i, j, apart = np.array(found, np.int64).reshape(-1, 3).T
+    return order[i], order[j], apart
+
+
 def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
-    """Pairs of classes of different components under one key that size and bitmap admit.
+    """Pairs ``x``, ``y`` of classes of different components under one key that size and bitmap admit.
 
     ``rows`` have ``key``, ``rep``, ``component``, ``n``, ``bitmap`` and ``blocks``.
-    With ``best``, each class has its likeliest partner alone, over all its keys.
+    With ``best``, each class has one partner under a key, and with it go ``key`` and
+    ``apart``, the bits by which they differ.
     """
-    def of_group(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Class, partner and the bits by which they differ."""
-        rep, comp, n = g["rep"].to_numpy(), g["component"].to_numpy(), g["n"].to_numpy()
-        left, right = np.flatnonzero(g["left"]), np.flatnonzero(g["right"])
-        whole = [_bits(x) for x in g["bitmap"]]
-        bits = np.array([_folded(x, BITS // 64) for x in whole])
-        found = []
-        for i in left:
-            j = right[(comp[right] != comp[i]) & (den * np.minimum(n[right], n[i]) >= num * np.maximum(n[right], n[i]))]
-            if not len(j):
-                continue
-            over = [np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (bits[i] & ~bits[j], bits[j] & ~bits[i])]
-            ok = _admits(n[i], n[j], *over, num, den)
-            j, bits_apart = j[ok], (over[0] + over[1])[ok]
-            if best:
-                # Nearest first; one that the whole bitmaps admit is enough, so copies of one text cost a look each.
-                j = j[np.argsort(bits_apart, kind="stable")]
-                j = next((j[k : k + 1] for k in range(len(j)) if _admits(n[i], n[j[k]], *_beyond(whole[i], whole[j[k]]), num, den)), j[:0])
-                bits_apart = np.array([sum(_beyond(whole[i], whole[k])) for k in j], np.int64)
-            elif len(j):
-                fine = np.array([_beyond(whole[i], whole[k]) for k in j], np.int64)
-                ok = _admits(n[i], n[j], *fine.T, num, den)
-                j, bits_apart = j[ok], fine.sum(axis=1)[ok]
-            if not len(j):
-                continue
-            found.append((np.repeat(rep[i], len(j)), rep[j], bits_apart))
-        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-
     names = ["key", "x", "y"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
 
         def flush(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            found = [of_group(g) for _, g in frame.groupby(names, sort=False) if len(g) > 1]
-            if found:
-                x, y, apart = (np.concatenate(part) for part in zip(*found))
-                yield pd.DataFrame({"x": x, "y": y, "apart": apart}).drop_duplicates()
+            if len(frame):
+                new = np.any([np.diff(frame[c].to_numpy(), prepend=frame[c].iloc[0]) != 0 for c in names], axis=0)
+                i, j, apart = near_pairs(frame, np.cumsum(new), num, den, best)
+                x, y = frame["rep"].to_numpy()[i], frame["rep"].to_numpy()[j]
+                if best:
+                    yield pd.DataFrame({"x": x, "y": y, "key": frame["key"].to_numpy()[i], "apart": apart})
+                else:
+                    yield pd.DataFrame({"x": np.maximum(x, y), "y": np.minimum(x, y)}).drop_duplicates()
 
         for batch in batches:
             if not len(batch):
@@ -279,10 +350,8 @@ def cross_pairs(rows: DataFrame, num: int, den: int, best: bool) -> DataFrame:
             (F.col("own") <= F.col("other")).alias("left"), (F.col("own") >= F.col("other")).alias("right"),
         )
     )
-    pairs = tiled.repartition(*names).sortWithinPartitions(*names).mapInPandas(run, "x bigint, y bigint, apart bigint")
-    if best:
-        pairs = pairs.groupBy("x").agg(F.min_by("y", F.struct("apart", "y")).alias("y"))
-    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    schema = "x bigint, y bigint" + ", key bigint, apart bigint" * best
+    return tiled.repartition(*names).sortWithinPartitions(*names).mapInPandas(run, schema)
 
 
 def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -344,7 +413,15 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
             F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("rows")
         ).where("p <> q").select("key", F.ceil(F.col("rows") / BLOCK).alias("blocks"))
         rows = with_component.join(mixed, "key").join(small, "rep")
-        pairs = stored(cross_pairs(rows, num, den, best), "cross-pairs")
+        pairs = cross_pairs(rows, num, den, best)
+        if best:
+            pairs = stored(pairs, "key-partners")
+            # A key under which no pair is admitted now has none later: components only grow.
+            compared = compared.join(pairs.select("key").distinct(), "key", "left_semi")
+            pairs = pairs.groupBy("x").agg(F.min_by("y", F.struct("apart", "y")).alias("y"))
+        pairs = stored(
+            pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "cross-pairs"
+        )
         links = links.union(verified(pairs, small, sets, num, den))
         release(spark)
     named = components(links)

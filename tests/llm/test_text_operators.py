@@ -5,9 +5,11 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -313,6 +315,56 @@ def test_jaccard_components(spark, docs, plain, monkeypatch, size, num, block):
     assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == want
 
 
+@pytest.mark.parametrize("best", [True, False])
+def test_pairs_of_a_key_of_many_long_sets(spark, best):
+    """Sets that share one phrase meet under a key by the square of their number: a pair must cost little, however long the sets."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, 2500).astype(np.uint64)) for _ in range(1600)]
+    for k in (10, 700):  # near copies, and one that is too far
+        sets[k + 1] = np.unique(np.concatenate([sets[k][: -len(sets[k]) // 20], sets[k + 2][:100]]))
+        sets[k + 3] = np.unique(np.concatenate([sets[k][: len(sets[k]) // 2], sets[k + 2][:1000]]))
+    rows = spark.createDataFrame(
+        [(7, k, k, len(x), ngram_join.bitmap(x), 1) for k, x in enumerate(sets)],
+        "key bigint, rep bigint, component bigint, n bigint, bitmap binary, blocks bigint").cache()
+    rows.count()
+    start = time.perf_counter()
+    found = {(r["x"], r["y"]) for r in ngram_join.cross_pairs(rows, 80, 100, best).collect()}
+    took = time.perf_counter() - start
+    assert found == ({(10, 11), (11, 10), (700, 701), (701, 700)} if best else {(11, 10), (701, 700)})
+    assert took < 10, f"{took:.1f} s for 1.3 million pairs of one key"
+
+
+@pytest.mark.parametrize("num,spread_of_sizes", [(80, 3), (90, 40), (40, 3)])
+def test_near_pairs_against_all(num, spread_of_sizes):
+    """Of groups of sets of many sizes, all pairs that sizes and whole bitmaps admit; with best, one of them for each row that has any."""
+    rng = np.random.default_rng(num)
+    sets = []
+    for _ in range(240):
+        x = rng.integers(0, 1 << 63, rng.integers(1, 60) * rng.integers(1, spread_of_sizes)).astype(np.uint64)
+        if sets and rng.random() < 0.6:
+            x = sets[rng.integers(len(sets))].copy()
+            other = rng.random(len(x)) < rng.random() * 0.2
+            x[other] = rng.integers(0, 1 << 63, other.sum()).astype(np.uint64)
+        sets.append(np.unique(x))
+    group, left = np.sort(rng.integers(0, 4, 240)), rng.random(240) < 0.7
+    rows = pd.DataFrame({
+        "component": rng.integers(0, 100, 240), "n": [len(x) for x in sets], "bitmap": [ngram_join.bitmap(x) for x in sets],
+        "left": left, "right": ~left | (rng.random(240) < 0.5),
+    })
+    c, n, bits = rows["component"], rows["n"], [ngram_join._bits(x) for x in rows["bitmap"]]
+    want = {
+        frozenset((i, j)) for i in range(240) for j in range(i)
+        if group[i] == group[j] and c[i] != c[j] and 100 * min(n[i], n[j]) >= num * max(n[i], n[j])
+        and (left[i] and rows["right"][j] or left[j] and rows["right"][i])
+        and ngram_join._admits(n[i], n[j], *ngram_join._beyond(bits[i], bits[j]), num, 100)
+    }
+    i, j, _ = ngram_join.near_pairs(rows, group, num, 100, False)
+    assert len(i) == len(want) > 10 and {frozenset(p) for p in zip(i.tolist(), j.tolist())} == want
+    i, j, _ = ngram_join.near_pairs(rows, group, num, 100, True)
+    assert {frozenset(p) for p in zip(i.tolist(), j.tolist())} <= want
+    assert sorted(i.tolist()) == sorted({k for p in want for k in p})
+
+
 def test_jaccard_of_nothing(spark):
     assert ngram_join.jaccard_components(empty(spark)).count() == 0
 
