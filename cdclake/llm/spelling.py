@@ -212,8 +212,8 @@ def _common_ends(words: list[str]) -> tuple[int, int]:
     return first, last
 
 
-def _near_of_part(words: list[str], counts: list[int], free: int, ending: bool) -> dict[int, list]:
-    """Per word with near words: how many, and the frequency and number of the best."""
+def _near_of_part(words: list[str], counts: list[int], free: int, tail: str) -> dict[int, list]:
+    """Per word with near words: how many, and the frequency and number of the best. All words go on with ``tail``."""
     first, last = _common_ends(words)
     near: dict[int, list] = {}
     # Without a shared ending the order may be another one.
@@ -221,12 +221,12 @@ def _near_of_part(words: list[str], counts: list[int], free: int, ending: bool)
     for i, j in one_edit_pairs(core):
         i, j = places[i], places[j]
         # Pairs whose shorter word has another length belong elsewhere, as do, by ending, those of one beginning.
-        if len(words[i]) != free or ending and words[j][:free] == words[i]:
+        if len(words[i]) != free or tail and words[j][:free] == words[i]:
             continue
         for x, y in ((i, j), (j, i)):
             best = near.setdefault(x, [0, 0, None])
             best[0] += 1
-            if counts[y] > best[1] or counts[y] == best[1] and words[y] < words[best[2]]:
+            if counts[y] > best[1] or counts[y] == best[1] and words[y] + tail < words[best[2]] + tail:
                 best[1:] = counts[y], y
     return near
 
@@ -244,7 +244,7 @@ def near_words(words: DataFrame, most: int = PARTITION) -> DataFrame:
             if len(mids) < 2:
                 return
             t, a, z, head, tail = held
-            for i, (n_near, best_n, best) in _near_of_part(mids, counts, t - a - z, z > 0).items():
+            for i, (n_near, best_n, best) in _near_of_part(mids, counts, t - a - z, tail).items():
                 out.append((head + mids[i] + tail, n_near, best_n, head + mids[best] + tail))
 
         names = ["word", "n_near", "best_n", "best"]

@@ -95,6 +95,14 @@ def test_variants_of_a_vocabulary(spark, most):
     assert collected(spelling.variants(frame, most)) == grouped(counts)
 
 
+@pytest.mark.parametrize("most", [1, 20_000])
+def test_equally_frequent_near_words_of_two_lengths(spark, most):
+    """Near words are ranked whole: what one of them begins another with, less the ending they share, does not decide."""
+    counts = {"ababbbbbb": 25, "abbbbbbbb": 5000, "abbabbbbbb": 5000, "accbabbab": 2, "acbbabbab": 40, "accabbabbab": 3}
+    frame = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    assert collected(spelling.variants(frame, most)) == grouped(counts)
+
+
 def test_chains_of_forms(spark):
     counts = {"aaaaaaa": 2, "aaaaaab": 20, "aaaaabb": 200, "aaaabbb": 2000, "aaabbbb": 20000, "aabbbbb": 200000}
     frame = spark.createDataFrame(list(counts.items()), "word string, n bigint")
